@@ -5,13 +5,18 @@ headlines.  None of those ship with it, so the test tables are derived from
 ``lineitem``/``supplier``/``documents``/``labels`` by a fixed rule (see
 FIXTURES.md §B).  Every table here is a lazy DataFrame whose size grows with
 the driver tables; the same rule is written independently in DuckDB SQL in
-``tools/oracle_fixtures.py`` for the correctness gate.
+``tools/oracle_sql.py`` for the correctness gate.  By default each table is
+written once to the shared checkpoint folder and read from there (see
+:class:`Fixtures`).
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +28,9 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# Bump when the fixture rule changes so stored copies are rebuilt.
+FIXTURE_VERSION = "3"
+
 # Fixed values of the fixture rule.
 SEGMENT_NAME = "ProductSegment"
 NEWS_FIRST_DAY = "1995-01-02"
@@ -244,12 +252,40 @@ def news_source_b(news_df: DataFrame) -> DataFrame:
     )
 
 
+def _store_root(spark: SparkSession) -> str:
+    """Shared folder for derived tables: the cluster's ``spark.checkpoint.dir``."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise RuntimeError("spark.checkpoint.dir is not set")
+    return root.rstrip("/")
+
+
+def _input_key(sf_dir: str) -> str:
+    """Identify the input tables (path, sizes, mtimes) so a stored copy is never stale."""
+    h = hashlib.sha1(f"{FIXTURE_VERSION}|{os.path.abspath(sf_dir)}".encode())
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            st = os.stat(p)
+            h.update(f"|{t}:{st.st_size}:{int(st.st_mtime)}".encode())
+    return h.hexdigest()[:16]
+
+
 @dataclass
 class Fixtures:
-    """Lazily built fixture tables for one scale-factor folder."""
+    """Fixture tables for one scale-factor folder.
+
+    With ``materialize`` (the default) each derived table is written once as
+    Parquet under ``<spark.checkpoint.dir>/finlake-fixtures/<input key>/`` and
+    read back from there -- the same shape as production, where the ingest
+    jobs load ``fs_sub``/``fs_num``/``stock`` once and the dashboard queries
+    read the stored tables.  A failed or partial write is not readable and is
+    simply rebuilt.
+    """
 
     spark: SparkSession
     sf_dir: str
+    materialize: bool = True
     _cache: dict = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
@@ -257,14 +293,33 @@ class Fixtures:
             self._cache[name] = read_table(self.spark, self.sf_dir, name)
         return self._cache[name]
 
+    def _path(self, key: str) -> str:
+        return f"{_store_root(self.spark)}/finlake-fixtures/{_input_key(self.sf_dir)}/{key}"
+
     def _memo(self, key, build):
         if key not in self._cache:
-            self._cache[key] = build()
+            if not self.materialize:
+                self._cache[key] = build()
+            else:
+                path = self._path(key)
+                try:
+                    df = self.spark.read.parquet(path)
+                except AnalysisException:
+                    build().write.mode("overwrite").parquet(path)
+                    df = self.spark.read.parquet(path)
+                self._cache[key] = df
         return self._cache[key]
 
+    def build_all(self) -> None:
+        for name in ("fs_sub", "fs_num_raw", "fs_num", "stock", "mapping", "news",
+                     "news_with_sentiment"):
+            getattr(self, name)
+
     @property
     def measures(self) -> DataFrame:
-        return self._memo("measures", lambda: quarter_measures(self.table("lineitem")))
+        if "measures" not in self._cache:
+            self._cache["measures"] = quarter_measures(self.table("lineitem"))
+        return self._cache["measures"]
 
     @property
     def fs_sub(self) -> DataFrame:
