@@ -53,11 +53,32 @@ def filing_facts(
     return facts.select(*FACT_COLS)
 
 
-def slices(facts: DataFrame, parts: dict[str, Iterable[str]]) -> dict[str, DataFrame]:
-    """Split facts by tag group, all co-partitioned by (symbol, adsh).
+def per_filing(facts: DataFrame, lists: dict[str, tuple[Iterable[str], list[str]]],
+               sums: dict[str, Iterable[str]] | None = None) -> DataFrame:
+    """EAV facts -> one row per combination of tag-group facts within a filing.
 
-    The branches read one shuffled copy of ``facts`` (the exchange is reused),
-    and the per-filing joins that follow need no further shuffle.
+    Equivalent to the dashboard's chain of inner self-joins on adsh (one
+    slice per tag group, duplicates multiply, a missing group drops the
+    filing), but computed in a single grouped pass: one scan of the facts and
+    one shuffle on the filing key instead of one scan and shuffle per slice.
+    Groups are filings, so their size is bounded by the tags a filing reports.
+
+    ``lists``: name -> (tags, columns kept from those facts); each becomes an
+    exploded struct column ``name``.  ``sums``: name -> tags summed per filing
+    (present only if at least one such fact exists, like a joined GROUP BY).
     """
-    shared = facts.repartition("symbol", "adsh")
-    return {name: shared.filter(F.col("tag").isin(list(t))) for name, t in parts.items()}
+    tag = F.col("tag")
+    aggs = []
+    for name, (tag_list, cols) in lists.items():
+        st = F.struct(*[F.col(c) for c in cols])
+        aggs.append(F.collect_list(F.when(tag.isin(list(tag_list)), st)).alias(name))
+    for name, tag_list in (sums or {}).items():
+        hit = tag.isin(list(tag_list))
+        aggs.append(F.sum(F.when(hit, F.col("value"))).alias(name))
+        aggs.append(F.count_if(hit).alias(f"_{name}_n"))
+    grouped = facts.groupBy("symbol", "cik", "adsh").agg(*aggs)
+    for name in sums or {}:
+        grouped = grouped.filter(F.col(f"_{name}_n") > 0).drop(f"_{name}_n")
+    for name in lists:
+        grouped = grouped.withColumn(name, F.explode(name))
+    return grouped

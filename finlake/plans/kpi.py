@@ -18,7 +18,7 @@ from finlake.functions import tags
 from finlake.functions.scalar import (
     cumulative_rule, duration_rule, quarter_filter, quarter_label, rounded, safe_div, year_rule)
 from finlake.operators.asof import asof_join
-from finlake.plans.facts import companies, filing_facts, slices
+from finlake.plans.facts import companies, filing_facts, per_filing
 
 KEY = ["symbol", "cik"]
 PERIOD = ["fy", "fp"]
@@ -72,12 +72,14 @@ def revenue_netincome(fs_num, fs_sub, mapping, symbols=None, quarter=None) -> Da
     """Revenue and net income side by side with both year-over-year rates."""
     facts = filing_facts(fs_num, fs_sub, mapping, tags.REVENUE + tags.NET_INCOME,
                          duration_rule(), symbols)
-    s = slices(facts, {"rev": tags.REVENUE, "ni": tags.NET_INCOME})
-    rev = s["rev"].select(*KEY, "adsh", *PERIOD, "ddate",
-                          F.col("tag").alias("revenue_tag"), F.col("value").alias("revenue"))
-    ni = s["ni"].select(*KEY, "adsh", F.col("tag").alias("netincome_tag"),
-                        F.col("value").alias("netincome"))
-    rows = rev.join(ni, KEY + ["adsh"])
+    wide = per_filing(facts, {
+        "r": (tags.REVENUE, ["fy", "fp", "ddate", "tag", "value"]),
+        "i": (tags.NET_INCOME, ["tag", "value"]),
+    })
+    rows = wide.select(
+        *KEY, "adsh", "r.fy", "r.fp", "r.ddate",
+        F.col("r.tag").alias("revenue_tag"), F.col("r.value").alias("revenue"),
+        F.col("i.tag").alias("netincome_tag"), F.col("i.value").alias("netincome"))
     out = _year_over_year(rows, ["revenue", "netincome"])
     if quarter is not None:
         out = out.filter(quarter_filter(quarter))
@@ -130,26 +132,29 @@ def netincome_cagr(fs_num, fs_sub, mapping, symbols=None, **kw) -> DataFrame:
 
 # ------------------------------------------------------ per-filing ratios
 
-def _filing_head(df: DataFrame, value_name: str) -> DataFrame:
-    return df.select(*KEY, "adsh", *PERIOD, "ddate", F.col("value").alias(value_name))
+HEAD = ["folder", "fy", "fp", "ddate", "value"]
 
 
-def _filing_value(df: DataFrame, value_name: str) -> DataFrame:
-    return df.select(*KEY, "adsh", F.col("value").alias(value_name))
+def _wide(facts: DataFrame, head: tuple[str, Iterable[str]], others: dict[str, Iterable[str]],
+          sums: dict[str, Iterable[str]] | None = None) -> DataFrame:
+    """Per filing: the head fact's period columns, one value column per tag group."""
+    name, head_tags = head
+    lists = {name: (head_tags, HEAD)}
+    lists.update({k: (v, ["value"]) for k, v in others.items()})
+    wide = per_filing(facts, lists, sums)
+    return wide.select(
+        *KEY, "adsh", *[F.col(f"{name}.{c}").alias(c) for c in ("folder", "fy", "fp", "ddate")],
+        F.col(f"{name}.value").alias(name),
+        *[F.col(f"{k}.value").alias(k) for k in others], *(sums or {}))
 
 
 def margins(fs_num, fs_sub, mapping, symbols=None, quarter="All") -> DataFrame:
     """Gross, operating and net profit margins per filing."""
     all_tags = tags.REVENUE + tags.COST_OF_REVENUE + tags.OPERATING_COST + tags.NET_INCOME
     facts = filing_facts(fs_num, fs_sub, mapping, all_tags, duration_rule(), symbols)
-    s = slices(facts, {"rev": tags.REVENUE, "cogs": tags.COST_OF_REVENUE,
-                       "opex": tags.OPERATING_COST, "ni": tags.NET_INCOME})
-    opex = s["opex"].groupBy(*KEY, "adsh").agg(F.sum("value").alias("operating_cost"))
-    rows = (_filing_head(s["rev"], "revenue")
-            .join(_filing_value(s["cogs"], "cogs"), KEY + ["adsh"])
-            .join(opex, KEY + ["adsh"])
-            .join(_filing_value(s["ni"], "netincome"), KEY + ["adsh"])
-            .filter(quarter_filter(quarter)))
+    rows = _wide(facts, ("revenue", tags.REVENUE),
+                 {"cogs": tags.COST_OF_REVENUE, "netincome": tags.NET_INCOME},
+                 sums={"operating_cost": tags.OPERATING_COST}).filter(quarter_filter(quarter))
     r, c, o, n = (F.col(x) for x in ("revenue", "cogs", "operating_cost", "netincome"))
     return _ordered(rows.select(
         *KEY, *PERIOD, quarter_label().alias("quarter"), "ddate",
@@ -166,12 +171,9 @@ def liquidity(fs_num, fs_sub, mapping, symbols=None, quarter="All") -> DataFrame
              "l": [tags.LIABILITIES], "cl": [tags.LIABILITIES_CURRENT]}
     facts = filing_facts(fs_num, fs_sub, mapping, [t for v in parts.values() for t in v],
                          None, symbols)
-    s = slices(facts, parts)
-    rows = (_filing_head(s["a"], "assets")
-            .join(_filing_value(s["ca"], "current_assets"), KEY + ["adsh"])
-            .join(_filing_value(s["l"], "liabilities"), KEY + ["adsh"])
-            .join(_filing_value(s["cl"], "current_liabilities"), KEY + ["adsh"])
-            .filter(quarter_filter(quarter)))
+    rows = _wide(facts, ("assets", parts["a"]),
+                 {"current_assets": parts["ca"], "liabilities": parts["l"],
+                  "current_liabilities": parts["cl"]}).filter(quarter_filter(quarter))
     a, ca, liab, cl = (F.col(x) for x in
                        ("assets", "current_assets", "liabilities", "current_liabilities"))
     return _ordered(rows.select(
@@ -188,11 +190,9 @@ def roe_roa(fs_num, fs_sub, mapping, symbols=None, quarter="All") -> DataFrame:
             | ((F.col("tag") == tags.NET_INCOME[0]) & duration_rule()))
     facts = filing_facts(fs_num, fs_sub, mapping,
                          [tags.ASSETS, tags.LIABILITIES, *tags.NET_INCOME], rule, symbols)
-    s = slices(facts, {"a": [tags.ASSETS], "l": [tags.LIABILITIES], "ni": tags.NET_INCOME})
-    rows = (_filing_head(s["a"], "assets")
-            .join(_filing_value(s["l"], "liabilities"), KEY + ["adsh"])
-            .join(_filing_value(s["ni"], "netincome"), KEY + ["adsh"])
-            .filter(quarter_filter(quarter)))
+    rows = _wide(facts, ("assets", [tags.ASSETS]),
+                 {"liabilities": [tags.LIABILITIES], "netincome": tags.NET_INCOME}
+                 ).filter(quarter_filter(quarter))
     a, liab, n = F.col("assets"), F.col("liabilities"), F.col("netincome")
     return _ordered(rows.select(
         *KEY, *PERIOD, quarter_label().alias("quarter"), "ddate",
@@ -207,10 +207,8 @@ def cash_flow(fs_num, fs_sub, mapping, symbols=None, quarter="All") -> DataFrame
     facts = filing_facts(fs_num, fs_sub, mapping,
                          tags.OPERATING_CASH_FLOW + tags.INVESTING_CASH_FLOW,
                          cumulative_rule(), symbols)
-    s = slices(facts, {"ocf": tags.OPERATING_CASH_FLOW, "icf": tags.INVESTING_CASH_FLOW})
-    rows = (_filing_head(s["ocf"], "operating_cash_flow")
-            .join(_filing_value(s["icf"], "capital_expenditure"), KEY + ["adsh"])
-            .filter(quarter_filter(quarter)))
+    rows = _wide(facts, ("operating_cash_flow", tags.OPERATING_CASH_FLOW),
+                 {"capital_expenditure": tags.INVESTING_CASH_FLOW}).filter(quarter_filter(quarter))
     return _ordered(rows.select(
         *KEY, *PERIOD, quarter_label().alias("quarter"), "ddate",
         "operating_cash_flow", "capital_expenditure",
@@ -248,10 +246,8 @@ def pb_ratio(fs_num, fs_sub, mapping, stock, symbols=None, quarter="All",
     parts = {"a": [tags.ASSETS], "l": [tags.LIABILITIES], "sh": [tags.SHARES_OUTSTANDING]}
     facts = filing_facts(fs_num, fs_sub, mapping, [t for v in parts.values() for t in v],
                          None, symbols)
-    s = slices(facts, parts)
-    book = (_price_head(s["a"], "assets")
-            .join(_filing_value(s["l"], "liabilities"), KEY + ["adsh"])
-            .join(_filing_value(s["sh"], "shares"), KEY + ["adsh"]))
+    book = _wide(facts, ("assets", parts["a"]),
+                 {"liabilities": parts["l"], "shares": parts["sh"]})
     rows = _with_price(book, stock, tolerance_days).filter(quarter_filter(quarter))
     bvps = safe_div(F.col("assets") - F.col("liabilities"), F.col("shares"))
     return _ordered(rows.select(
