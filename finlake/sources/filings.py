@@ -43,7 +43,7 @@ def read_sub(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
     df = raw.select(folder_of_file().alias("folder"), *cols)
     return df.withColumns({
         "cik": F.col("cik").cast("bigint"),
-        "period": F.try_to_date(F.col("period"), F.lit("yyyyMMdd")),
+        "period": F.try_to_date(F.col("period"), "yyyyMMdd"),
         "fy": F.col("fy").cast("int"),
     })
 
@@ -54,7 +54,7 @@ def read_num(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
     return raw.select(
         folder_of_file().alias("folder"),
         "adsh", "tag",
-        F.try_to_date(F.col("ddate"), F.lit("yyyyMMdd")).alias("ddate"),
+        F.try_to_date(F.col("ddate"), "yyyyMMdd").alias("ddate"),
         F.col("qtrs").cast("int").alias("qtrs"),
         "uom",
         seg.alias("segments"),
