@@ -75,17 +75,14 @@ def rounded(c: Column, places: int = 6) -> Column:
 def pretty_size(n: str | Column) -> Column:
     """Human-readable byte count in the style of ``pg_size_pretty``.
 
-    Units step by 1024 once the value reaches 10 of the next unit, rounding
-    half away from zero.
+    Bytes below 10 kB; otherwise the first unit whose value stays below
+    10240, rounded half up from the value kept with one extra bit.
     """
-    n = col_(n).cast("double")
-    units = [("bytes", 1.0), ("kB", 1024.0), ("MB", 1024.0 ** 2), ("GB", 1024.0 ** 3),
-             ("TB", 1024.0 ** 4)]
-    expr = None
-    # walk from the largest unit down; the first that fits wins
-    for i in range(len(units) - 1, 0, -1):
-        name, size = units[i]
-        cond = F.abs(n) >= F.lit(10.0 * size) - F.lit(size / 2.0)
-        val = F.format_string("%d %s", F.round(n / size).cast("long"), F.lit(name))
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr.otherwise(F.format_string("%d bytes", n.cast("long")))
+    n = col_(n).cast("long")
+    expr = F.when(F.abs(n) < 10 * 1024, F.format_string("%d bytes", n))
+    for k, unit in enumerate(("kB", "MB", "GB", "TB"), start=1):
+        half = F.shiftright(n, 10 * k - 1)  # value in half-units
+        expr = expr.when(F.abs(half) < 20 * 1024 - 1,
+                         F.format_string("%d %s", F.floor((half + 1) / 2), F.lit(unit)))
+    half_pb = F.shiftright(n, 49)
+    return expr.otherwise(F.format_string("%d PB", F.floor((half_pb + 1) / 2)))
