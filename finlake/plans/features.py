@@ -54,11 +54,6 @@ def split_and_scale(df: DataFrame, train_fraction: float = 0.8,
     return minmax_transform(split, params, KEY, cols)
 
 
-def scaler_params(df: DataFrame, train_fraction: float = 0.8,
-                  cols: list[str] = PRICE_COLS) -> DataFrame:
-    split = chronological_split(df, KEY, "Date", train_fraction)
-    return minmax_fit(split.filter(F.col("split") == "train"), KEY, cols)
-
 
 def windows(scaled: DataFrame, seq_len: int = 50,
             features: list[str] | None = None) -> DataFrame:
@@ -69,11 +64,14 @@ def windows(scaled: DataFrame, seq_len: int = 50,
 
 
 def prepared(stock: DataFrame, daily_sentiment: DataFrame, companies=None,
-             train_fraction: float = 0.8) -> DataFrame:
-    """Encoded, split and scaled rows ready for windowing."""
+             train_fraction: float = 0.8, with_params: bool = False):
+    """Encoded, split and scaled rows ready for windowing (and the scaler table)."""
     ps = price_sentiment(stock, daily_sentiment, companies)
     enc = ordinal_encode(ps, ["Ticker", "Sentiment"])
-    return split_and_scale(enc, train_fraction)
+    split = chronological_split(enc, KEY, "Date", train_fraction)
+    params = minmax_fit(split.filter(F.col("split") == "train"), KEY, PRICE_COLS)
+    scaled = minmax_transform(split, params, KEY, PRICE_COLS)
+    return (scaled, params) if with_params else scaled
 
 
 def window_summary(win: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ equivalent of inverting the min-max scaling before ``mean_squared_error``.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,22 +54,28 @@ def arima_110(stock: DataFrame, train_fraction: float = 0.8) -> DataFrame:
     )
 
 
-def random_forest(windows_df: DataFrame, params: DataFrame, seq_len: int,
-                  features: list[str], num_trees: int = 20, max_depth: int = 6,
-                  seed: int = 7) -> DataFrame:
-    """Train on the train windows of all companies, score test windows per company."""
-    cols = [F.col("window")[i][f].alias(f"f{i}_{f}") for i in range(seq_len) for f in features]
-    flat = windows_df.select("Ticker", "split", "target", *cols)
-    names = [f"f{i}_{f}" for i in range(seq_len) for f in features]
-    vec = VectorAssembler(inputCols=names, outputCol="features").transform(flat) \
-        .select("Ticker", "split", "target", "features")
+def flat_features(window: str, fields: list[str]) -> F.Column:
+    """A window of structs -> one dense vector (step-major, ``fields`` per step)."""
+    flat = F.flatten(F.transform(F.col(window), lambda st: F.array(
+        *[st[f].cast("double") for f in fields])))
+    return array_to_vector(flat)
+
+
+def random_forest(windows_df: DataFrame, params: DataFrame, features: list[str],
+                  num_trees: int = 20, max_depth: int = 6, seed: int = 7) -> DataFrame:
+    """Fit on the train windows of all companies; test error per company in price units.
+
+    The training set is checkpointed (written to the shared checkpoint
+    folder) before the fit: the forest makes several passes over it, and a
+    lost executor then re-reads the written rows instead of recomputing the
+    windowing lineage.
+    """
+    vec = windows_df.select("Ticker", "split", "target",
+                            flat_features("window", features).alias("features"))
     train = vec.filter(F.col("split") == "train").checkpoint()
     model = RandomForestRegressor(featuresCol="features", labelCol="target",
                                   numTrees=num_trees, maxDepth=max_depth, seed=seed).fit(train)
     scored = model.transform(vec.filter(F.col("split") == "test")).join(params, KEY)
-    real_pred = unscaled(F.col("prediction"), "Close")
-    real_true = unscaled(F.col("target"), "Close")
-    se = (real_pred - real_true) * (real_pred - real_true)
-    return scored.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("n_test"), F.avg(se).alias("mse")
-    ).withColumn("rmse", F.sqrt("mse"))
+    err = unscaled(F.col("prediction"), "Close") - unscaled(F.col("target"), "Close")
+    out = scored.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_test"), F.avg(err * err).alias("mse"))
+    return out.select(*KEY, "n_test", "mse", F.sqrt("mse").alias("rmse"))

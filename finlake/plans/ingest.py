@@ -17,6 +17,7 @@ from finlake.functions import tags
 from finlake.operators.joins import keep_members
 from finlake.sinks import writers
 from finlake.sources import filings as src
+from finlake.sources.prices import wide_to_long
 
 
 def select_filings(sub: DataFrame, companies: Iterable[int] | DataFrame | None,
@@ -68,10 +69,10 @@ def ingest_filings(
         writers.write_partitioned(sub, f"{out_root}/fs_sub")
         writers.write_partitioned(num, f"{out_root}/fs_num")
     elif sink == "jdbc":
+        # Database tables are appended to (as the original loader did); the
+        # ledger, written after both appends, keeps a folder from loading twice.
         if not jdbc_url:
             raise ValueError("jdbc sink needs jdbc_url")
-        # a retried append could double a folder: clear it first is the DB's job;
-        # here the ledger guards re-runs and rows go in one transaction per partition
         writers.write_jdbc(sub, jdbc_url, "fs_sub", "append", jdbc_props)
         writers.write_jdbc(num, jdbc_url, "fs_num", "append", jdbc_props)
     else:
@@ -84,3 +85,15 @@ def ingest_filings(
 def read_loaded(spark: SparkSession, out_root: str) -> tuple[DataFrame, DataFrame]:
     """The loaded filing and fact tables (folder is a partition column)."""
     return spark.read.parquet(f"{out_root}/fs_sub"), spark.read.parquet(f"{out_root}/fs_num")
+
+
+def ingest_prices(wide: DataFrame, out_path: str, sink: str = "parquet",
+                  jdbc_url: str | None = None, jdbc_props: dict[str, str] | None = None) -> None:
+    """Daily bars: staged wide download -> long (Date, Ticker) rows -> full replace."""
+    bars = wide_to_long(wide)
+    if sink == "parquet":
+        writers.write_replace(bars, out_path)
+    elif sink == "jdbc":
+        writers.write_jdbc(bars, jdbc_url, "stock", "overwrite", jdbc_props)
+    else:
+        raise ValueError(f"unknown sink {sink!r}")
