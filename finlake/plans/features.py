@@ -54,7 +54,6 @@ def split_and_scale(df: DataFrame, train_fraction: float = 0.8,
     return minmax_transform(split, params, KEY, cols)
 
 
-
 def windows(scaled: DataFrame, seq_len: int = 50,
             features: list[str] | None = None) -> DataFrame:
     """Sliding windows of ``seq_len`` rows and the next close, inside each split."""
