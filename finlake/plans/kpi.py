@@ -4,7 +4,7 @@ Each function takes the filing tables (``fs_num``, ``fs_sub``), the
 ticker/CIK mapping and, for price-based ratios, the daily bars.  ``symbols``
 limits the companies and ``quarter`` is the dashboard's fiscal-period
 selector ('All', 'Q1', 'Q2', 'Q3' or 'FY').  Outputs are sorted by company
-and fact date; ratios are rounded to 6 places (market value to 2).
+and fact date.
 """
 
 from __future__ import annotations
@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 from finlake.functions import tags
 from finlake.functions.scalar import (
-    cumulative_rule, duration_rule, quarter_filter, quarter_label, rounded, safe_div, year_rule)
+    cumulative_rule, duration_rule, no_negative_zero, quarter_filter, quarter_label, rounded,
+    safe_div, year_rule)
+
+# Ratios are single IEEE operations on stored values and are returned as
+# computed; rounding them would only move ties (x.5 at the last kept place,
+# common when dividing by share counts) between engines.  Only values from
+# pow() are rounded, to 6 places.
+exact = no_negative_zero
 from finlake.operators.asof import asof_join
 from finlake.plans.facts import companies, filing_facts, per_filing
 
@@ -25,7 +32,7 @@ PERIOD = ["fy", "fp"]
 
 
 def _growth(curr: str, prev: str) -> F.Column:
-    return rounded(safe_div(F.col(curr) - F.col(prev), F.col(prev)) * 100)
+    return exact(safe_div(F.col(curr) - F.col(prev), F.col(prev)) * 100)
 
 
 def _ordered(df: DataFrame, *extra: str) -> DataFrame:
@@ -159,9 +166,9 @@ def margins(fs_num, fs_sub, mapping, symbols=None, quarter="All") -> DataFrame:
     return _ordered(rows.select(
         *KEY, *PERIOD, quarter_label().alias("quarter"), "ddate",
         "revenue", "cogs", "operating_cost", "netincome",
-        rounded(safe_div(r - c, r)).alias("gross_profit_margin"),
-        rounded(safe_div(r - c - o, r)).alias("operating_profit_margin"),
-        rounded(safe_div(n, r)).alias("net_profit_margin"),
+        exact(safe_div(r - c, r)).alias("gross_profit_margin"),
+        exact(safe_div(r - c - o, r)).alias("operating_profit_margin"),
+        exact(safe_div(n, r)).alias("net_profit_margin"),
     ))
 
 
@@ -179,8 +186,8 @@ def liquidity(fs_num, fs_sub, mapping, symbols=None, quarter="All") -> DataFrame
     return _ordered(rows.select(
         *KEY, *PERIOD, quarter_label().alias("quarter"), "ddate",
         "current_assets", "assets", "current_liabilities", "liabilities",
-        rounded(safe_div(liab, a - liab)).alias("debt_to_equity"),
-        rounded(safe_div(ca, cl)).alias("current_ratio"),
+        exact(safe_div(liab, a - liab)).alias("debt_to_equity"),
+        exact(safe_div(ca, cl)).alias("current_ratio"),
     ))
 
 
@@ -197,8 +204,8 @@ def roe_roa(fs_num, fs_sub, mapping, symbols=None, quarter="All") -> DataFrame:
     return _ordered(rows.select(
         *KEY, *PERIOD, quarter_label().alias("quarter"), "ddate",
         "assets", "liabilities", "netincome",
-        rounded(safe_div(n, a - liab)).alias("return_on_equity"),
-        rounded(safe_div(n, a)).alias("return_on_assets"),
+        exact(safe_div(n, a - liab)).alias("return_on_equity"),
+        exact(safe_div(n, a)).alias("return_on_assets"),
     ))
 
 
@@ -236,7 +243,7 @@ def pe_ratio(fs_num, fs_sub, mapping, stock, symbols=None, quarter="All",
     return _ordered(rows.select(
         *KEY, *PERIOD, quarter_label().alias("quarter"), "ddate",
         F.col("Date").alias("price_date"), "eps", F.col("Close").alias("stock_price"),
-        rounded(safe_div(F.col("Close"), F.col("eps"))).alias("pe_ratio"),
+        exact(safe_div(F.col("Close"), F.col("eps"))).alias("pe_ratio"),
     ))
 
 
@@ -254,8 +261,8 @@ def pb_ratio(fs_num, fs_sub, mapping, stock, symbols=None, quarter="All",
         *KEY, *PERIOD, quarter_label().alias("quarter"), "ddate",
         F.col("Date").alias("price_date"), "assets", "liabilities", "shares",
         F.col("Close").alias("stock_price"),
-        rounded(bvps).alias("book_value_per_share"),
-        rounded(safe_div(F.col("Close"), bvps)).alias("pb_ratio"),
+        exact(bvps).alias("book_value_per_share"),
+        exact(safe_div(F.col("Close"), bvps)).alias("pb_ratio"),
     ))
 
 
@@ -269,7 +276,7 @@ def market_cap(fs_num, fs_sub, mapping, stock, symbols=None, quarter="All",
         *KEY, *PERIOD, quarter_label().alias("quarter"), "ddate",
         F.col("Date").alias("price_date"), "shares_outstanding",
         F.col("Close").alias("stock_price"),
-        rounded(F.col("shares_outstanding") * F.col("Close"), 2).alias("market_cap"),
+        exact(F.col("shares_outstanding") * F.col("Close")).alias("market_cap"),
     ))
 
 
@@ -283,7 +290,7 @@ def dividend_yield(fs_num, fs_sub, mapping, stock, symbols=None, quarter="All",
     return _ordered(rows.select(
         *KEY, *PERIOD, quarter_label().alias("quarter"), "ddate",
         F.col("Date").alias("price_date"), "dividend", F.col("Close").alias("stock_price"),
-        rounded(safe_div(F.col("dividend"), F.col("Close"))).alias("dividend_yield"),
+        exact(safe_div(F.col("dividend"), F.col("Close"))).alias("dividend_yield"),
     ))
 
 
@@ -309,9 +316,9 @@ def vs_index(stock: DataFrame, symbols: Iterable[str] | None = None,
     rows = comp.join(idx, "Date").join(base, "Ticker")
     return rows.select(
         F.col("Ticker").alias("symbol"), "Date",
-        rounded(safe_div(F.col("price") - F.col("base_price"), F.col("base_price")))
+        exact(safe_div(F.col("price") - F.col("base_price"), F.col("base_price")))
         .alias("company_growth"),
-        rounded(safe_div(F.col("index_price") - idx_base, idx_base)).alias("index_growth"),
+        exact(safe_div(F.col("index_price") - idx_base, idx_base)).alias("index_growth"),
     ).orderBy(F.col("symbol"), F.col("Date").desc())
 
 
