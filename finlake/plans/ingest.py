@@ -66,8 +66,10 @@ def ingest_filings(
     num = keep_period_facts(src.read_num(spark, raw_root, pending), sub)
 
     if sink == "parquet":
-        writers.write_partitioned(sub, f"{out_root}/fs_sub")
-        writers.write_partitioned(num, f"{out_root}/fs_num")
+        # no shuffle before the write: the scan splits / join output are already
+        # balanced, each task writes its own files per folder
+        writers.write_partitioned(sub, f"{out_root}/fs_sub", cluster_by=["cik"])
+        writers.write_partitioned(num, f"{out_root}/fs_num", cluster_by=["tag", "adsh"])
     elif sink == "jdbc":
         # Database tables are appended to (as the original loader did); the
         # ledger, written after both appends, keeps a folder from loading twice.
