@@ -82,3 +82,9 @@ def window_summary(win: DataFrame) -> DataFrame:
         F.round(F.element_at("window", -1)["Close"], 9).alias("last_close"),
         F.round("target", 9).alias("target"),
     )
+
+
+def save_training_data(windows_df: DataFrame, params: DataFrame, root: str) -> None:
+    """Persist the model inputs: windows by split, and the per-company scaler table."""
+    windows_df.write.mode("overwrite").partitionBy("split").parquet(f"{root}/windows")
+    params.write.mode("overwrite").parquet(f"{root}/scalers")

@@ -29,7 +29,7 @@ TABLES = (
 ).split()
 
 # Bump when the fixture rule changes so stored copies are rebuilt.
-FIXTURE_VERSION = "3"
+FIXTURE_VERSION = "4"
 
 # Fixed values of the fixture rule.
 SEGMENT_NAME = "ProductSegment"
@@ -333,7 +333,9 @@ class Fixtures:
     def fs_num(self) -> DataFrame:
         from finlake.plans.ingest import keep_period_facts
 
-        return self._memo("fs_num", lambda: keep_period_facts(self.fs_num_raw, self.fs_sub))
+        # clustered by tag inside each file, like the ingest writes it
+        return self._memo("fs_num", lambda: keep_period_facts(self.fs_num_raw, self.fs_sub)
+                          .sortWithinPartitions("tag", "adsh"))
 
     @property
     def stock(self) -> DataFrame:

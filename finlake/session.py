@@ -76,3 +76,22 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
         os.makedirs(fallback, exist_ok=True)
         spark.sparkContext.setCheckpointDir(fallback)
         return spark.sparkContext.getCheckpointDir() or fallback
+
+
+def object_store_conf(access_key: str | None = None, secret_key: str | None = None,
+                      endpoint: str | None = None) -> dict[str, str]:
+    """Settings for reading ``s3a://`` paths; keys are passed in, never stored in code.
+
+    Without keys the default credential chain of the cluster is used.
+    """
+    conf = {"spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem"}
+    if access_key and secret_key:
+        conf.update({
+            "spark.hadoop.fs.s3a.aws.credentials.provider":
+                "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider",
+            "spark.hadoop.fs.s3a.access.key": access_key,
+            "spark.hadoop.fs.s3a.secret.key": secret_key,
+        })
+    if endpoint:
+        conf["spark.hadoop.fs.s3a.endpoint"] = endpoint
+    return conf

@@ -102,3 +102,19 @@ def test_arima_on_a_linear_trend(spark):
     r = arima_110(df).collect()[0]
     assert r.phi == pytest.approx(1.0) and r.c == pytest.approx(1.0)
     assert r.n_train == 32 and r.n_test == 8 and r.rmse == pytest.approx(0.0)
+
+
+def test_inverse_scaling_and_saved_training_data(spark, scratch):
+    from finlake.operators.scaling import unscaled
+    from finlake.plans.features import save_training_data
+
+    split = chronological_split(_bars(spark), ["Ticker"], "Date", 0.8)
+    params = minmax_fit(split.filter(F.col("split") == "train"), ["Ticker"], ["Close"])
+    scaled = minmax_transform(split.withColumn("raw", F.col("Close")), params, ["Ticker"],
+                              ["Close"], keep_params=True)
+    back = scaled.select((unscaled(F.col("Close"), "Close") - F.col("raw")).alias("d"))
+    assert max(abs(r.d) for r in back.collect()) < 1e-9
+    win = sequence_windows(scaled, ["Ticker", "split"], "split_rn", ["Close"], "Close", 5)
+    save_training_data(win, params, scratch)
+    assert spark.read.parquet(f"{scratch}/windows").count() == win.count()
+    assert spark.read.parquet(f"{scratch}/scalers").count() == 4
