@@ -252,12 +252,10 @@ def news_source_b(news_df: DataFrame) -> DataFrame:
     )
 
 
-def _store_root(spark: SparkSession) -> str:
-    """Shared folder for derived tables: the cluster's ``spark.checkpoint.dir``."""
+def _store_root(spark: SparkSession) -> str | None:
+    """Shared folder for derived tables: the cluster's ``spark.checkpoint.dir`` (or None)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set")
-    return root.rstrip("/")
+    return root.rstrip("/") if root else None
 
 
 def _input_key(sf_dir: str) -> str:
@@ -298,7 +296,8 @@ class Fixtures:
 
     def _memo(self, key, build):
         if key not in self._cache:
-            if not self.materialize:
+            if not self.materialize or _store_root(self.spark) is None:
+                # no shared folder configured: derive lazily, never a local temp dir
                 self._cache[key] = build()
             else:
                 path = self._path(key)
