@@ -61,10 +61,13 @@ def dense_daily(counts: DataFrame, start: str | Column | None = None,
     is symbols x days, fixed by the parameters, and the counts are joined on
     (symbol, date).
     """
+    if start is None or end is None:
+        # both bounds from one scalar subquery over the counts
+        bounds = counts.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
     lo = (F.lit(start).cast("date") if isinstance(start, str)
-          else start if start is not None else counts.agg(F.min("date")).scalar())
+          else start if start is not None else bounds["lo"])
     hi = (F.lit(end).cast("date") if isinstance(end, str)
-          else end if end is not None else counts.agg(F.max("date")).scalar())
+          else end if end is not None else bounds["hi"])
     days = counts.select("symbol").distinct().select(
         "symbol", F.explode(F.sequence(lo, hi)).alias("date"))
     return days.join(counts, ["symbol", "date"], "left").select(
