@@ -42,13 +42,20 @@ def _ordered(df: DataFrame, *extra: str) -> DataFrame:
 def _year_over_year(rows: DataFrame, carried: list[str]) -> DataFrame:
     """Each row with the same fiscal period of the previous fiscal year.
 
-    Left self join on (company, fp, fy = prev.fy + 1): duplicated facts
-    multiply and missing years give NULL, exactly like the SQL join.
+    Same result as ``LEFT JOIN prev ON fp = prev.fp AND fy = prev.fy + 1``
+    (duplicates multiply, a missing year or a NULL fp/fy gives NULL), but from
+    one scan: a window per (company, fp) ordered by fy whose RANGE frame is
+    exactly the previous year.  A partition holds one company's facts of one
+    fiscal period over the years, so it stays small for any company.
     """
-    prev = rows.select(
-        *KEY, "fp", (F.col("fy") + 1).alias("fy"),
-        *[F.col(c).alias(f"prev_{c}") for c in carried])
-    return rows.join(prev, KEY + ["fp", "fy"], "left")
+    w = (Window.partitionBy(*KEY, "fp").orderBy("fy")
+         .rangeBetween(-1, -1))
+    prev_rows = F.collect_list(F.struct(*[F.col(c).alias(f"prev_{c}") for c in carried])).over(w)
+    keyed = F.col("fp").isNotNull() & F.col("fy").isNotNull()
+    out = rows.withColumn("_prev", F.when(keyed, prev_rows))
+    out = out.withColumn("_prev", F.explode_outer("_prev"))
+    return out.select("*", *[F.col(f"_prev.prev_{c}").alias(f"prev_{c}") for c in carried]) \
+        .drop("_prev")
 
 
 # ----------------------------------------------------------- growth queries
