@@ -14,9 +14,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.operators.joins import keep_members
+from finlake.sinks.writers import write_csv
+from finlake.sources.text import read_news_csv
 
 CLEAN_COLS = ("date", "symbol", "title")
 
+# Layouts of the two raw news exports (all text; dates are parsed while cleaning).
+SOURCE_A_SCHEMA = (
+    "`Unnamed: 0` string, Date string, Article_title string, Stock_symbol string, Url string, "
+    "Publisher string, Author string, Article string, Lsa_summary string, Luhn_summary string, "
+    "Textrank_summary string, Lexrank_summary string")
+SOURCE_B_SCHEMA = "`` string, title string, date string, stock string"
+CLEAN_SCHEMA = "date date, symbol string, title string"
+
 
 def _keep(df: DataFrame, tickers: Iterable[str] | DataFrame | None, since: str | None):
     cond = F.col("date").isNotNull()
@@ -72,3 +82,13 @@ def dense_daily(counts: DataFrame, start: str | Column | None = None,
         "symbol", F.explode(F.sequence(lo, hi)).alias("date"))
     return days.join(counts, ["symbol", "date"], "left").select(
         "symbol", "date", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
+
+
+def extract_news(spark, path_a: str, path_b: str, tickers, out_path: str,
+                 since: str = "2009-01-01") -> DataFrame:
+    """Job: both raw exports -> cleaned, combined, sorted headlines written as CSV."""
+    a = clean_source_a(read_news_csv(spark, path_a, SOURCE_A_SCHEMA), tickers, since)
+    b = clean_source_b(read_news_csv(spark, path_b, SOURCE_B_SCHEMA), tickers, since)
+    combined = combine(a, b)
+    write_csv(combined, out_path)
+    return read_news_csv(spark, out_path, CLEAN_SCHEMA)

@@ -74,3 +74,17 @@ def daily_sentiment(news_ws: DataFrame) -> DataFrame:
     """(Date, Ticker, Sentiment): the tie-resolved most frequent label per day and company."""
     m = group_mode(news_ws, ["date", "symbol"], "sentiment", out="Sentiment")
     return m.select(F.col("date").alias("Date"), F.col("symbol").alias("Ticker"), "Sentiment")
+
+
+def score_news_file(spark, in_path: str, out_path: str,
+                    scorer_factory: Callable[[], Scorer] = lexicon_scorer,
+                    batch_size: int = 100) -> DataFrame:
+    """Job: cleaned headlines CSV -> the same rows plus ``sentiment``, written as CSV."""
+    from finlake.plans.news import CLEAN_SCHEMA
+    from finlake.sinks.writers import write_csv
+    from finlake.sources.text import read_news_csv
+
+    scored = score_text(read_news_csv(spark, in_path, CLEAN_SCHEMA), "title", "sentiment",
+                        scorer_factory, batch_size)
+    write_csv(scored, out_path)
+    return read_news_csv(spark, out_path, CLEAN_SCHEMA + ", sentiment string")

@@ -111,3 +111,21 @@ def news_from_search(results: DataFrame, pages: DataFrame, url_col: str = "url",
         "title",
         F.to_date(F.from_unixtime(F.col("providerPublishTime"))).alias("date"),
         "content")
+
+
+def table_frame(rows: DataFrame, columns: dict[str, str], id_col: str = "page_id") -> DataFrame:
+    """Rows of :func:`table_rows` -> named, typed columns picked by header text.
+
+    ``columns`` maps a header cell text to a Spark type, e.g.
+    ``{"Symbol": "string", "CIK": "bigint"}``; row 0 is the header.
+    """
+    header = rows.filter(F.col("row") == 0).select(id_col, F.col("cells").alias("_h"))
+    body = rows.filter(F.col("row") > 0).join(header, id_col)
+    return body.select(*[
+        F.try_element_at("cells", (F.array_position("_h", F.lit(name))).cast("int"))
+        .cast(typ).alias(name) for name, typ in columns.items()])
+
+
+def company_list(pages: DataFrame) -> DataFrame:
+    """(Symbol, CIK) from the first table of company-list pages."""
+    return table_frame(table_rows(pages), {"Symbol": "string", "CIK": "bigint"})

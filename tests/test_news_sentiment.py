@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from finlake.operators.modes import group_mode
 from finlake.plans import news
@@ -97,3 +98,28 @@ def test_scoring_job_uses_factory_once_per_task_and_batches(spark):
     got = {r.id % 4: r.sentiment for r in out.collect()}
     assert got == {0: "positive", 1: "negative", 2: "neutral", 3: "neutral"}
     assert out.count() == 20
+
+
+def test_news_and_scoring_jobs_end_to_end(spark, scratch):
+    a = os.path.join(scratch, "a.csv")
+    b = os.path.join(scratch, "b.csv")
+    with open(a, "w") as fh:
+        fh.write("Unnamed: 0,Date,Article_title,Stock_symbol,Url,Publisher,Author,Article,"
+                 "Lsa_summary,Luhn_summary,Textrank_summary,Lexrank_summary\n")
+        fh.write('0,2023-12-16 23:00:00 UTC,"Strong profit, ""record"" growth",AAA,u,p,a,x,,,,\n')
+        fh.write("1,2008-01-01 10:00:00 UTC,old,AAA,u,p,a,x,,,,\n")
+        fh.write('2,2023-12-15 10:00:00 UTC,"weak\nloss",BBB,u,p,a,x,,,,\n')
+    with open(b, "w") as fh:
+        fh.write(",title,date,stock\n")
+        fh.write("0,flat day,2020-06-05 23:30:00-04:00,AAA\n")
+        fh.write("1,unknown,2020-06-05 10:00:00-04:00,ZZZ\n")
+    clean = news.extract_news(spark, a, b, ["AAA", "BBB"], os.path.join(scratch, "clean"))
+    got = [tuple(r) for r in clean.orderBy(F.col("symbol"), F.col("date").desc()).collect()]
+    assert got == [(D(2023, 12, 16), "AAA", 'Strong profit, "record" growth'),
+                   (D(2020, 6, 5), "AAA", "flat day"), (D(2023, 12, 15), "BBB", "weak\nloss")]
+    from finlake.plans.sentiment import score_news_file
+
+    scored = score_news_file(spark, os.path.join(scratch, "clean"), os.path.join(scratch, "scored"))
+    assert {r.title: r.sentiment for r in scored.collect()} == {
+        'Strong profit, "record" growth': "positive", "flat day": "neutral",
+        "weak\nloss": "negative"}

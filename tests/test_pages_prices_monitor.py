@@ -86,3 +86,8 @@ def test_loaded_folders_order(spark):
     led = spark.createDataFrame([("2020q1",), ("2021q3",), ("2020q4",)], "folder_name string")
     assert [r[0] for r in monitor.loaded_folders(led).collect()] == ["2021q3", "2020q4", "2020q1"]
     assert F is not None
+
+
+def test_company_list_from_table(spark):
+    got = rows(html.company_list(_pages(spark)))
+    assert got == [("AAA", 1), ("BBB", 2)]
