@@ -1,6 +1,5 @@
 """Filing ingest: staged TSV folders -> filter -> period facts -> partitioned tables + ledger."""
 
-import io
 import os
 import zipfile
 

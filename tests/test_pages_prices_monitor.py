@@ -3,7 +3,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from finlake.functions.scalar import pretty_size
 from finlake.plans import monitor
@@ -85,7 +84,6 @@ def test_pretty_size_and_table_sizes(spark, scratch):
 def test_loaded_folders_order(spark):
     led = spark.createDataFrame([("2020q1",), ("2021q3",), ("2020q4",)], "folder_name string")
     assert [r[0] for r in monitor.loaded_folders(led).collect()] == ["2021q3", "2020q4", "2020q1"]
-    assert F is not None
 
 
 def test_company_list_from_table(spark):
