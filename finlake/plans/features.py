@@ -67,7 +67,9 @@ def prepared(stock: DataFrame, daily_sentiment: DataFrame, companies=None,
     """Encoded, split and scaled rows ready for windowing (and the scaler table)."""
     ps = price_sentiment(stock, daily_sentiment, companies)
     enc = ordinal_encode(ps, ["Ticker", "Sentiment"])
-    split = chronological_split(enc, KEY, "Date", train_fraction)
+    # The split feeds both the scaler fit and the transform; write it once to
+    # the shared checkpoint folder instead of numbering the rows twice.
+    split = chronological_split(enc, KEY, "Date", train_fraction).checkpoint()
     params = minmax_fit(split.filter(F.col("split") == "train"), KEY, PRICE_COLS)
     scaled = minmax_transform(split, params, KEY, PRICE_COLS)
     return (scaled, params) if with_params else scaled

@@ -3,7 +3,6 @@
 import datetime as dt
 import os
 
-
 from finlake.functions.scalar import pretty_size
 from finlake.plans import monitor
 from finlake.sources import html
