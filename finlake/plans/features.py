@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from finlake.operators.joins import keep_members
 from finlake.operators.scaling import minmax_fit, minmax_transform
 from finlake.operators.series import chronological_split, sequence_windows
+from finlake.session import cut_lineage
 
 PRICE_COLS = ["Close", "High", "Low", "Open"]
 KEY = ["Ticker"]
@@ -69,7 +70,7 @@ def prepared(stock: DataFrame, daily_sentiment: DataFrame, companies=None,
     enc = ordinal_encode(ps, ["Ticker", "Sentiment"])
     # The split feeds both the scaler fit and the transform; write it once to
     # the shared checkpoint folder instead of numbering the rows twice.
-    split = chronological_split(enc, KEY, "Date", train_fraction).checkpoint()
+    split = cut_lineage(chronological_split(enc, KEY, "Date", train_fraction))
     params = minmax_fit(split.filter(F.col("split") == "train"), KEY, PRICE_COLS)
     scaled = minmax_transform(split, params, KEY, PRICE_COLS)
     return (scaled, params) if with_params else scaled

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from finlake.functions.scalar import rounded
 from finlake.operators.scaling import unscaled
 from finlake.operators.series import chronological_split, lagged
+from finlake.session import cut_lineage
 
 KEY = ["Ticker"]
 
@@ -72,7 +73,7 @@ def random_forest(windows_df: DataFrame, params: DataFrame, features: list[str],
     """
     vec = windows_df.select("Ticker", "split", "target",
                             flat_features("window", features).alias("features"))
-    train = vec.filter(F.col("split") == "train").checkpoint()
+    train = cut_lineage(vec.filter(F.col("split") == "train"))
     model = RandomForestRegressor(featuresCol="features", labelCol="target",
                                   numTrees=num_trees, maxDepth=max_depth, seed=seed).fit(train)
     scored = model.transform(vec.filter(F.col("split") == "test")).join(params, KEY)

@@ -95,3 +95,18 @@ def object_store_conf(access_key: str | None = None, secret_key: str | None = No
     if endpoint:
         conf["spark.hadoop.fs.s3a.endpoint"] = endpoint
     return conf
+
+
+def cut_lineage(df):
+    """``df.checkpoint()`` into the shared checkpoint folder when one is configured.
+
+    Without one the DataFrame is returned as is (recomputed where reused);
+    a machine-local folder is never substituted.
+    """
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        conf = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            return df
+        sc.setCheckpointDir(conf)
+    return df.checkpoint()
