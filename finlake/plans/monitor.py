@@ -25,16 +25,18 @@ def folder_fact_counts(fs_num: DataFrame, fs_sub: DataFrame) -> DataFrame:
 
 
 def table_sizes(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
-    """(table, files, bytes, size) for Parquet tables given as name -> path."""
-    parts = []
+    """(table, files, bytes, size) for Parquet tables given as name -> path.
+
+    One union of the tables' file metadata, then two small aggregations (per
+    file, per table); no data page is read.
+    """
+    files = None
     for name, path in tables.items():
-        files = spark.read.parquet(path).select(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
-        ).distinct()
-        parts.append(files.agg(
-            F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")
-        ).withColumn("table", F.lit(name)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("table", "files", "bytes", pretty_size("bytes").alias("size"))
+        part = spark.read.parquet(path).select(
+            F.lit(name).alias("table"), F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("bytes"))
+        files = part if files is None else files.unionByName(part)
+    per_file = files.groupBy("table", "file").agg(F.max("bytes").alias("bytes"))
+    per_table = per_file.groupBy("table").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    return per_table.select("table", "files", "bytes", pretty_size("bytes").alias("size"))
