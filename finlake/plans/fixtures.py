@@ -254,7 +254,12 @@ def news_source_b(news_df: DataFrame) -> DataFrame:
 
 def _store_root(spark: SparkSession) -> str | None:
     """Shared folder for derived tables: the cluster's ``spark.checkpoint.dir`` (or None)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect session
+            root = None
     return root.rstrip("/") if root else None
 
 

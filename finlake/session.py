@@ -107,9 +107,13 @@ def cut_lineage(df):
     Without one the DataFrame is returned as is (recomputed where reused);
     a machine-local folder is never substituted.
     """
-    sc = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server applies spark.checkpoint.dir
+        return df.checkpoint() if conf else df
     if not sc.getCheckpointDir():
-        conf = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if not conf:
             return df
         sc.setCheckpointDir(conf)
