@@ -51,9 +51,11 @@ def clean_source_b(raw: DataFrame, tickers=None, since: str | None = None) -> Da
     return _keep(df, tickers, since)
 
 
-def combine(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Both sources, symbol ascending then newest first."""
-    return a.unionByName(b).orderBy(F.col("symbol").asc(), F.col("date").desc())
+def combine(a: DataFrame, b: DataFrame, ordered: bool = True) -> DataFrame:
+    """Both sources, symbol ascending then newest first (``ordered=False``: no sort,
+    for inputs of further aggregation)."""
+    both = a.unionByName(b)
+    return both.orderBy(F.col("symbol").asc(), F.col("date").desc()) if ordered else both
 
 
 def daily_counts(news: DataFrame, symbols: Iterable[str] | None = None) -> DataFrame:
