@@ -11,6 +11,11 @@ exact key ``(ticker, date)``:
   spreads over every partition;
 * the expanded side is the fact table, ``tolerance + 1`` times its size
   (11x for the dashboard's 10 days), bounded by the parameter, not the data.
+
+For long tolerances the expansion would grow with the tolerance, so a bucketed
+plan is used instead: dates are cut into buckets of ``tolerance + 1`` days, a
+fact meets the bars of its own and the previous bucket (2x), and the exact
+range is checked after the equi-join on (ticker, bucket).
 """
 
 from __future__ import annotations
@@ -19,6 +24,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+EXPAND_MAX_DAYS = 31
+
+
 def asof_candidates(
     facts: DataFrame,
     bars: DataFrame,
@@ -27,8 +35,16 @@ def asof_candidates(
     bar_key: str = "Ticker",
     bar_date: str = "Date",
     tolerance_days: int = 10,
+    strategy: str = "auto",
 ) -> DataFrame:
-    """All (fact, bar) pairs with bar_date in [fact_date - tolerance, fact_date]."""
+    """All (fact, bar) pairs with bar_date in [fact_date - tolerance, fact_date].
+
+    ``strategy``: 'expand' (candidate dates), 'bucket', or 'auto' (expand up
+    to ``EXPAND_MAX_DAYS`` of tolerance).
+    """
+    if strategy == "bucket" or (strategy == "auto" and tolerance_days > EXPAND_MAX_DAYS):
+        return _bucketed_candidates(facts, bars, fact_key, fact_date, bar_key, bar_date,
+                                    tolerance_days)
     expanded = facts.withColumn(
         "_cand",
         F.explode(F.sequence(F.date_sub(F.col(fact_date), tolerance_days), F.col(fact_date))),
@@ -39,6 +55,19 @@ def asof_candidates(
     return joined.drop(b["_cand"]).drop("_bk").withColumnRenamed("_cand", bar_date)
 
 
+def _bucketed_candidates(facts, bars, fact_key, fact_date, bar_key, bar_date, tolerance_days):
+    width = tolerance_days + 1
+    day = lambda c: F.unix_date(F.col(c))
+    f = facts.withColumn("_bucket", F.explode(F.array(
+        F.floor(day(fact_date) / width), F.floor(day(fact_date) / width) - 1)))
+    b = (bars.withColumnRenamed(bar_key, "_bk")
+         .withColumn("_bucket", F.floor(day(bar_date) / width)))
+    joined = f.join(b, (f[fact_key] == b["_bk"]) & (f["_bucket"] == b["_bucket"]))
+    in_range = ((joined[bar_date] <= joined[fact_date])
+                & (joined[bar_date] >= F.date_sub(joined[fact_date], tolerance_days)))
+    return joined.filter(in_range).drop(f["_bucket"]).drop(b["_bucket"]).drop("_bk")
+
+
 def latest_per_group(df: DataFrame, group: list[str], date_col: str = "Date") -> DataFrame:
     """Rows ranked first by date (descending) within each group; ties all stay."""
     w = Window.partitionBy(*group).orderBy(F.col(date_col).desc())
@@ -54,6 +83,7 @@ def asof_join(
     bar_key: str = "Ticker",
     bar_date: str = "Date",
     tolerance_days: int = 10,
+    strategy: str = "auto",
 ) -> DataFrame:
     """Facts with the latest bar within the tolerance, ranked per ``rank_group``.
 
@@ -62,5 +92,6 @@ def asof_join(
     group holds facts of different dates only the rows that met the latest
     bar remain.  Facts with no bar in the window drop out (inner join).
     """
-    pairs = asof_candidates(facts, bars, fact_key, fact_date, bar_key, bar_date, tolerance_days)
+    pairs = asof_candidates(facts, bars, fact_key, fact_date, bar_key, bar_date, tolerance_days,
+                            strategy)
     return latest_per_group(pairs, rank_group, bar_date)

@@ -45,15 +45,17 @@ def test_windows_equal_brute_force(spark, lengths, seq_len, extra_block):
     fact_days=st.lists(st.tuples(st.integers(0, 1), st.integers(0, 3), st.integers(0, 40)),
                        min_size=1, max_size=12),
     bar_days=st.sets(st.tuples(st.integers(0, 1), st.integers(0, 40)), max_size=25),
-    tol=st.integers(0, 6),
+    tol=st.integers(0, 12),
+    strategy=st.sampled_from(["expand", "bucket"]),
 )
-def test_asof_equals_brute_force(spark, fact_days, bar_days, tol):
+def test_asof_equals_brute_force(spark, fact_days, bar_days, tol, strategy):
     facts = [(i, f"S{s}", f"f{g}", D0 + dt.timedelta(days=d)) for i, (s, g, d) in enumerate(fact_days)]
     bars = [(f"S{s}", D0 + dt.timedelta(days=d), float(d)) for s, d in bar_days]
     fdf = spark.createDataFrame(facts, "id long, symbol string, folder string, ddate date")
     bdf = spark.createDataFrame(bars or [("none", D0, 0.0)], "Ticker string, Date date, Close double")
     got = sorted((r.id, r.Date) for r in asof_join(
-        fdf, bdf, "symbol", "ddate", ["symbol", "folder"], tolerance_days=tol).collect())
+        fdf, bdf, "symbol", "ddate", ["symbol", "folder"], tolerance_days=tol,
+        strategy=strategy).collect())
     pairs = [(fid, sym, grp, b_date) for fid, sym, grp, d in facts
              for b_sym, b_date, _ in bars if b_sym == sym and d - dt.timedelta(days=tol) <= b_date <= d]
     best = {}
