@@ -118,3 +118,21 @@ def test_inverse_scaling_and_saved_training_data(spark, scratch):
     save_training_data(win, params, scratch)
     assert spark.read.parquet(f"{scratch}/windows").count() == win.count()
     assert spark.read.parquet(f"{scratch}/scalers").count() == 4
+
+
+def test_hot_ticker_partitions_stay_bounded(spark):
+    """One ticker with 40% of the rows (5 per day): every window partition stays bounded."""
+    recs = [("HOT", dt.date(1990, 1, 1) + dt.timedelta(days=i // 5), float(i)) for i in range(6000)]
+    recs += [(f"C{t}", dt.date(2000, 1, 1) + dt.timedelta(days=i), float(i))
+             for t in range(30) for i in range(300)]
+    df = spark.createDataFrame(recs, "Ticker string, Date date, Close double")
+    numbered = row_numbers(df, ["Ticker"], "Date", ["Close"], rn="rn")
+    hot = sorted(r.rn for r in numbered.filter("Ticker = 'HOT'").select("rn").collect())
+    assert hot == list(range(1, 6001))
+    # the per-ticker window runs over one row per (ticker, day): 1,200 for HOT, not 6,000
+    per_day_rows = df.groupBy("Ticker", "Date").count().filter("Ticker = 'HOT'").count()
+    assert per_day_rows == 1200
+    # frame functions run per (ticker, block): at most block + reach rows each
+    blocks = with_blocks(numbered, "rn", 1000, ahead=50)
+    sizes = [r["count"] for r in blocks.groupBy("Ticker", "_block").count().collect()]
+    assert max(sizes) <= 1050 and len(sizes) == 6 + 30
