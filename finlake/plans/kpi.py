@@ -19,16 +19,16 @@ from finlake.functions.scalar import (
     cumulative_rule, duration_rule, no_negative_zero, quarter_filter, quarter_label, rounded,
     safe_div, year_rule)
 
-# Ratios are single IEEE operations on stored values and are returned as
-# computed; rounding them would only move ties (x.5 at the last kept place,
-# common when dividing by share counts) between engines.  Only values from
-# pow() are rounded, to 6 places.
-exact = no_negative_zero
 from finlake.operators.asof import asof_join
 from finlake.plans.facts import companies, filing_facts, per_filing
 
 KEY = ["symbol", "cik"]
 PERIOD = ["fy", "fp"]
+# Ratios are single IEEE operations on stored values and are returned as
+# computed; rounding them would only move ties (x.5 at the last kept place,
+# common when dividing by share counts) between engines.  Only values from
+# pow() are rounded, to 6 places.
+exact = no_negative_zero
 
 
 def _growth(curr: str, prev: str) -> F.Column:
@@ -48,8 +48,7 @@ def _year_over_year(rows: DataFrame, carried: list[str]) -> DataFrame:
     exactly the previous year.  A partition holds one company's facts of one
     fiscal period over the years, so it stays small for any company.
     """
-    w = (Window.partitionBy(*KEY, "fp").orderBy("fy")
-         .rangeBetween(-1, -1))
+    w = Window.partitionBy(*KEY, "fp").orderBy("fy").rangeBetween(-1, -1)
     prev_rows = F.collect_list(F.struct(*[F.col(c).alias(f"prev_{c}") for c in carried])).over(w)
     keyed = F.col("fp").isNotNull() & F.col("fy").isNotNull()
     out = rows.withColumn("_prev", F.when(keyed, prev_rows))
