@@ -18,12 +18,12 @@ from finlake.functions import tags
 from finlake.functions.scalar import (
     cumulative_rule, duration_rule, no_negative_zero, quarter_filter, quarter_label, rounded,
     safe_div, year_rule)
-
 from finlake.operators.asof import asof_join
 from finlake.plans.facts import companies, filing_facts, per_filing
 
 KEY = ["symbol", "cik"]
 PERIOD = ["fy", "fp"]
+
 # Ratios are single IEEE operations on stored values and are returned as
 # computed; rounding them would only move ties (x.5 at the last kept place,
 # common when dividing by share counts) between engines.  Only values from
