@@ -82,3 +82,52 @@ def test_mode_equals_brute_force(spark, groups):
         modes = tuple(sorted(k for k, v in counts.items() if v == top))
         want = EMPTY_LABEL if not modes else modes[0] if len(modes) == 1 else TIE_RULE[modes]
         assert got[g] == want
+
+
+@SETTINGS
+@given(facts=st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["R", "C", "N", "O1", "O2"]),
+                                st.integers(-5, 5)), max_size=25))
+def test_per_filing_equals_join(spark, facts):
+    """One grouped pass == inner joins of the tag slices on the filing (+ a summed slice)."""
+    from finlake.plans.facts import per_filing
+
+    recs = [("S", 1, f"a{f}", tag, float(v)) for f, tag, v in facts]
+    if not recs:
+        return
+    df = spark.createDataFrame(recs, "symbol string, cik long, adsh string, tag string, value double")
+    out = per_filing(df, {"r": (["R"], ["value"]), "c": (["C"], ["value"]), "n": (["N"], ["value"])},
+                     sums={"o": ["O1", "O2"]})
+    got = sorted((r.adsh, r.r.value, r.c.value, r.n.value, r.o) for r in out.collect())
+    want = []
+    for a in sorted({f"a{f}" for f, _, _ in facts}):
+        vals = lambda t: [float(v) for f, tag, v in facts if f"a{f}" == a and tag in t]
+        opex = vals({"O1", "O2"})
+        if not opex:
+            continue
+        for r in vals({"R"}):
+            for c in vals({"C"}):
+                for n in vals({"N"}):
+                    want.append((a, r, c, n, float(sum(opex))))
+    assert got == sorted(want)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["Q1", "FY", None]),
+                               st.one_of(st.none(), st.integers(2018, 2022)),
+                               st.integers(0, 9)), max_size=20))
+def test_prior_year_window_equals_left_join(spark, rows):
+    from finlake.plans.kpi import _year_over_year
+
+    recs = [("S", 1, fp, fy, float(v)) for fp, fy, v in rows]
+    if not recs:
+        return
+    df = spark.createDataFrame(recs, "symbol string, cik long, fp string, fy int, x double")
+    got = sorted(((r.fp, r.fy, r.x, r.prev_x) for r in _year_over_year(df, ["x"]).collect()),
+                 key=repr)
+    want = []
+    for fp, fy, v in rows:
+        prevs = [float(pv) for pfp, pfy, pv in rows
+                 if fp is not None and fy is not None and pfp == fp and pfy is not None
+                 and fy == pfy + 1]
+        want += [(fp, fy, float(v), p) for p in prevs] or [(fp, fy, float(v), None)]
+    assert got == sorted(want, key=repr)
