@@ -26,15 +26,12 @@ def _tsv(records, header):
     return "\n".join(out) + "\n"
 
 
-@pytest.fixture(scope="module")
-def staged(spark, tmp_path_factory):
-    """Quarter folders of sub.txt/num.txt written from the fixture tables (a few folders)."""
-    fx = Fixtures(spark, SF_SMALL, materialize=False)
-    sub = fx.fs_sub.filter(F.col("folder").isin(FOLDERS)).toPandas()
+def stage(spark, fx, root, folders):
+    """Write quarter folders of sub.txt/num.txt from the fixture tables."""
+    sub = fx.fs_sub.filter(F.col("folder").isin(folders)).toPandas()
     num = fx.fs_num_raw.join(fx.fs_sub.select("adsh", "folder"), "adsh") \
-        .filter(F.col("folder").isin(FOLDERS)).toPandas()
-    root = str(tmp_path_factory.mktemp("raw"))
-    for folder in FOLDERS:
+        .filter(F.col("folder").isin(folders)).toPandas()
+    for folder in folders:
         d = os.path.join(root, folder)
         os.makedirs(d)
         s = sub[sub.folder == folder]
@@ -52,6 +49,14 @@ def staged(spark, tmp_path_factory):
                   "segments": r.segments, "value": repr(r.value)} for r in n.itertuples()]
         with open(os.path.join(d, "num.txt"), "w") as fh:
             fh.write(_tsv(nrecs, NUM_HEADER))
+
+
+@pytest.fixture(scope="module")
+def staged(spark, tmp_path_factory):
+    """A few staged quarter folders."""
+    fx = Fixtures(spark, SF_SMALL, materialize=False)
+    root = str(tmp_path_factory.mktemp("raw"))
+    stage(spark, fx, root, FOLDERS)
     return root, fx
 
 
