@@ -28,3 +28,27 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, s
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
              .option("upperBound", upper).option("numPartitions", num_partitions or 8))
     return r.load()
+
+
+WAREHOUSE_TABLES = ("fs_sub", "fs_num", "stock", "ticker_cik_mapping", "recorded")
+
+
+def register_warehouse(spark: SparkSession, root: str,
+                       names: tuple[str, ...] = WAREHOUSE_TABLES) -> list[str]:
+    """Expose the stored tables under ``root`` as temp views with their usual names.
+
+    Afterwards ad-hoc SQL runs as before, with named parameters instead of
+    text substitution, e.g.
+    ``spark.sql("SELECT * FROM fs_sub WHERE cik = :cik", args={"cik": 320193})``.
+    Missing tables are skipped; the registered names are returned.
+    """
+    from pyspark.errors import AnalysisException
+
+    done = []
+    for name in names:
+        try:
+            read_parquet(spark, f"{root.rstrip('/')}/{name}", view=name)
+        except AnalysisException:
+            continue
+        done.append(name)
+    return done

@@ -26,3 +26,18 @@ def test_ingested_tables_give_the_same_kpis(spark, scratch):
         assert rows(query(num, sub, fx.mapping)) == rows(query(fx.fs_num, fx.fs_sub, fx.mapping))
     assert rows(kpi.pe_ratio(num, sub, fx.mapping, fx.stock)) == \
         rows(kpi.pe_ratio(fx.fs_num, fx.fs_sub, fx.mapping, fx.stock))
+
+
+def test_warehouse_views_and_parameterised_sql(spark, scratch):
+    from finlake.sources.tables import register_warehouse
+
+    fx = Fixtures(spark, SF_SMALL, materialize=False)
+    root = os.path.join(scratch, "wh")
+    fx.fs_sub.write.parquet(f"{root}/fs_sub")
+    fx.mapping.write.parquet(f"{root}/ticker_cik_mapping")
+    assert register_warehouse(spark, root) == ["fs_sub", "ticker_cik_mapping"]
+    got = spark.sql(
+        "SELECT count(*) FROM fs_sub s JOIN ticker_cik_mapping m ON m.CIK = s.cik "
+        "WHERE m.Symbol = :symbol AND s.fp = :fp", args={"symbol": "S3", "fp": "FY"}).first()[0]
+    want = kpi.company_filings(fx.fs_sub, fx.mapping, symbols=["S3"]).filter("fp = 'FY'").count()
+    assert got == want > 0
