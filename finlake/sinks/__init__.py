@@ -1,0 +1 @@
+"""Writers: partitioned Parquet, CSV/JSON, JDBC, and the folder load ledger."""
