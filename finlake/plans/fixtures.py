@@ -305,15 +305,25 @@ class Fixtures:
                 # no shared folder configured: derive lazily, never a local temp dir
                 self._cache[key] = build()
             else:
-                path = self._path(key)
-                try:
-                    df = self.spark.read.parquet(path)
-                except AnalysisException:
-                    build().write.mode("overwrite").parquet(path)
-                    df = self.spark.read.parquet(path)
-                self._cache[key] = df
+                self._cache[key] = self._stored(self._path(key), build)
         return self._cache[key]
 
+    def _stored(self, path: str, build) -> DataFrame:
+        try:
+            return self.spark.read.parquet(path)
+        except AnalysisException:
+            pass
+        try:
+            build().write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+        except Exception:
+            # another process may be writing the same table: use its result if
+            # it is complete, otherwise derive the table lazily for this query
+            try:
+                return self.spark.read.parquet(path)
+            except AnalysisException:
+                return build()
+
     def build_all(self) -> None:
         for name in ("fs_sub", "fs_num_raw", "fs_num", "stock", "mapping", "news",
                      "news_with_sentiment"):
