@@ -65,13 +65,14 @@ def daily_counts(news: DataFrame, symbols: Iterable[str] | None = None) -> DataF
 
 
 def dense_daily(counts: DataFrame, start: str | Column | None = None,
-                end: str | Column | None = None) -> DataFrame:
+                end: str | Column | None = None, symbols: DataFrame | None = None) -> DataFrame:
     """Every calendar day in [start, end] for every symbol, 0 where nothing was counted.
 
     Bounds default to the first and last counted day (scalar subqueries).  The
     calendar is generated per symbol with ``explode(sequence(...))``: its size
     is symbols x days, fixed by the parameters, and the counts are joined on
-    (symbol, date).
+    (symbol, date).  ``symbols`` (one column) lists the companies to cover;
+    by default those with at least one headline.
     """
     if start is None or end is None:
         # both bounds from one scalar subquery over the counts
@@ -80,8 +81,9 @@ def dense_daily(counts: DataFrame, start: str | Column | None = None,
           else start if start is not None else bounds["lo"])
     hi = (F.lit(end).cast("date") if isinstance(end, str)
           else end if end is not None else bounds["hi"])
-    days = counts.select("symbol").distinct().select(
-        "symbol", F.explode(F.sequence(lo, hi)).alias("date"))
+    names = (counts.select("symbol") if symbols is None
+             else symbols.select(F.col(symbols.columns[0]).alias("symbol")))
+    days = names.distinct().select("symbol", F.explode(F.sequence(lo, hi)).alias("date"))
     return days.join(counts, ["symbol", "date"], "left").select(
         "symbol", "date", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
 

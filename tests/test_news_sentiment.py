@@ -123,3 +123,11 @@ def test_news_and_scoring_jobs_end_to_end(spark, scratch):
     assert {r.title: r.sentiment for r in scored.collect()} == {
         'Strong profit, "record" growth': "positive", "flat day": "neutral",
         "weak\nloss": "negative"}
+
+
+def test_daily_dense_for_a_company_list(spark):
+    counts = spark.createDataFrame([("A", D(2020, 1, 1), 2)], "symbol string, date date, count long")
+    companies = spark.createDataFrame([("A",), ("Z",)], "Symbol string")
+    got = rows(news.dense_daily(counts, "2020-01-01", "2020-01-02", symbols=companies))
+    assert got == [("A", D(2020, 1, 1), 2), ("A", D(2020, 1, 2), 0),
+                   ("Z", D(2020, 1, 1), 0), ("Z", D(2020, 1, 2), 0)]
