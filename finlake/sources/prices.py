@@ -31,3 +31,37 @@ def wide_to_long(wide: DataFrame, id_col: str = "Date", sep: str = "|",
     return out.select(
         F.col(id_col).cast("date").alias("Date"), "Ticker",
         *[F.col(f).cast("bigint" if f == "Volume" else "double").alias(f) for f in fields])
+
+
+def wide_maps_to_long(wide: DataFrame, id_col: str = "Date",
+                      fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """Wide rows with one ``map<ticker, value>`` column per field -> long bars.
+
+    The map layout keeps a wide download of thousands of tickers as a handful
+    of columns.  All fields are unpacked in one pass (map entries -> structs ->
+    ``inline``), empty values dropped, and the fields pivoted back per
+    (Date, Ticker) with an explicit value list (no extra job to find them).
+    """
+    present = [f for f in fields if f in wide.columns]
+
+    def tagged(field: str):
+        # one-argument lambda: a second parameter would be read as the index
+        return lambda e: F.struct(e["key"].alias("Ticker"), F.lit(field).alias("field"),
+                                  e["value"].cast("double").alias("value"))
+
+    entries = F.concat(*[F.transform(F.map_entries(F.col(f)), tagged(f)) for f in present])
+    long = wide.select(id_col, F.inline(entries)).filter(F.col("value").isNotNull())
+    out = long.groupBy(id_col, "Ticker").pivot("field", list(fields)).agg(F.first("value"))
+    return out.select(
+        F.col(id_col).cast("date").alias("Date"), "Ticker",
+        *[F.col(f).cast("bigint" if f == "Volume" else "double").alias(f) for f in fields])
+
+
+def long_to_wide_maps(bars: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """Daily bars -> one row per date with a ticker map per field (download layout).
+
+    A date's maps hold one entry per listed ticker, so a row is bounded by
+    the number of tickers.
+    """
+    return bars.groupBy("Date").agg(*[
+        F.map_from_entries(F.collect_list(F.struct("Ticker", f))).alias(f) for f in fields])

@@ -88,3 +88,19 @@ def test_loaded_folders_order(spark):
 def test_company_list_from_table(spark):
     got = rows(html.company_list(_pages(spark)))
     assert got == [("AAA", 1), ("BBB", 2)]
+
+
+def test_wide_maps_to_long(spark):
+    from finlake.sources.prices import long_to_wide_maps, wide_maps_to_long
+
+    big = 3_000_000_000
+    wide = spark.createDataFrame([
+        (dt.date(2020, 1, 2), {"AAA": 1.0, "BBB": None}, {"AAA": 2.0}, {"AAA": 0.5}, {"AAA": 1.5},
+         {"AAA": big}),
+        (dt.date(2020, 1, 3), {"BBB": 5.0}, {}, {}, {}, {"BBB": 9}),
+    ], "Date date, Close map<string,double>, High map<string,double>, Low map<string,double>, "
+       "Open map<string,double>, Volume map<string,bigint>")
+    got = rows(wide_maps_to_long(wide))
+    assert got == [(dt.date(2020, 1, 2), "AAA", 1.0, 2.0, 0.5, 1.5, big),
+                   (dt.date(2020, 1, 3), "BBB", 5.0, None, None, None, 9)]
+    assert rows(wide_maps_to_long(long_to_wide_maps(wide_maps_to_long(wide)))) == got
