@@ -41,3 +41,10 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_or_is_documented():
     rows_only = {"rf_forecast", "table_size"}
     assert set(QUERIES) - set(ORACLES) <= rows_only
+
+
+def test_schemas_are_stable_across_calls(spark):
+    for name, fn in QUERIES.items():
+        if name == "rf_forecast":  # fits a model on every call; schema checked in the oracle test
+            continue
+        assert fn(spark, SF_SMALL).schema == fn(spark, SF_SMALL).schema, name
