@@ -6,24 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finlake.llm import line_dedup, mixing, simhash
+from finlake.llm import decontaminate, langid, line_dedup, mixing, pii, quality, simhash, urls
 from finlake.llm.store import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, radius=4)
 
 
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
 def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", "n_lines", "n_removed")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op4_mix_sources, op7_simhash, op9_line_windows)
+    made = (op1_decontaminate, op2_url_filter, op4_mix_sources, op5_pii, op6_quality_cascade, op7_simhash,
+            op8_language_mixture, op9_line_windows)
     return {f.__name__: f for f in made}
