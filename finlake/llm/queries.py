@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finlake.llm import decontaminate, langid, line_dedup, mixing, pii, quality, simhash, urls
+from finlake.llm import decontaminate, langid, line_dedup, mixing, pii, quality, simhash, toxicity, urls
 from finlake.llm.store import table
 
 
@@ -18,6 +18,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -45,6 +49,6 @@ def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_decontaminate, op2_url_filter, op4_mix_sources, op5_pii, op6_quality_cascade, op7_simhash,
-            op8_language_mixture, op9_line_windows)
+    made = (op1_decontaminate, op2_url_filter, op3_toxicity, op4_mix_sources, op5_pii, op6_quality_cascade,
+            op7_simhash, op8_language_mixture, op9_line_windows)
     return {f.__name__: f for f in made}
