@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finlake.llm import decontaminate, langid, line_dedup, mixing, pii, quality, simhash, toxicity, urls
+from finlake.llm import decontaminate, langid, line_dedup, mixing, pii, quality, simhash, suffix_dedup, toxicity, urls
 from finlake.llm.store import table
 
 
@@ -48,7 +48,11 @@ def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (op1_decontaminate, op2_url_filter, op3_toxicity, op4_mix_sources, op5_pii, op6_quality_cascade,
-            op7_simhash, op8_language_mixture, op9_line_windows)
+            op7_simhash, op8_language_mixture, op9_line_windows, op10_suffix_dedup)
     return {f.__name__: f for f in made}
