@@ -9,24 +9,35 @@ reads them again for the next one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from finlake.llm import line_dedup, mixing, simhash
-from finlake.llm.store import stored, table
+from finlake.llm import decontaminate, langid, line_dedup, mixing, simhash
+from finlake.llm.store import is_held_out, stored, table
+
+#: a document of several languages stays if one of them has at least this share of its words
+LEAST_SHARE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8.  Documents without a letter, or in which no language has half of the words, go."""
+    langs, model = langid.train(docs.filter(~is_held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()))
+    found = langid.identify(docs.select("text", F.struct("*").alias("row")), langs, model)
+    return found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9.  Repeated lines go; so do documents of which nothing is left."""
-    out = line_dedup.dedup_lines(docs).filter("n_removed < n_lines or n_lines = 0").select(docs.columns)
-    return out
+    """Operator 9.  Repeated lines go; so do documents of which no line is left."""
+    return line_dedup.dedup_lines(docs).filter("n_removed < n_lines or n_lines = 0").select("row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7.  One document of each near-duplicate group stays: the smallest id.
+    """Operator 7.  Of each near-duplicate group the smallest id stays."""
+    return simhash.representatives(docs)
+
 
-    Documents without an id stay.
-    """
-    near = simhash.near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(near, "doc_id", "left_anti").select(docs.columns)
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1.  Documents that contain a benchmark item go."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +46,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", identify_language),
     ("line dedup", drop_repeated_lines),
     ("SimHash near-dedup", keep_one_of_each),
+    ("benchmark decontamination", drop_benchmark_leaks),
     ("mixing sources to target weights", mix_sources),
 ]
 

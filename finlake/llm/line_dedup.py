@@ -15,7 +15,8 @@ AQE may split.  Only repeated windows travel further.
 Defined cases: null text stays null and has no lines; texts of one or two lines
 are never changed; windows whose three lines are all blank do not count; rows
 that repeat an id are ordered by their text's hash, and equal rows (same id,
-same text) are one document; null ids sort last; extra columns are kept.
+same text) are one document; null ids sort last; extra columns are kept, inside
+``row``, whatever their names.
 """
 
 from __future__ import annotations
@@ -60,14 +61,13 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated lines taken out of ``text``, and ``n_lines, n_removed``."""
-    names = [c for c in docs.columns if c not in ("_d", "_t", "_covered", "n_lines", "n_removed")]
-    keyed = docs.select(*names, *row_key(F.col("doc_id"), F.col("text")))
+    """``row`` (the document's columns, the repeated lines taken out of ``text``), ``n_lines``, ``n_removed``."""
+    keyed = docs.select(*row_key(F.col("doc_id"), F.col("text")), F.struct("*").alias("row"))
     spans = repeated_lines(docs)
-    lines = F.split("text", "\n", -1)
+    lines = F.split("row.text", "\n", -1)
     left = F.filter(lines, lambda _, i: ~F.array_contains(F.col("_covered"), i))
+    text = F.when(F.col("_covered").isNull(), F.col("row.text")).otherwise(F.concat_ws("\n", left))
     return keyed.join(spans, ["_d", "_t"], "left").select(
-        *[c for c in names if c != "text"],
-        F.when(F.col("_covered").isNull(), F.col("text")).otherwise(F.concat_ws("\n", left)).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.col("row").withField("text", text).alias("row"),
+        F.when(F.col("row.text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_covered"), F.lit(0)).cast("long").alias("n_removed"))

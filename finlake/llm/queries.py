@@ -45,7 +45,7 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "text", "n_lines", "n_removed")
+    return out.select("row.doc_id", "row.text", "n_lines", "n_removed")
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.components import components
-from finlake.llm.store import per_text, stored
+from finlake.llm.store import per_text, row_key, stored
 
 SEED = 42
 #: shingles hashed at a time, so a very long text needs little memory
@@ -73,12 +73,26 @@ def fingerprint(text: str | None, width: int = 4) -> int:
     return int(sum(1 << i for i in np.flatnonzero(2 * ones > n).tolist()))
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit number."""
+def _with_fingerprint(df: DataFrame, width: int) -> DataFrame:
+    """``df`` with ``fp``, the text's fingerprint as a signed 64-bit number, in place of the text."""
     def run(texts):
         return [np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)]
 
-    return per_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "fp long")
+    return per_text(df, run, "fp long")
+
+
+def representatives(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
+    """``docs`` with one row per component: the smallest id (then text hash); null ids come last."""
+    keyed = docs.select(*row_key(F.col("doc_id"), F.col("text")), F.struct("*").alias("row"))
+    fps = stored(_with_fingerprint(keyed.select("_d", "_t", F.col("row.text").alias("text")), width), "fingerprints")
+    label = fingerprint_components(fps, radius)
+    first = F.min(F.struct("_d", "_t")).alias("k")
+    of_fp = fps.groupBy("fp").agg(first).join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    kept = of_fp.groupBy("label").agg(F.min("k").alias("k")).select("k._d", "k._t")
+    out = keyed.join(kept, ["_d", "_t"], "left_semi")
+    if fps.groupBy("_d", "_t").count().filter("count > 1").limit(1).count():  # rows that are the same twice
+        out = out.dropDuplicates(["_d", "_t"])
+    return out.select("row.*")
 
 
 def masks(radius: int, seed: int = 5) -> list[int]:
@@ -131,7 +145,8 @@ def fingerprint_components(fps: DataFrame, radius: int = 4) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits), ``component_id`` (smallest id reached) per document."""
-    fps = stored(fingerprints(docs, width), "fingerprints")
+    fps = stored(_with_fingerprint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), width),
+                 "fingerprints")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first")).join(
         fingerprint_components(fps, radius), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = classes.groupBy("label").agg(F.min("first").alias("component_id"))
