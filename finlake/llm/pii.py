@@ -130,17 +130,18 @@ CHECK = {
 def matches(text: Column, pattern: str, hint: str) -> Column:
     """All matches as array<struct<start, end, value>>, positions in code points."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-
-    def total(a: Column) -> Column:
-        return F.aggregate(a, F.lit(0), lambda s, x: s + x)
-
-    def span(v: Column, i: Column) -> Column:
-        start = total(F.slice(gaps, F.lit(1), i + 1)) + total(F.transform(F.slice(found, F.lit(1), i), F.length))
-        return F.struct(start.alias("start"), (start + F.length(v)).alias("end"), v.alias("value"))
-
+    gaps = F.split(text, pattern, -1)  # one more than there are matches
+    pairs = F.zip_with(gaps, found, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("n")))
+    # the running position adds up once; nothing inside a lambda looks at the text again
+    walked = F.aggregate(
+        F.filter(pairs, lambda x: x["n"].isNotNull()),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
+        lambda a, x: F.struct((a["at"] + x["gap"] + x["n"]).alias("at"),
+                              F.array_append(a["starts"], a["at"] + x["gap"]).alias("starts")))
+    spans = F.zip_with(walked["starts"], found, lambda s, v: F.struct(
+        s.alias("start"), (s + F.length(v)).alias("end"), v.alias("value")))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(text.rlike(hint), F.transform(found, span)).otherwise(none)
+    return F.when(text.rlike(hint), spans).otherwise(none)
 
 
 def base_spans(text: Column, kind: str) -> Column:
@@ -232,6 +233,22 @@ def train(counts: dict[Pattern, int], post: dict[Pattern, float], steps: int = 4
     return weights
 
 
+def _bare(spans: Column | str, kind: str) -> Column:
+    """The spans of one kind without their values."""
+    # one-argument lambdas: a second parameter would be read as the index
+    return F.transform(spans, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"),
+                                                 s["end"].alias("end")))
+
+
+def _of_kind(spans: Column, kind: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == kind)
+
+
+def _by_start(spans: Column) -> Column:
+    return F.array_sort(spans, lambda a, b: F.when(a["start"] < b["start"], -1).when(
+        a["start"] > b["start"], 1).otherwise(0))
+
+
 def _accepted(s: Column, weights: dict[str, list[float]]) -> Column:
     """The classifier's decision on one candidate as an expression."""
     out = F.lit(False)
@@ -254,19 +271,16 @@ def find(docs: DataFrame) -> DataFrame:
     found = docs.select("doc_id", text.alias("text"))
     found = found.select("doc_id", "text", *[base_spans(F.col("text"), k).alias(k) for k in KINDS])
     found = stored(found.select(
-        "doc_id", *[F.transform(k, lambda s, k=k: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"),
-                                                          s["end"].alias("end"))).alias(k) for k in KINDS],
+        "doc_id", *[_bare(k, k).alias(k) for k in KINDS],
         F.concat(*[candidates(F.col("text"), k, list(KINDS)) for k in KINDS]).alias("more")), "spans")
     seen = found.select(F.explode("more").alias("s")).groupBy(
         "s.kind", *[f"s.{x}" for x in LABELERS], "s.size").count().collect()
     counts = {Pattern(r["kind"], tuple(r[x] for x in LABELERS), r["size"]): r["count"] for r in seen}
     weights = train(counts, posteriors(counts))
     added = F.filter("more", lambda s: _accepted(s, weights))
-    slim = F.transform(added, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"),
-                                                 s["end"].alias("end")))
-    every = F.flatten(F.array(*[F.array_sort(F.concat(k, F.filter(slim, lambda s, k=k: s["kind"] == k)),
-                                             lambda a, b: F.when(a["start"] < b["start"], -1).when(
-                                                 a["start"] > b["start"], 1).otherwise(0)) for k in KINDS]))
+    slim = F.transform(added, lambda s: F.struct(
+        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    every = F.flatten(F.array(*[_by_start(F.concat(F.col(k), _of_kind(slim, k))) for k in KINDS]))
     return found.select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(_joined(F.concat(*KINDS)), 256).alias("base_sha256"), _joined(every).alias("spans"),

@@ -85,18 +85,22 @@ def matching_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[
     return name, verdict
 
 
-def _grams(marked: Column) -> Column:
-    return F.flatten(F.array(*[
-        F.when(F.length(marked) >= n, F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(marked) - n + 1, F.lit(1))),
-            lambda i, n=n: F.substr(marked, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in SIZES]))
+def _marked_grams(text: Column, mark: str) -> Column:
+    """All n-grams of a text, each behind its mark; linear in the text, however long it is."""
+    chars = F.split(text, "")
+
+    def grams(n: int) -> Column:
+        many = F.greatest(F.size(chars) - n + 1, F.lit(0))
+        shifted = F.arrays_zip(*[F.slice(chars, k + 1, many).alias(f"c{k}") for k in range(n)])
+        return F.transform(shifted, lambda x: F.concat(F.lit(mark), *[x[f"c{k}"] for k in range(n)]))
+
+    return F.concat(*[grams(n) for n in SIZES])
 
 
 def features(df: DataFrame) -> DataFrame:
     """``df`` (with ``host`` and ``path``) with the vector ``features``."""
-    grams = F.array_distinct(F.concat(
-        F.transform(_grams(F.concat(F.lit("^"), "host", F.lit("$"))), lambda g: F.concat(F.lit("h:"), g)),
-        F.transform(_grams(F.concat("path", F.lit("$"))), lambda g: F.concat(F.lit("p:"), g))))
+    grams = F.array_distinct(F.concat(_marked_grams(F.concat(F.lit("^"), "host", F.lit("$")), "h:"),
+                                      _marked_grams(F.concat("path", F.lit("$")), "p:")))
     hashing = HashingTF(numFeatures=FEATURES, binary=True, inputCol="_grams", outputCol="features")
     return hashing.transform(df.withColumn("_grams", grams)).drop("_grams")
 
