@@ -17,6 +17,10 @@ from finlake.session import checkpoint_dir
 #: ``_d`` of a row without an id: such rows sort behind all others
 NULL_ID = 2**63 - 1
 
+#: whole texts travel in Arrow batches; these bound a batch where the session doesn't
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+           "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20)}
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the cluster's shared checkpoint folder and read it back.
@@ -48,7 +52,10 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, as ``--py-files`` would, once per context."""
+    """Give the executors this package, as ``--py-files`` would, once per context; bound the Arrow batches."""
+    for key, value in BATCHES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     sc = spark.sparkContext
     if getattr(sc, "_finlake_shipped", False):
         return
