@@ -13,14 +13,15 @@ written once to the shared checkpoint folder and read from there (see
 from __future__ import annotations
 
 import hashlib
-import os
 from dataclasses import dataclass, field
+from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions import tags
+from finlake.session import checkpoint_dir, file_listing
+from finlake.sources.prices import long_to_wide_maps
 
 DEC = "decimal(18,2)"
 TABLES = (
@@ -29,7 +30,7 @@ TABLES = (
 ).split()
 
 # Bump when the fixture rule changes so stored copies are rebuilt.
-FIXTURE_VERSION = "4"
+FIXTURE_VERSION = "5"
 
 # Fixed values of the fixture rule.
 SEGMENT_NAME = "ProductSegment"
@@ -263,14 +264,15 @@ def _store_root(spark: SparkSession) -> str | None:
     return root.rstrip("/") if root else None
 
 
-def _input_key(sf_dir: str) -> str:
-    """Identify the input tables (path, sizes, mtimes) so a stored copy is never stale."""
-    h = hashlib.sha1(f"{FIXTURE_VERSION}|{os.path.abspath(sf_dir)}".encode())
-    for t in TABLES:
-        p = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"|{t}:{st.st_size}:{int(st.st_mtime)}".encode())
+#: the driver tables that the derived tables read
+SOURCES = ("lineitem", "supplier", "documents", "labels")
+
+
+def _input_key(spark: SparkSession, sf_dir: str) -> str:
+    """Identify the input tables (path and each file's size and time) so a stored copy is never stale."""
+    h = hashlib.sha1(f"{FIXTURE_VERSION}|{sf_dir.rstrip('/')}".encode())
+    for t in SOURCES:
+        h.update(f"|{t}:{file_listing(spark, f'{sf_dir}/{t}.parquet')}".encode())
     return h.hexdigest()[:16]
 
 
@@ -282,8 +284,8 @@ class Fixtures:
     Parquet under ``<spark.checkpoint.dir>/finlake-fixtures/<input key>/`` and
     read back from there -- the same shape as production, where the ingest
     jobs load ``fs_sub``/``fs_num``/``stock`` once and the dashboard queries
-    read the stored tables.  A failed or partial write is not readable and is
-    simply rebuilt.
+    read the stored tables.  A table without its ``_SUCCESS`` marker is a failed
+    or partial write and is rebuilt.
     """
 
     spark: SparkSession
@@ -291,13 +293,17 @@ class Fixtures:
     materialize: bool = True
     _cache: dict = field(default_factory=dict)
 
+    @cached_property
+    def _key(self) -> str:
+        return _input_key(self.spark, self.sf_dir)
+
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
             self._cache[name] = read_table(self.spark, self.sf_dir, name)
         return self._cache[name]
 
     def _path(self, key: str) -> str:
-        return f"{_store_root(self.spark)}/finlake-fixtures/{_input_key(self.sf_dir)}/{key}"
+        return f"{_store_root(self.spark)}/finlake-fixtures/{self._key}/{key}"
 
     def _memo(self, key, build):
         if key not in self._cache:
@@ -308,25 +314,19 @@ class Fixtures:
                 self._cache[key] = self._stored(self._path(key), build)
         return self._cache[key]
 
+    def _complete(self, path: str) -> bool:
+        """A finished write ends with its ``_SUCCESS`` marker."""
+        return any(name == "_SUCCESS" for name, *_ in file_listing(self.spark, path))
+
     def _stored(self, path: str, build) -> DataFrame:
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException:
-            pass
-        try:
+        if not self._complete(path):
+            # nothing there, or a half-written table: it is replaced
             build().write.mode("overwrite").parquet(path)
-            return self.spark.read.parquet(path)
-        except Exception:
-            # another process may be writing the same table: use its result if
-            # it is complete, otherwise derive the table lazily for this query
-            try:
-                return self.spark.read.parquet(path)
-            except AnalysisException:
-                return build()
+        return self.spark.read.parquet(path)
 
     def build_all(self) -> None:
-        for name in ("fs_sub", "fs_num_raw", "fs_num", "stock", "mapping", "news",
-                     "news_with_sentiment"):
+        for name in ("fs_sub", "fs_num_raw", "fs_num", "stock", "stock_wide", "mapping", "news",
+                     "news_with_sentiment", "staged"):
             getattr(self, name)
 
     @property
@@ -355,6 +355,31 @@ class Fixtures:
     def stock(self) -> DataFrame:
         return self._memo("stock", lambda: stock(self.table("lineitem")))
 
+    @property
+    def stock_wide(self) -> DataFrame:
+        """The bars as a download has them: one row per date, a ticker map per field."""
+        return self._memo("stock_wide", lambda: long_to_wide_maps(self.stock))
+
+    @property
+    def staged(self) -> str:
+        """Folder of the filings as tab-separated text, in two column layouts (even and odd years)."""
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/finlake-fixtures/{self._key}/raw"
+        if not all(self._complete(f"{path}/{name}") for name in ("sub.txt", "num.txt")):
+            sub = self.fs_sub
+            num = self.fs_num_raw.join(sub.select("adsh", "folder", "fy"), "adsh")
+            day = lambda c: F.date_format(c, "yyyyMMdd").alias(c)
+            sub = sub.select("folder", "adsh", "cik", "form", day("period"), "fy", "fp")
+            num = num.select("folder", "adsh", "tag", day("ddate"), "qtrs", "uom", "segments", "value", "fy")
+            other = {"sub.txt": ["fp", "fy", F.lit("x").alias("zipba"), "cik", "adsh", "period", "form", "folder"],
+                     "num.txt": ["value", F.lit("us-gaap").alias("version"), "segments", "ddate", "uom", "qtrs", "tag",
+                                 "adsh", "folder"]}
+            for name, df in (("sub.txt", sub), ("num.txt", num)):
+                keep = [c for c in df.columns if name == "sub.txt" or c != "fy"]
+                for mode, odd, cols in (("overwrite", 0, keep), ("append", 1, other[name])):
+                    (df.filter(F.col("fy") % 2 == odd).select(*cols).write.mode(mode).partitionBy("folder")
+                       .option("header", True).option("sep", "\t").option("quote", "").csv(f"{path}/{name}"))
+        return path
+
     @property
     def mapping(self) -> DataFrame:
         return self._memo("mapping", lambda: ticker_cik_mapping(self.table("supplier")))

@@ -71,12 +71,16 @@ def ingest_filings(
         writers.write_partitioned(sub, f"{out_root}/fs_sub", cluster_by=["cik"])
         writers.write_partitioned(num, f"{out_root}/fs_num", cluster_by=["tag", "adsh"])
     elif sink == "jdbc":
-        # Database tables are appended to (as the original loader did); the
-        # ledger, written after both appends, keeps a folder from loading twice.
+        # Database tables are appended to (as the original loader did).  The
+        # folders' rows go first, so a load that failed half-way is repeated
+        # safely; the ledger row follows both appends.
         if not jdbc_url:
             raise ValueError("jdbc sink needs jdbc_url")
-        writers.write_jdbc(sub, jdbc_url, "fs_sub", "append", jdbc_props)
-        writers.write_jdbc(num, jdbc_url, "fs_num", "append", jdbc_props)
+        for df, table in ((sub, "fs_sub"), (num, "fs_num")):
+            writers.jdbc_delete_folders(spark, jdbc_url, table, pending, jdbc_props)
+            writers.write_jdbc(df, jdbc_url, table, "append", jdbc_props)
+        ledger_rows = spark.createDataFrame([(f,) for f in pending], writers.LEDGER_SCHEMA)
+        writers.write_jdbc(ledger_rows, jdbc_url, "recorded", "append", jdbc_props)
     else:
         raise ValueError(f"unknown sink {sink!r}")
 

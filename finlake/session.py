@@ -7,6 +7,9 @@ settings that were not given, so cluster-wide choices always win.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -56,10 +59,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts, as the cluster names it.
 
-    Reads ``spark.checkpoint.dir`` (or the context's directory).  The library
-    never invents a machine-local folder: when nothing is configured this
-    raises, and only tests/bench call :func:`ensure_checkpoint_dir` with a
-    scratch folder.
+    Reads ``spark.checkpoint.dir`` (or the context's directory).  When nothing
+    is configured a cluster session raises; only a session in one local process
+    (``local[n]``) gets a temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,6 +71,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
+    if re.fullmatch(r"local(\[.*\])?", sc.master):  # one process: its own folder is shared by all it runs
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="finlake-checkpoints-"))
+        return sc.getCheckpointDir()
     raise RuntimeError(
         "spark.checkpoint.dir is not set; configure a shared folder for the cluster"
     )
@@ -104,19 +109,31 @@ def object_store_conf(access_key: str | None = None, secret_key: str | None = No
 
 
 def cut_lineage(df):
-    """``df.checkpoint()`` into the shared checkpoint folder when one is configured.
+    """``df`` written as Parquet to the shared checkpoint folder and read back.
 
-    Without one the DataFrame is returned as is (recomputed where reused);
-    a machine-local folder is never substituted.
+    Columnar files are smaller than checkpointed rows and let later passes read
+    only the columns they need.  Each call has a folder of its own; they are
+    the cluster's scratch data.  Without a configured folder the DataFrame is
+    returned as is (recomputed where reused); a machine-local folder is never
+    substituted.
     """
     spark = df.sparkSession
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server applies spark.checkpoint.dir
-        return df.checkpoint() if conf else df
-    if not sc.getCheckpointDir():
-        if not conf:
-            return df
-        sc.setCheckpointDir(conf)
-    return df.checkpoint()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        return df
+    path = f"{root.rstrip('/')}/finlake-cut/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def file_listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modified) of the file, or of the files right under the folder, by Spark's file system.
+
+    Works for every path that Spark reads; empty when there is nothing.
+    """
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(jpath):
+        return []
+    found = [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(jpath)]
+    return sorted(found)

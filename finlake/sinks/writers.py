@@ -52,6 +52,24 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     w.jdbc(url, table, properties=properties or {})
 
 
+def jdbc_delete_folders(spark: SparkSession, url: str, table: str, folders: list[str],
+                        properties: dict[str, str] | None = None) -> None:
+    """Remove the folders' rows of an earlier, perhaps broken-off load, so that an append can be repeated."""
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, v)
+    con = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        if con.getMetaData().getTables(None, None, table, None).next():
+            st = con.prepareStatement(f"DELETE FROM {table} WHERE folder = ?")
+            for f in folders:
+                st.setString(1, f)
+                st.executeUpdate()
+    finally:
+        con.close()
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with header; quotes doubled so titles with commas/quotes round-trip."""
     out = df.coalesce(1) if single_file else df

@@ -1,15 +1,16 @@
 """Readers for quarterly financial-statement extracts (tab-separated text).
 
 Each quarter is a folder ``<root>/<yyyy>q<n>/`` holding ``sub.txt`` (one row per
-filing) and ``num.txt`` (one row per reported number).  All requested folders
-are read by one distributed scan; the folder name comes from the file path, so
-no per-folder driver loop is needed.
+filing) and ``num.txt`` (one row per reported number).  Folders of one column
+layout are read by one distributed scan under that layout's own schema, and the
+layouts are united by column name; the folder name comes from the file path.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Columns of the filing table that the pipeline keeps (the rest are dropped).
 SUB_KEEP = (
@@ -18,13 +19,15 @@ SUB_KEEP = (
 )
 NUM_KEEP = ("adsh", "tag", "ddate", "qtrs", "uom", "segments", "value")
 
+#: where a folder's file lies under the root
+PATTERN = "{folder}/{name}"
+
 # last "/yyyyqN/" segment of the path (a file or a directory of part files)
-FOLDER_RE = r".*/([0-9]{4}q[1-4])/"
+FOLDER_RE = r".*/(?:folder=)?([0-9]{4}q[1-4])/"
 
 
 def _tsv_reader(spark: SparkSession):
-    # Text as it is: no quoting (a leading '"' is data), no schema inference
-    # pass; types are applied by name below.
+    # Text as it is: no quoting (a leading '"' is data), no schema inference pass.
     return (spark.read.option("header", True).option("sep", "\t")
             .option("quote", "").option("escape", "").option("mode", "PERMISSIVE"))
 
@@ -33,30 +36,67 @@ def folder_of_file() -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), FOLDER_RE, 1)
 
 
-def _paths(root: str, folders: list[str], name: str) -> list[str]:
-    return [f"{root.rstrip('/')}/{f}/{name}" for f in folders]
+def _paths(root: str, folders: list[str], name: str, pattern: str) -> list[str]:
+    return [f"{root.rstrip('/')}/{pattern.format(folder=f, name=name)}" for f in folders]
+
+
+def layouts(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Column names -> the files or folders that have them.
+
+    A CSV read takes one header for all its files, and quarters differ in
+    their columns, so each path's first line is read on its own.  That is one
+    short line per requested folder.
+    """
+    out: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        first = spark.read.text(path).limit(1).collect()
+        if first:
+            out.setdefault(tuple(first[0][0].rstrip("\r").split("\t")), []).append(path)
+    return out
 
 
-def read_sub(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
-    raw = _tsv_reader(spark).csv(_paths(root, folders, "sub.txt"))
-    cols = [c for c in SUB_KEEP if c in raw.columns]
-    df = raw.select(folder_of_file().alias("folder"), *cols)
-    return df.withColumns({
-        "cik": F.col("cik").cast("bigint"),
+def _read(spark: SparkSession, found: dict[tuple[str, ...], list[str]], keep: tuple[str, ...]) -> DataFrame:
+    """The kept columns of all layouts by name, as text; a column a layout lacks is NULL."""
+    out = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in ("folder", *keep)))
+    for names, own in sorted(found.items()):
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        raw = _tsv_reader(spark).schema(schema).csv(own)
+        out = out.unionByName(raw.select(folder_of_file().alias("folder"), *[
+            F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in keep]))
+    return out
+
+
+def read_sub(spark: SparkSession, root: str, folders: list[str], pattern: str = PATTERN) -> DataFrame:
+    """Filings of the folders, whatever the order and number of each folder's columns."""
+    found = layouts(spark, _paths(root, folders, "sub.txt", pattern))
+    present = {c for names in found for c in names}
+    raw = _read(spark, found, tuple(c for c in SUB_KEEP if c in present or not found))
+    typed = {
+        "cik": F.col("cik").try_cast("bigint"),
         "period": F.try_to_date(F.col("period"), "yyyyMMdd"),
-        "fy": F.col("fy").cast("int"),
-    })
+        "fy": F.col("fy").try_cast("int"),
+    }
+    return raw.withColumns({c: v for c, v in typed.items() if c in raw.columns})
 
 
-def read_num(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
-    raw = _tsv_reader(spark).csv(_paths(root, folders, "num.txt"))
-    seg = F.col("segments") if "segments" in raw.columns else F.lit(None).cast("string")
+def read_num(spark: SparkSession, root: str, folders: list[str], pattern: str = PATTERN) -> DataFrame:
+    """Facts of the folders; a field that isn't of its type becomes NULL (see :func:`rejects`)."""
+    raw = _read(spark, layouts(spark, _paths(root, folders, "num.txt", pattern)), NUM_KEEP)
     return raw.select(
-        folder_of_file().alias("folder"),
-        "adsh", "tag",
+        "folder", "adsh", "tag",
         F.try_to_date(F.col("ddate"), "yyyyMMdd").alias("ddate"),
-        F.col("qtrs").cast("int").alias("qtrs"),
-        "uom",
-        seg.alias("segments"),
-        F.col("value").cast("double").alias("value"),
+        F.col("qtrs").try_cast("int").alias("qtrs"),
+        "uom", "segments",
+        F.col("value").try_cast("double").alias("value"),
     )
+
+
+def rejects(spark: SparkSession, root: str, folders: list[str], pattern: str = PATTERN) -> DataFrame:
+    """Per folder how many facts have a date, quarter count or value that doesn't parse."""
+    raw = _read(spark, layouts(spark, _paths(root, folders, "num.txt", pattern)), NUM_KEEP)
+    bad = lambda c, parsed: F.count_if(F.col(c).isNotNull() & parsed.isNull()).alias(f"bad_{c}")
+    return raw.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("facts"),
+        bad("ddate", F.try_to_date(F.col("ddate"), "yyyyMMdd")),
+        bad("qtrs", F.col("qtrs").try_cast("int")),
+        bad("value", F.col("value").try_cast("double")))

@@ -9,8 +9,12 @@ Rules (regular approximations of a lenient HTML parser):
 
 * comments, ``<script>`` and ``<style>`` blocks are removed first (a ``</p>``
   inside a script is not a paragraph end);
-* a paragraph runs from ``<p ...>`` to ``</p>``, the next ``<p``, or the end
-  of its block element -- unclosed ``<p>`` tags are common;
+* paragraphs are read from every ``<article>`` of a page, in order (from the
+  first one only on request), or from the whole page if it has none;
+* a paragraph runs from ``<p ...>`` to ``</p>`` or, as the HTML standard has
+  it for unclosed ones, to the next start tag of a block element (``BLOCK_STARTS``)
+  or the end tag of one around it (``BLOCK_ENDS``); text between blocks that is
+  in no ``<p>`` is no paragraph;
 * text is the paragraph with tags removed, a few entities decoded and
   whitespace collapsed; empty paragraphs are dropped.
 """
@@ -27,6 +31,8 @@ ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
     ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
 )
+BLOCK_STARTS = ("p|h[1-6]|ul|ol|dl|table|div|section|article|aside|blockquote|pre|form|fieldset|header|footer|"
+                "main|nav|hr|figure|address|details")
 BLOCK_ENDS = "article|div|body|section|td|li|main|footer|header|blockquote"
 
 
@@ -36,12 +42,19 @@ def strip_noise(html: Column) -> Column:
     return F.regexp_replace(out, r"(?is)<style\b[^>]*>.*?</style\s*>", "")
 
 
-def within(html: Column, tag: str | None) -> Column:
-    """Inner HTML of the first ``<tag>`` element (the whole page if there is none)."""
+def within(html: Column, tag: str | None, first_only: bool = False) -> Column:
+    """Inner HTML of the ``<tag>`` elements, joined (the whole page if there is none).
+
+    ``first_only`` keeps the first element alone, as a scraper that asks for
+    one element does.
+    """
     if not tag:
         return html
-    inner = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
-    return F.when(inner == "", html).otherwise(inner)
+    every = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
+    if first_only:
+        every = F.slice(every, 1, 1)
+    inner = F.array_join(every, "</article>")  # an end tag keeps the paragraphs of two elements apart
+    return F.when(F.trim(F.replace(inner, F.lit("</article>"), F.lit(""))) == "", html).otherwise(inner)
 
 
 def text_of(fragment: Column) -> Column:
@@ -53,34 +66,31 @@ def text_of(fragment: Column) -> Column:
 
 
 def _close_paragraphs(html: Column) -> Column:
-    # every <p ...>, every block end and the end of the fragment close the
+    # every block start, every block end and the end of the fragment close the
     # paragraph before them
-    out = F.regexp_replace(html, r"(?i)<p(\s[^>]*)?>", "</p>$0")
+    out = F.regexp_replace(html, rf"(?i)<({BLOCK_STARTS})(\s[^>]*)?/?>", "</p>$0")
     out = F.regexp_replace(out, rf"(?i)</({BLOCK_ENDS})\s*>", "</p>$0")
     return F.concat(out, F.lit("</p>"))
 
 
 def paragraph_array(html: Column, container: str | None = "article",
-                    classes: Iterable[str] | None = None) -> Column:
+                    classes: Iterable[str] | None = None, first_only: bool = False) -> Column:
     """Array of paragraph texts of one page, in document order."""
-    body = _close_paragraphs(within(strip_noise(html), container))
-    pat = r"(?is)<p(\s[^>]*)?>(.*?)</p>"
-    attrs = F.regexp_extract_all(body, F.lit(pat), 1)
-    inner = F.regexp_extract_all(body, F.lit(pat), 2)
-    pairs = F.arrays_zip(attrs.alias("a"), inner.alias("t"))
+    body = _close_paragraphs(within(strip_noise(html), container, first_only))
+    found = F.regexp_extract_all(body, F.lit(r"(?is)<p(?:\s[^>]*)?>.*?</p>"), F.lit(0))
     if classes:
         wanted = F.array(*[F.lit(c) for c in classes])
-        pairs = F.filter(pairs, lambda x: F.arrays_overlap(F.split(F.regexp_extract(
-            x["a"], r"(?i)class\s*=\s*\"([^\"]*)\"", 1), " "), wanted))
-    texts = F.transform(pairs, lambda x: text_of(x["t"]))
-    return F.filter(texts, lambda t: t != "")
+        found = F.filter(found, lambda x: F.arrays_overlap(F.split(F.regexp_extract(
+            x, r"(?is)^<p[^>]*?\sclass\s*=\s*[\"']([^\"']*)[\"']", 1), r"\s+"), wanted))
+    # text_of drops all tags, the paragraph's own among them
+    return F.filter(F.transform(found, text_of), lambda t: t != "")
 
 
 def paragraphs(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                container: str | None = "article",
-               classes: Iterable[str] | None = None) -> DataFrame:
+               classes: Iterable[str] | None = None, first_only: bool = False) -> DataFrame:
     """(page id, pos, text): one row per non-empty paragraph."""
-    arr = paragraph_array(F.col(html_col), container, classes)
+    arr = paragraph_array(F.col(html_col), container, classes, first_only)
     return pages.select(id_col, F.posexplode(arr).alias("pos", "text"))
 
 

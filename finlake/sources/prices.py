@@ -38,23 +38,33 @@ def wide_maps_to_long(wide: DataFrame, id_col: str = "Date",
     """Wide rows with one ``map<ticker, value>`` column per field -> long bars.
 
     The map layout keeps a wide download of thousands of tickers as a handful
-    of columns.  All fields are unpacked in one pass (map entries -> structs ->
-    ``inline``), empty values dropped, and the fields pivoted back per
-    (Date, Ticker) with an explicit value list (no extra job to find them).
+    of columns.  All fields of a date are in one row, so each ticker's struct is
+    built there and ``inline`` unpacks them: nothing is shuffled.  Where all
+    fields list the same tickers in the same order (a download does) the maps
+    are zipped; other rows look each ticker up.
     """
     present = [f for f in fields if f in wide.columns]
+    keys = [F.map_keys(F.col(f)) for f in present]
+    same = F.lit(True)
+    for k in keys[1:]:
+        same = same & (k == keys[0])
+    whole = F.lit(True)
+    for f in present:
+        whole = whole & F.col(f).isNotNull()
 
-    def tagged(field: str):
-        # one-argument lambda: a second parameter would be read as the index
-        return lambda e: F.struct(e["key"].alias("Ticker"), F.lit(field).alias("field"),
-                                  e["value"].cast("double").alias("value"))
+    def typed(value, field: str):
+        return value.cast("bigint" if field == "Volume" else "double").alias(field)
 
-    entries = F.concat(*[F.transform(F.map_entries(F.col(f)), tagged(f)) for f in present])
-    long = wide.select(id_col, F.inline(entries)).filter(F.col("value").isNotNull())
-    out = long.groupBy(id_col, "Ticker").pivot("field", list(fields)).agg(F.first("value"))
-    return out.select(
-        F.col(id_col).cast("date").alias("Date"), "Ticker",
-        *[F.col(f).cast("bigint" if f == "Volume" else "double").alias(f) for f in fields])
+    absent = [F.lit(None).cast("bigint" if f == "Volume" else "double").alias(f) for f in fields if f not in present]
+    zipped = F.transform(
+        F.arrays_zip(keys[0].alias("k"), *[F.map_values(F.col(f)).alias(f) for f in present]),
+        lambda x: F.struct(x["k"].alias("Ticker"), *[typed(x[f], f) for f in present], *absent))
+    every = F.array_distinct(F.flatten(F.filter(F.array(*keys), lambda k: k.isNotNull())))
+    looked_up = F.transform(every, lambda t: F.struct(
+        t.alias("Ticker"), *[typed(F.try_element_at(F.col(f), t), f) for f in present], *absent))
+    long = wide.select(F.col(id_col).cast("date").alias("Date"),
+                       F.inline(F.when(whole & same, zipped).otherwise(looked_up)))
+    return long.filter(F.coalesce(*[F.col(f).cast("double") for f in fields]).isNotNull()).select("Date", "Ticker", *fields)
 
 
 def long_to_wide_maps(bars: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:

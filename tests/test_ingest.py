@@ -1,6 +1,7 @@
 """Filing ingest: staged TSV folders -> filter -> period facts -> partitioned tables + ledger."""
 
 import os
+import uuid
 import zipfile
 
 import pytest
@@ -110,3 +111,54 @@ def test_zip_members_to_fields(spark, scratch):
     got = rows(tab_fields(lines, ["adsh", "tag", "value"]), "adsh", "tag", "value")
     assert got == [("x", "Revenues", "1.5"), ("y", "Assets", None)]
     assert lines.count() == 3
+
+
+def test_folders_of_different_layouts_read_by_name(spark, scratch):
+    """Columns that moved, appeared or are missing in one quarter don't shift another quarter's."""
+    files = {
+        "2020q1": ("adsh\ttag\tversion\tcoreg\tddate\tqtrs\tuom\tvalue", "a1\tAssets\tv\t\t20200331\t0\tUSD\t1.5"),
+        "2025q1": ("adsh\ttag\tversion\tddate\tqtrs\tuom\tsegments\tcoreg\tvalue\tfootnote",
+                   "a2\tAssets\tv\t20250331\t0\tUSD\tSeg\t\t2.5\t\na3\tAssets\tv\tbad\tx\tUSD\t\t\tbad\t"),
+    }
+    for folder, (header, body) in files.items():
+        os.makedirs(os.path.join(scratch, folder))
+        with open(os.path.join(scratch, folder, "num.txt"), "w") as fh:
+            fh.write(f"{header}\n{body}\n")
+        with open(os.path.join(scratch, folder, "sub.txt"), "w") as fh:
+            fh.write("adsh\tcik\tfy\na\t1\t2020\n" if folder == "2020q1" else "fy\tname\tcik\tadsh\n2025\tN\t2\tb\n")
+    from finlake.sources import filings
+
+    both = filings.read_num(spark, scratch, ["2020q1", "2025q1"])
+    apart = [filings.read_num(spark, scratch, [f]) for f in files]
+    assert rows(both) == rows(apart[0].unionByName(apart[1]))
+    got = {r.adsh: (r.folder, str(r.ddate), r.qtrs, r.segments, r.value) for r in both.collect()}
+    assert got["a1"] == ("2020q1", "2020-03-31", 0, None, 1.5)
+    assert got["a2"] == ("2025q1", "2025-03-31", 0, "Seg", 2.5)
+    assert got["a3"] == ("2025q1", "None", None, None, None)          # bad fields don't stop the load
+    bad = {r.folder: (r.facts, r.bad_ddate, r.bad_qtrs, r.bad_value)
+           for r in filings.rejects(spark, scratch, list(files)).collect()}
+    assert bad == {"2020q1": (1, 0, 0, 0), "2025q1": (2, 1, 1, 1)}
+    sub = {r.adsh: (r.cik, r.fy, r.name) for r in filings.read_sub(spark, scratch, list(files)).collect()}
+    assert sub == {"a": (1, 2020, None), "b": (2, 2025, "N")}
+
+
+def test_half_written_fixture_table_is_rebuilt(spark):
+    fx = Fixtures(spark, SF_SMALL)
+    whole = fx.fs_sub.count()
+    path = fx._path(f"half-{uuid.uuid4().hex}")
+    fx.fs_sub.limit(3).write.parquet(path)
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(marker, False)
+    assert fx._stored(path, lambda: fx.fs_sub).count() == whole
+    assert fx._stored(path, lambda: fx.fs_sub.limit(0)).count() == whole     # a finished one is kept
+
+
+def test_input_key_follows_the_files(spark, scratch):
+    from finlake.plans.fixtures import SOURCES, _input_key
+
+    for t in SOURCES:
+        spark.range(3).write.parquet(os.path.join(scratch, f"{t}.parquet"))
+    before = _input_key(spark, scratch)
+    assert before == _input_key(spark, scratch + "/")
+    spark.range(4).write.mode("append").parquet(os.path.join(scratch, "labels.parquet"))
+    assert before != _input_key(spark, scratch)

@@ -33,3 +33,21 @@ def test_stream_loads_new_folders_once(spark, staged, scratch):  # noqa: F811
     sub, num = ingest.read_loaded(spark, out)
     assert sorted(r.folder for r in sub.select("folder").distinct().collect()) == FOLDERS[:3]
     assert sub.select("adsh").distinct().count() == sub.count()
+
+
+def test_folder_waits_for_its_second_file(spark, staged, scratch):  # noqa: F811
+    root, fx = staged
+    landing, folder = os.path.join(scratch, "landing"), FOLDERS[0]
+    out, ledger, ckpt = (os.path.join(scratch, x) for x in ("tables", "ledger", "ckpt"))
+    os.makedirs(os.path.join(landing, folder))
+
+    def arrive(name):
+        shutil.copy(os.path.join(root, folder, name), os.path.join(landing, folder, name))
+        start_filing_stream(spark, landing, out, ledger, [1, 2, 3], checkpoint=ckpt).awaitTermination(300)
+        return [r.folder_name for r in writers.read_ledger(spark, ledger).collect()]
+
+    assert arrive("sub.txt") == []
+    assert arrive("num.txt") == [folder]
+    sub, num = ingest.read_loaded(spark, out)
+    want = ingest.keep_period_facts(fx.fs_num_raw, fx.fs_sub.filter(f"folder = '{folder}' and cik in (1, 2, 3)"))
+    assert num.count() == want.count()
