@@ -2,20 +2,12 @@
 ``tolerance`` days before its own date.
 
 Spark has no native as-of join, and a join on ``Date BETWEEN d - 10 AND d``
-without an equality key is planned as a cartesian product.  Here each fact
-row is expanded to its ``tolerance + 1`` candidate dates and joined on the
-exact key ``(ticker, date)``:
-
-* the big side (bars) is never duplicated and is hash-partitioned on a key
-  that is unique per bar, so one ticker holding a third of all bars still
-  spreads over every partition;
-* the expanded side is the fact table, ``tolerance + 1`` times its size
-  (11x for the dashboard's 10 days), bounded by the parameter, not the data.
-
-For long tolerances the expansion would grow with the tolerance, so a bucketed
-plan is used instead: dates are cut into buckets of ``tolerance + 1`` days, a
-fact meets the bars of its own and the previous bucket (2x), and the exact
-range is checked after the equi-join on (ticker, bucket).
+without an equality key is planned as a cartesian product.  Here dates are cut
+into buckets of ``tolerance + 1`` days; a fact meets the bars of its own and of
+the previous bucket through an equi-join on (ticker, bucket), and the exact
+range is checked on the joined rows.  Facts double, whatever the tolerance; the
+bars are never duplicated, and a ticker's bars spread over as many join keys as
+it has buckets.
 """
 
 from __future__ import annotations
@@ -24,9 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-EXPAND_MAX_DAYS = 31
-
-
 def asof_candidates(
     facts: DataFrame,
     bars: DataFrame,
@@ -35,27 +24,8 @@ def asof_candidates(
     bar_key: str = "Ticker",
     bar_date: str = "Date",
     tolerance_days: int = 10,
-    strategy: str = "auto",
 ) -> DataFrame:
-    """All (fact, bar) pairs with bar_date in [fact_date - tolerance, fact_date].
-
-    ``strategy``: 'expand' (candidate dates), 'bucket', or 'auto' (expand up
-    to ``EXPAND_MAX_DAYS`` of tolerance).
-    """
-    if strategy == "bucket" or (strategy == "auto" and tolerance_days > EXPAND_MAX_DAYS):
-        return _bucketed_candidates(facts, bars, fact_key, fact_date, bar_key, bar_date,
-                                    tolerance_days)
-    expanded = facts.withColumn(
-        "_cand",
-        F.explode(F.sequence(F.date_sub(F.col(fact_date), tolerance_days), F.col(fact_date))),
-    )
-    b = bars.withColumnRenamed(bar_key, "_bk").withColumnRenamed(bar_date, "_cand")
-    joined = expanded.join(
-        b, (expanded[fact_key] == b["_bk"]) & (expanded["_cand"] == b["_cand"]))
-    return joined.drop(b["_cand"]).drop("_bk").withColumnRenamed("_cand", bar_date)
-
-
-def _bucketed_candidates(facts, bars, fact_key, fact_date, bar_key, bar_date, tolerance_days):
+    """All (fact, bar) pairs with bar_date in [fact_date - tolerance, fact_date]."""
     width = tolerance_days + 1
     day = lambda c: F.unix_date(F.col(c))
     f = facts.withColumn("_bucket", F.explode(F.array(
@@ -83,7 +53,6 @@ def asof_join(
     bar_key: str = "Ticker",
     bar_date: str = "Date",
     tolerance_days: int = 10,
-    strategy: str = "auto",
 ) -> DataFrame:
     """Facts with the latest bar within the tolerance, ranked per ``rank_group``.
 
@@ -92,6 +61,5 @@ def asof_join(
     group holds facts of different dates only the rows that met the latest
     bar remain.  Facts with no bar in the window drop out (inner join).
     """
-    pairs = asof_candidates(facts, bars, fact_key, fact_date, bar_key, bar_date, tolerance_days,
-                            strategy)
+    pairs = asof_candidates(facts, bars, fact_key, fact_date, bar_key, bar_date, tolerance_days)
     return latest_per_group(pairs, rank_group, bar_date)

@@ -6,28 +6,18 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-# A literal IN-list is pushed into the Parquet scan; past this many values a
-# semi join against a table is used instead of a huge expression.
-MAX_IN_LIST = 10_000
-
+from pyspark.sql import types as T
 
 def keep_members(df: DataFrame, column: str, members: Iterable | DataFrame) -> DataFrame:
-    """Rows whose ``column`` is one of ``members`` (a driver list or a table).
+    """Rows whose ``column`` is one of ``members`` (a driver list or a table): a left-semi join.
 
-    A short driver list becomes ``IN (...)`` (pushed down to the scan).  A
-    table becomes a left-semi join; Spark broadcasts it only when its
-    estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE
-    re-checks with runtime sizes) and falls back to a sort-merge semi join
-    otherwise, so no unbounded side is ever broadcast.
+    Spark broadcasts the member side only when its size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks with runtime sizes)
+    and falls back to a sort-merge semi join otherwise, so no unbounded side is
+    ever broadcast.
     """
-    if isinstance(members, DataFrame):
-        key = members.columns[0]
-        right = members.select(F.col(key).alias(column)).distinct()
-        return df.join(right, column, "left_semi")
-    values = list(dict.fromkeys(members))
-    if len(values) <= MAX_IN_LIST:
-        return df.filter(F.col(column).isin(values))
-    spark = df.sparkSession
-    right = spark.createDataFrame([(v,) for v in values], [column])
+    if not isinstance(members, DataFrame):
+        schema = T.StructType([T.StructField(column, df.schema[column].dataType)])
+        members = df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(members)], schema)
+    right = members.select(F.col(members.columns[0]).alias(column)).distinct()
     return df.join(right, column, "left_semi")

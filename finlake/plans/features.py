@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.ml.feature import StringIndexer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finlake.operators.joins import keep_members
@@ -20,6 +19,8 @@ from finlake.session import cut_lineage
 
 PRICE_COLS = ["Close", "High", "Low", "Open"]
 KEY = ["Ticker"]
+#: two bars of one day stand in this order
+TIES = ["Date", "Close", "Open", "High", "Low"]
 
 
 def price_sentiment(stock: DataFrame, daily_sentiment: DataFrame,
@@ -36,21 +37,34 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), col)
 
 
-def ordinal_encode(df: DataFrame, cols: list[str], suffix: str = "_code") -> DataFrame:
+def category_codes(categories: DataFrame, col: str, code: str) -> DataFrame:
+    """(category, code): position among the sorted distinct values, NULL last.
+
+    One window over the distinct categories (companies, labels), never over rows.
+    """
+    w = Window.partitionBy(F.lit(0)).orderBy(F.col(col).asc_nulls_last())
+    return categories.select(col).distinct().withColumn(code, (F.row_number().over(w) - 1).cast("double"))
+
+
+def ordinal_encode(df: DataFrame, cols: list[str], suffix: str = "_code",
+                   sources: dict[str, DataFrame] | None = None) -> DataFrame:
     """Code each category by its position in the sorted distinct values (0.0, 1.0, ...).
 
-    The fit collects only the distinct categories (companies, labels) to the
-    driver, never the rows.
+    ``sources`` may name a smaller table per column that holds all of its
+    values; otherwise the distinct values of ``df`` itself are used.  Codes come
+    by a join, so nothing is collected.
     """
-    idx = StringIndexer(inputCols=cols, outputCols=[c + suffix for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid="keep")
-    return idx.fit(df).transform(df)
+    out = df
+    for c in cols:
+        codes = category_codes((sources or {}).get(c, df), c, c + suffix).withColumnRenamed(c, "_cat")
+        out = out.join(codes, out[c].eqNullSafe(codes["_cat"]), "left").drop("_cat")
+    return out
 
 
 def split_and_scale(df: DataFrame, train_fraction: float = 0.8,
                     cols: list[str] = PRICE_COLS) -> DataFrame:
     """Chronological split per company; price columns scaled with the train range."""
-    split = chronological_split(df, KEY, "Date", train_fraction)
+    split = chronological_split(df, KEY, "Date", train_fraction, TIES)
     params = minmax_fit(split.filter(F.col("split") == "train"), KEY, cols)
     return minmax_transform(split, params, KEY, cols)
 
@@ -67,22 +81,29 @@ def prepared(stock: DataFrame, daily_sentiment: DataFrame, companies=None,
              train_fraction: float = 0.8, with_params: bool = False):
     """Encoded, split and scaled rows ready for windowing (and the scaler table)."""
     ps = price_sentiment(stock, daily_sentiment, companies)
-    enc = ordinal_encode(ps, ["Ticker", "Sentiment"])
     # The split feeds both the scaler fit and the transform; write it once to
-    # the shared checkpoint folder instead of numbering the rows twice.
-    split = cut_lineage(chronological_split(enc, KEY, "Date", train_fraction))
+    # the shared checkpoint folder instead of numbering the rows twice.  The
+    # codes need the distinct categories only, which the written rows have.
+    split = cut_lineage(chronological_split(ps, KEY, "Date", train_fraction, TIES))
     params = minmax_fit(split.filter(F.col("split") == "train"), KEY, PRICE_COLS)
-    scaled = minmax_transform(split, params, KEY, PRICE_COLS)
+    scaled = ordinal_encode(minmax_transform(split, params, KEY, PRICE_COLS), ["Ticker", "Sentiment"],
+                            sources={"Ticker": split, "Sentiment": split})
     return (scaled, params) if with_params else scaled
 
 
 def window_summary(win: DataFrame) -> DataFrame:
-    """Length, first and last close of each window and its target (for checks)."""
+    """Length, ends, sum and position-weighted sum of each window's closes, and its target (for checks)."""
+    closes = F.transform("window", lambda x: x["Close"])
+    zero = F.lit(0.0)
+    # a two-argument lambda: the second is the position
+    weighted = F.transform(closes, lambda x, i: x * (i + 1))
     return win.select(
         "Ticker", "split", F.col("Date").alias("start_date"),
         F.size("window").alias("window_len"),
         F.round(F.col("window")[0]["Close"], 9).alias("first_close"),
         F.round(F.element_at("window", -1)["Close"], 9).alias("last_close"),
+        F.round(F.aggregate(closes, zero, lambda a, x: a + x), 5).alias("close_sum"),
+        F.round(F.aggregate(weighted, zero, lambda a, x: a + x), 4).alias("position_sum"),
         F.round("target", 9).alias("target"),
     )
 

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from finlake.functions.scalar import rounded
 from finlake.operators.scaling import unscaled
 from finlake.operators.series import chronological_split, lagged
-from finlake.session import cut_lineage
 
 KEY = ["Ticker"]
 
@@ -28,7 +27,7 @@ KEY = ["Ticker"]
 def arima_110(stock: DataFrame, train_fraction: float = 0.8) -> DataFrame:
     """Per ticker: slope/intercept of the AR(1) on differences and test-set error."""
     bars = stock.select("Ticker", "Date", "Close")
-    split = chronological_split(bars, KEY, "Date", train_fraction)
+    split = chronological_split(bars, KEY, "Date", train_fraction, ["Date", "Close"])
     lags = lagged(split, KEY, "rn", {"_c1": ("Close", 1), "_c2": ("Close", 2)})
     lags = lags.withColumns({
         "_d": F.col("Close") - F.col("_c1"),
@@ -55,6 +54,16 @@ def arima_110(stock: DataFrame, train_fraction: float = 0.8) -> DataFrame:
     )
 
 
+def scaled_naive_mse(scaled: DataFrame, params: DataFrame) -> DataFrame:
+    """Per company: the last scaled close as forecast of the next, both scaled back, and the error on the test rows."""
+    test = scaled.filter(F.col("split") == "test").select(*KEY, "split_rn", "Close")
+    lags = lagged(test, KEY, "split_rn", {"_prev": ("Close", 1)}).filter(F.col("_prev").isNotNull())
+    priced = lags.join(params, KEY)
+    err = unscaled(F.col("Close"), "Close") - unscaled(F.col("_prev"), "Close")
+    out = priced.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_test"), F.avg(err * err).alias("_mse"))
+    return out.select(*KEY, "n_test", rounded(F.col("_mse"), 3).alias("mse"), rounded(F.sqrt("_mse"), 4).alias("rmse"))
+
+
 def flat_features(window: str, fields: list[str]) -> F.Column:
     """A window of structs -> one dense vector (step-major, ``fields`` per step)."""
     flat = F.flatten(F.transform(F.col(window), lambda st: F.array(
@@ -66,14 +75,13 @@ def random_forest(windows_df: DataFrame, params: DataFrame, features: list[str],
                   num_trees: int = 20, max_depth: int = 6, seed: int = 7) -> DataFrame:
     """Fit on the train windows of all companies; test error per company in price units.
 
-    The training set is checkpointed (written to the shared checkpoint
-    folder) before the fit: the forest makes several passes over it, and a
-    lost executor then re-reads the written rows instead of recomputing the
-    windowing lineage.
+    The windows are built from the scaled rows, which the preparation has
+    written to the shared folder, in each of the fit's few passes; written out
+    they would be some ``seq_len`` times those rows.
     """
     vec = windows_df.select("Ticker", "split", "target",
                             flat_features("window", features).alias("features"))
-    train = cut_lineage(vec.filter(F.col("split") == "train"))
+    train = vec.filter(F.col("split") == "train")
     model = RandomForestRegressor(featuresCol="features", labelCol="target",
                                   numTrees=num_trees, maxDepth=max_depth, seed=seed).fit(train)
     scored = model.transform(vec.filter(F.col("split") == "test")).join(params, KEY)

@@ -304,9 +304,10 @@ def vs_index(stock: DataFrame, symbols: Iterable[str] | None = None,
              index_ticker: str = tags.INDEX_TICKER) -> DataFrame:
     """Growth of each company's close and of the index since their first date.
 
-    Company rows are joined to index rows of the same date.  The per-ticker
-    base price comes from a grouped min(Date) joined back (several bars on the
-    first date all count, as in the SQL); the index base is a scalar subquery.
+    Company rows are joined to index rows of the same date.  All bars of a
+    ticker's first date count as its base, as in a join: several of them
+    multiply the rows.  Company bases are found and joined per ticker; the
+    index's are one date's few prices, an array from a scalar subquery.
     """
     bars = stock.select("Ticker", "Date", F.col("Close").alias("price"))
     comp = bars.filter(F.col("Ticker") != index_ticker)
@@ -317,14 +318,15 @@ def vs_index(stock: DataFrame, symbols: Iterable[str] | None = None,
     first_day = comp.groupBy("Ticker").agg(F.min("Date").alias("Date"))
     base = comp.join(first_day, ["Ticker", "Date"]).select(
         "Ticker", F.col("price").alias("base_price"))
-    idx_first = idx.agg(F.min("Date")).scalar()
-    idx_base = idx.filter(F.col("Date") == idx_first).select("index_price").scalar()
-    rows = comp.join(idx, "Date").join(base, "Ticker")
+    per_day = idx.groupBy("Date").agg(F.collect_list(F.struct("index_price")).alias("prices"))
+    idx_base = per_day.agg(F.min_by("prices", "Date")).scalar()
+    rows = comp.join(idx, "Date").join(base, "Ticker").withColumn("idx_base", F.explode(idx_base))
+    first = F.col("idx_base.index_price")
     return rows.select(
         F.col("Ticker").alias("symbol"), "Date",
         exact(safe_div(F.col("price") - F.col("base_price"), F.col("base_price")))
         .alias("company_growth"),
-        exact(safe_div(F.col("index_price") - idx_base, idx_base)).alias("index_growth"),
+        exact(safe_div(F.col("index_price") - first, first)).alias("index_growth"),
     ).orderBy(F.col("symbol"), F.col("Date").desc())
 
 

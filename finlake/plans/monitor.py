@@ -1,8 +1,8 @@
 """Load monitoring: loaded folders, per-folder row counts, stored table sizes.
 
-Sizes come from the files themselves (``_metadata.file_size`` of each distinct
-file a table reads), not from a database catalog; only the file metadata
-columns are read, never the data pages.
+Sizes come from the files themselves, not from a database catalog: the
+``binaryFile`` source lists a table's files, and without its content column it
+opens none of them.
 """
 
 from __future__ import annotations
@@ -25,18 +25,22 @@ def folder_fact_counts(fs_num: DataFrame, fs_sub: DataFrame) -> DataFrame:
 
 
 def table_sizes(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
-    """(table, files, bytes, size) for Parquet tables given as name -> path.
-
-    One union of the tables' file metadata, then two small aggregations (per
-    file, per table); no data page is read.
-    """
+    """(table, files, bytes, size) for Parquet tables given as name -> path: one row per file is read."""
     files = None
     for name, path in tables.items():
-        part = spark.read.parquet(path).select(
-            F.lit(name).alias("table"), F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_size").alias("bytes"))
+        part = spark.read.format("binaryFile").load(path).select(
+            F.lit(name).alias("table"), F.col("length").alias("bytes"))
         files = part if files is None else files.unionByName(part)
-    per_file = files.groupBy("table", "file").agg(F.max("bytes").alias("bytes"))
-    per_table = per_file.groupBy("table").agg(
+    per_table = files.groupBy("table").agg(
         F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
     return per_table.select("table", "files", "bytes", pretty_size("bytes").alias("size"))
+
+
+def table_counts(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """(table, rows) for Parquet tables given as name -> path; the counts come from file footers."""
+    out = None
+    for name, path in tables.items():
+        part = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table"), "rows")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -68,11 +68,12 @@ def dense_daily(counts: DataFrame, start: str | Column | None = None,
                 end: str | Column | None = None, symbols: DataFrame | None = None) -> DataFrame:
     """Every calendar day in [start, end] for every symbol, 0 where nothing was counted.
 
-    Bounds default to the first and last counted day (scalar subqueries).  The
-    calendar is generated per symbol with ``explode(sequence(...))``: its size
-    is symbols x days, fixed by the parameters, and the counts are joined on
-    (symbol, date).  ``symbols`` (one column) lists the companies to cover;
-    by default those with at least one headline.
+    The calendar is generated per symbol with ``explode(sequence(...))``: its
+    size is symbols x days, fixed by the parameters, and the counts are joined
+    on (symbol, date).  ``symbols`` (one column) lists the companies to cover.
+    With bounds and symbols given the counts are derived once; a missing one
+    is read off the counts (first and last counted day, symbols with at least
+    one headline), which derives them again.
     """
     if start is None or end is None:
         # both bounds from one scalar subquery over the counts

@@ -1,11 +1,11 @@
 """Headline sentiment: batched model scoring and the daily (tie-aware) mode.
 
-Scoring runs in ``mapInPandas``: Spark splits the headlines over tasks and
-feeds Arrow batches; each task builds the scorer once (loading a model is
-the expensive part) and calls it on fixed-size sub-batches, the way the
+The default scorer is a word-list expression that stays in the JVM, so the job
+runs without model weights.  A real model (a transformers pipeline, an ONNX
+session) comes as a factory: scoring then runs in ``mapInPandas`` -- Spark
+splits the headlines over tasks and feeds Arrow batches of key and text; each
+task builds the scorer once and calls it on fixed-size sub-batches, the way the
 original notebooks called their classifier 1,000 or 100 titles at a time.
-Any callable factory works -- a transformers pipeline, an ONNX session; the
-default is a small word-list scorer so the job runs without model weights.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,10 +52,23 @@ def lexicon_scorer() -> Scorer:
     return score
 
 
+def lexicon_label(text: Column) -> Column:
+    """The word-list scorer as an expression."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z]+"), F.lit(0))
+
+    def hits(listed: tuple[str, ...]) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(list(listed))))
+
+    pos, neg = hits(POSITIVE_WORDS), hits(NEGATIVE_WORDS)
+    return F.when(pos > neg, "positive").when(neg > pos, "negative").otherwise("neutral")
+
+
 def score_text(df: DataFrame, text_col: str = "title", out_col: str = "sentiment",
-               scorer_factory: Callable[[], Scorer] = lexicon_scorer,
+               scorer_factory: Callable[[], Scorer] | None = None,
                batch_size: int = 1000) -> DataFrame:
     """Append ``out_col`` with the scorer's label for every row (no row dropped)."""
+    if scorer_factory is None:
+        return df.withColumn(out_col, lexicon_label(F.col(text_col)))
     schema = T.StructType([*df.schema.fields, T.StructField(out_col, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -77,7 +90,7 @@ def daily_sentiment(news_ws: DataFrame) -> DataFrame:
 
 
 def score_news_file(spark, in_path: str, out_path: str,
-                    scorer_factory: Callable[[], Scorer] = lexicon_scorer,
+                    scorer_factory: Callable[[], Scorer] | None = None,
                     batch_size: int = 100) -> DataFrame:
     """Job: cleaned headlines CSV -> the same rows plus ``sentiment``, written as CSV."""
     from finlake.plans.news import CLEAN_SCHEMA

@@ -5,6 +5,7 @@ import math
 
 import pytest
 
+from finlake.functions import tags
 from finlake.plans import kpi
 
 from .conftest import rows
@@ -120,3 +121,14 @@ def test_company_filings(tables):
     _, sub, mapping, _ = tables
     got = rows(kpi.company_filings(sub, mapping, symbols=["BBB"]), "symbol", "adsh")
     assert [a for _, a in got] == sorted(a for (_, a, c, *_) in SUB if c == 2)
+
+
+def test_vs_index_with_tied_first_dates(spark):
+    """Two bars on a first date, of a company and of the index: both count as bases, rows multiply."""
+    d = [D(2020, 1, 1), D(2020, 1, 2)]
+    bars = [("A", d[0], 10.0), ("A", d[0], 20.0), ("A", d[1], 30.0), (tags.INDEX_TICKER, d[0], 100.0),
+            (tags.INDEX_TICKER, d[0], 200.0), (tags.INDEX_TICKER, d[1], 400.0)]
+    got = kpi.vs_index(spark.createDataFrame(bars, "Ticker string, Date date, Close double")).collect()
+    last = sorted((r.company_growth, r.index_growth) for r in got if r.Date == d[1])
+    assert last == [(0.5, 1.0), (0.5, 3.0), (2.0, 1.0), (2.0, 3.0)]
+    assert len(got) == 4 + 2 * 2 * 2 * 2

@@ -131,3 +131,18 @@ def test_daily_dense_for_a_company_list(spark):
     got = rows(news.dense_daily(counts, "2020-01-01", "2020-01-02", symbols=companies))
     assert got == [("A", D(2020, 1, 1), 2), ("A", D(2020, 1, 2), 0),
                    ("Z", D(2020, 1, 1), 0), ("Z", D(2020, 1, 2), 0)]
+
+
+def test_word_list_expression_equals_the_scorer(spark):
+    texts = ["Strong PROFIT, loss", "up down", None, "", "Record-high growth", "weak weak up", "éloss gain's"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, title string")
+    want = lexicon_scorer()(texts)
+    got = [r.sentiment for r in score_text(df).orderBy("id").collect()]
+    assert got == want
+
+
+def test_mode_counts_labels_of_any_name(spark):
+    df = spark.createDataFrame([(1, "Positive"), (1, "Positive"), (1, "negative"), (2, "b"), (2, "a"), (3, None)],
+                               "g long, s string")
+    got = {r.g: r["mode"] for r in group_mode(df, ["g"], "s").collect()}
+    assert got == {1: "Positive", 2: "a", 3: "neutral"}

@@ -33,7 +33,7 @@ def test_paragraphs_unclosed_script_entities(spark):
 
 def test_paragraph_class_filter_and_whole_page(spark):
     body = html.paragraphs(_pages(spark), classes=["body"])
-    assert [r.text for r in body.orderBy("pos").collect()] == ["Second line"]
+    assert [r.text for r in body.orderBy("pos").collect()] == ["Second line", "Third <3>"]  # either quote
     everything = html.paragraphs(_pages(spark), container=None)
     assert "advert" in [r.text for r in everything.collect()]
     assert "comment" not in [r.text for r in everything.collect()]
@@ -104,3 +104,40 @@ def test_wide_maps_to_long(spark):
     assert got == [(dt.date(2020, 1, 2), "AAA", 1.0, 2.0, 0.5, 1.5, big),
                    (dt.date(2020, 1, 3), "BBB", 5.0, None, None, None, 9)]
     assert rows(wide_maps_to_long(long_to_wide_maps(wide_maps_to_long(wide)))) == got
+
+
+ARTICLES = """<html><body><p>menu</p>
+<article><p class="body x">one<h2>Title</h2><p>two<ul><li>item</li></ul><p class='other body'>three<table><tr><td>cell
+</td></tr></table>loose<p>four <b>bold</b><div>box</div></article>
+<article><p>five</article><article class="z">no paragraph</article></body></html>"""
+
+
+def test_paragraph_ends_and_articles_by_hand(spark):
+    """Expected rows written by hand from the rule in the module's head."""
+    pages = spark.createDataFrame([(1, ARTICLES)], "page_id long, html string")
+    texts = lambda **kw: [r.text for r in html.paragraphs(pages, **kw).orderBy("pos").collect()]
+    assert texts() == ["one", "two", "three", "four bold", "five"]
+    assert texts(first_only=True) == ["one", "two", "three", "four bold"]
+    assert texts(classes=["body"]) == ["one", "three"]
+    assert texts(container=None) == ["menu", "one", "two", "three", "four bold", "five"]
+
+
+def test_driver_page_paragraphs_by_hand(spark):
+    """The first paragraphs of the first driver page, read off its source by eye."""
+    import re
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").orderBy("page_id").limit(3)
+    for page in pages.collect():
+        got = [r.text for r in html.paragraphs(pages.filter(f"page_id = {page.page_id}")).orderBy("pos").collect()]
+        article = page.html.split("<article>", 1)[1].split("</article>", 1)[0]
+        plain = re.sub(r"\s+", " ", re.sub(r"<[^>]*>", "", re.sub(r"(?s)<!--.*?-->|<script.*?</script>", "", article)))
+        for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+            plain = plain.replace(a, b)
+        assert got and all(t in re.sub(r"\s+", " ", plain) for t in got)
+        assert len(got) <= article.count("<p")
+
+
+def test_table_counts(spark, scratch):
+    path = os.path.join(scratch, "c")
+    spark.range(41).write.parquet(path)
+    assert rows(monitor.table_counts(spark, {"c": path})) == [("c", 41)]
