@@ -62,5 +62,75 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
 
+OP6 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), lines AS (
+  SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT k, unnest(string_split(text, chr(10))) AS line FROM t)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY k
+), windows AS (
+  SELECT k, i, count(*) OVER (PARTITION BY k, five) AS n
+  FROM (SELECT k, i, array_to_string(w[i:i + 4], ' ') AS five
+        FROM (SELECT k, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 5))
+), repeats AS (
+  SELECT k, count(DISTINCT i + j) AS n_repeat_words
+  FROM windows, (VALUES (0), (1), (2), (3), (4)) o(j) WHERE n > 1 GROUP BY k
+), m AS (
+  SELECT t.k, doc_id, text, w, len(w) AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines
+  FROM t LEFT JOIN lines USING (k) LEFT JOIN repeats USING (k)
+), b AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       CASE WHEN base_failed THEN false ELSE NOT (
+         n_symbols > 0.2 * n_words
+         OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+         OR length(regexp_replace(text, '[^!]', '', 'g')) > 0.3 * n_words
+         OR n_dup_lines > 0.5 * n_lines
+         OR len(list_filter(w, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')
+                                         AND strlen(x) > 1)) > 0.3 * n_words
+         OR len(list_filter(range(1, n_words), lambda i: w[i] = w[i + 1])) > 0.3 * n_words
+         OR length(regexp_replace(text, '[^\p{L}]', '', 'g')) < 0.5 * word_chars) END AS kept
+FROM b
+"""
+
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n_bytes FROM documents
+), windows AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS win
+  FROM (SELECT doc_id, h, unnest(range(0, n_bytes - 99)) AS i FROM d WHERE n_bytes >= 100)
+), repeats AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1
+), marked AS (
+  -- a run of removed bytes ends where the next repeat starts behind it
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS fresh FROM repeats
+), runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked)
+  GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM runs
+  UNION ALL SELECT d.doc_id, coalesce(max(r.b), 0), d.n_bytes FROM d LEFT JOIN runs r USING (doc_id)
+            GROUP BY d.doc_id, d.n_bytes
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM gaps JOIN d USING (doc_id)
+  GROUP BY doc_id
+)
+SELECT d.doc_id, d.n_bytes, coalesce(x.n_removed, 0)::BIGINT AS n_removed, coalesce(x.n_spans, 0) AS n_spans,
+       sha256(unhex(k.h)) AS kept_sha256
+FROM d JOIN kept k USING (doc_id)
+LEFT JOIN (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id) x USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mix_sources": OP4, "op9_line_windows": OP9}
+    return {"op4_mix_sources": OP4, "op6_quality_cascade": OP6, "op9_line_windows": OP9, "op10_suffix_dedup": OP10}
