@@ -4,9 +4,9 @@ A window ``PARTITION BY ticker ORDER BY date`` puts every row of a ticker in
 one task; if one ticker held a third of the data, one task would sort and
 buffer a third of the data.  The helpers here avoid that:
 
-* :func:`row_numbers` runs its per-key window over one row per
-  (key, order value) -- bounded by the calendar, not by the row count -- and
-  numbers duplicates inside (key, order value) groups.
+* :func:`row_numbers` numbers rows inside (key, block of order values) -- a
+  year of dates, a stretch of numbers -- and adds the rows of the key's earlier
+  blocks, a sum over one row per (key, block).
 * :func:`with_blocks` cuts each key's series into blocks of ``block_size``
   consecutive rows and copies the few neighbour rows a bounded frame needs
   (``ahead`` rows of the next block, ``behind`` rows of the previous one).
@@ -16,23 +16,39 @@ buffer a third of the data.  The helpers here avoid that:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def order_block(df: DataFrame, order: str, stretch: int = 4096) -> Column:
+    """A coarse value that grows with ``order``: the year of a date, ``stretch`` consecutive numbers."""
+    kind, col = df.schema[order].dataType, F.col(order)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.year(col)
+    if isinstance(kind, T.NumericType):
+        return F.floor(col / stretch)
+    return F.substring(col.cast("string"), 1, 1)
 
 
 def row_numbers(df: DataFrame, key: list[str], order: str, tiebreak: list[str] | None = None,
                 rn: str = "rn", count: str | None = None) -> DataFrame:
     """1-based position of each row inside ``key`` ordered by ``order`` (then ``tiebreak``)."""
-    per_value = df.groupBy(*key, order).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*key).orderBy(order)
-    per_value = per_value.withColumn(
-        "_before",
-        F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    blocked = df.withColumn("_ob", order_block(df, order))
+    sizes = blocked.groupBy(*key, "_ob").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*key).orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     if count:
-        per_value = per_value.withColumn(count, F.sum("_n").over(Window.partitionBy(*key)))
-    within = Window.partitionBy(*key, order).orderBy(*(tiebreak or [order]))
-    out = df.join(per_value.drop("_n"), key + [order])
-    return out.withColumn(rn, F.col("_before") + F.row_number().over(within)).drop("_before")
+        sizes = sizes.withColumn(count, F.sum("_n").over(Window.partitionBy(*key)))
+    within = Window.partitionBy(*key, "_ob").orderBy(order, *[c for c in tiebreak or [] if c != order])
+    same = (blocked["_ob"].eqNullSafe(sizes["_ob"]))
+    for k in key:
+        same = same & blocked[k].eqNullSafe(sizes[k])
+    numbered = blocked.withColumn("_in", F.row_number().over(within))
+    keep = [numbered[c] for c in df.columns]
+    out = numbered.join(sizes, same).select(
+        *keep, *([sizes[count]] if count else []), (sizes["_before"] + numbered["_in"]).alias(rn))
+    return out
 
 
 def with_blocks(df: DataFrame, rn: str, block_size: int, ahead: int = 0, behind: int = 0,
