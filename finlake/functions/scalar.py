@@ -63,6 +63,15 @@ def quarter_filter(quarter: str | None, fp: str | Column = "fp") -> Column:
     return fp == F.lit(quarter)
 
 
+def year_text(day: str | Column) -> Column:
+    """First four characters of a date written as ``yyyyMMdd``."""
+    return F.substring(F.date_format(col_(day), "yyyyMMdd"), 1, 4)
+
+
+def in_millions(value: str | Column) -> Column:
+    return col_(value) / F.lit(1e6)
+
+
 def no_negative_zero(c: Column) -> Column:
     return c + F.lit(0.0)
 

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.functions.scalar import period_aligned
+from finlake.functions.scalar import in_millions, no_negative_zero, period_aligned, year_text
 
 SUB_COLS = ("adsh", "folder", "form", "period", "fy", "fp", "cik")
 NUM_COLS = ("adsh", "tag", "ddate", "qtrs", "uom", "segments", "value")
@@ -53,6 +53,13 @@ def filing_facts(
     return facts.select(*FACT_COLS)
 
 
+def yearly_in_millions(fs_num: DataFrame, tag_list: Iterable[str]) -> DataFrame:
+    """Unsegmented facts of the tags with the year as text and the value in millions."""
+    kept = fs_num.filter(F.col("tag").isin(list(tag_list)) & F.col("segments").isNull())
+    return kept.select("adsh", "tag", "qtrs", year_text("ddate").alias("year"),
+                       no_negative_zero(in_millions("value")).alias("millions"))
+
+
 def per_filing(facts: DataFrame, lists: dict[str, tuple[Iterable[str], list[str]]],
                sums: dict[str, Iterable[str]] | None = None) -> DataFrame:
     """EAV facts -> one row per combination of tag-group facts within a filing.
