@@ -64,10 +64,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``row`` (the document's columns, the repeated lines taken out of ``text``), ``n_lines``, ``n_removed``."""
     keyed = docs.select(*row_key(F.col("doc_id"), F.col("text")), F.struct("*").alias("row"))
     spans = repeated_lines(docs)
-    lines = F.split("row.text", "\n", -1)
-    left = F.filter(lines, lambda _, i: ~F.array_contains(F.col("_covered"), i))
+    joined = keyed.join(spans, ["_d", "_t"], "left").select(
+        "row", "_covered", F.split("row.text", "\n", -1).alias("_lines"))
+    every = F.sequence(F.lit(0), F.size("_lines") - 1)
+    # by a hash set, not line by line through the list: long texts have many of both
+    left = F.transform(F.array_except(every, F.col("_covered")), lambda i: F.get(F.col("_lines"), i))
     text = F.when(F.col("_covered").isNull(), F.col("row.text")).otherwise(F.concat_ws("\n", left))
-    return keyed.join(spans, ["_d", "_t"], "left").select(
+    return joined.select(
         F.col("row").withField("text", text).alias("row"),
-        F.when(F.col("row.text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col("row.text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
         F.coalesce(F.size("_covered"), F.lit(0)).cast("long").alias("n_removed"))

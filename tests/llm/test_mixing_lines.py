@@ -94,3 +94,12 @@ def test_lines_repeated_ids_nulls_and_clashing_columns(spark):
     assert got["w"] == (None, 0, 0)
     assert sorted([got["x"][2], got["z"][2]]) == [0, 3]      # one of the two texts with id 5 comes first
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
+
+
+def test_long_documents_lose_many_lines(spark):
+    text = "\n".join(f"line {i % 4000} x" for i in range(12000))
+    docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    got = {r.row["doc_id"]: (r.row["text"], r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got[1][1:] == (12000, 8000)  # from the second round on every window repeats
+    assert got[1][0].split("\n")[:4000] == [f"line {i} x" for i in range(4000)]
+    assert got[2] == ("", 12000, 12000)

@@ -208,3 +208,9 @@ def test_columns(spark, name):
             "op6_quality_cascade": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                     "base_failed", "kept"]}[name]
     assert queries.queries()[name](spark, SMALL).columns[:len(want)] == want
+
+
+def test_pii_plan_has_no_python(spark, capsys):
+    queries.op5_pii(spark, SMALL).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Scan" in plan and not re.search("Python|Pandas|Arrow|PythonUDF", plan)
