@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from finlake.llm import decontaminate, langid, line_dedup, mixing, simhash
 from finlake.llm.store import is_held_out, stored, table
 
-#: a document of several languages stays if one of them has at least this share of its words
-LEAST_SHARE = 0.5
+#: a document of several languages stays if one of them has at least this share of its words; a clean short
+#: document with a licence line or a quotation in another language is well above it
+LEAST_SHARE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8.  Documents without a letter, or in which no language has half of the words, go."""
+    """Operator 8.  Documents without a letter, or in which no language has a fair share of the words, go."""
     langs, model = langid.train(docs.filter(~is_held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()))
     found = langid.identify(docs.select("text", F.struct("*").alias("row")), langs, model)
     return found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
