@@ -17,6 +17,9 @@ from finlake.session import checkpoint_dir
 #: ``_d`` of a row without an id: such rows sort behind all others
 NULL_ID = 2**63 - 1
 
+#: Spark's setting that drops a query's shuffle files at its end
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: whole texts travel in Arrow batches; these bound a batch where the session doesn't
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
            "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20)}
@@ -27,11 +30,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage: what follows reads files every executor can reach, so a
     lost executor costs only the tasks it ran.  The folder is a new one for
-    each call.
+    each call.  The write's own shuffle files go as soon as it has ended: nothing
+    reads them again.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/finlake-llm/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
