@@ -116,6 +116,44 @@ def test_recall_against_all_pairs(spark):
     assert want and len(want & got) >= 0.9 * len(want)
 
 
+def accepted(words, it):
+    """Whether a passage passes the word checks, looked for in every passage of the item's window size."""
+    size = D.window_size(len(it.words))
+    own, items = set(it.words.tolist()), (it.words.tolist(), it.answer.tolist())
+    for low in range(0, max(1, len(words) - size + size // 8), size // 8):
+        part = words[low:low + size]
+        if sum(w in own for w in part) >= D.LEAST_LCS * len(it.words):
+            if slow_lcs(items[0], part) >= D.LEAST_LCS * len(it.words) and \
+                    slow_lcs(items[1], part) >= D.LEAST_ANSWER * len(it.answer):
+                return True
+    return False
+
+
+def test_paraphrases_without_the_rare_words_are_found(spark, monkeypatch):
+    """Recall at the operator's own checks, against all pairs, where the words that tell an item are replaced."""
+    monkeypatch.setattr(D, "CHUNK", 100, raising=False)
+    docs = [x.text for x in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    items = [(x.item_id, x.text) for x in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    seen = [set(t.lower().split()) for t in docs] + [set(t.lower().split()) for _, t in items]
+    r = random.Random(7)
+    rows = list(enumerate(docs))
+    for k, (_, text) in enumerate(items):
+        words = text.split()
+        rare = sorted(range(len(words)), key=lambda i: (sum(words[i].lower() in s for s in seen), i))
+        for share in (0.2, 0.38):
+            changed = set(rare[:int(share * len(words))])
+            leak = [f"zz{r.randrange(9999)}" if i in changed else w for i, w in enumerate(words)]
+            host = docs[(7 * k) % len(docs)].split()[:60]
+            at = r.randrange(len(host) + 1)
+            rows.append((1000 + len(rows), " ".join([*host[:at], *leak, *host[at:]])))
+    made = [D.make_item(*x) for x in items]
+    want = {(d, it.item_id) for d, t in rows for words in [D.words_of(t).tolist()] for it in made if accepted(words, it)}
+    got = {(x.doc_id, x.item_id) for x in D.contaminated(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len({d for d, _ in want if d >= 1000}) >= 0.5 * len(items) and want <= got
+
+
 def test_decontaminate_awkward_rows(spark):
     bench = spark.createDataFrame([(1, PROSE), (1, PROSE), (2, None), (3, "  "), (None, OTHER), (4, "x")],
                                   "item_id long, text string")
