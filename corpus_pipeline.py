@@ -1,7 +1,8 @@
 """A training corpus from ``documents``: five operators in a row.
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
-and returns what it keeps, with the columns of documents but for the last.
+and returns what it keeps, with the columns of documents; the last one adds the
+words of the text, its copies and the number of the copy.
 ``run`` writes each stage's rows as Parquet in the cluster's shared folder and
 reads them again for the next one.
 """
@@ -42,8 +43,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4.  ``copies`` per document; documents with none go."""
-    return mixing.mix(docs).filter("copies > 0").select("doc_id", "source", "size", "copies", "taken")
+    """Operator 4.  The training corpus: each document's whole row, once per copy; documents with none go."""
+    made = ["size", "copies", "copy"]
+    return mixing.emit(docs, [c for c in docs.columns if c not in made]).select("row.*", *made)
 
 
 STAGES = [

@@ -11,6 +11,10 @@ The prefix sum never gathers a source in one task: documents are ranked inside
 (source, size, block of ids), blocks inside (source, size), sizes inside
 source, and the three ranks add up.  Only counts are ever summed per source.
 
+The last step emits the documents: a document's whole row, once per copy.  Rows
+meet their copies by id, text hash and source; rows that agree in all three
+take their copies in order of a hash of the whole row.
+
 Defined cases: null or empty text has size 0, takes 0 words and keeps its row;
 a null source is a source of its own, last in order; rows that repeat an id are
 sampled independently (equal rows share a rank block and are told apart by its
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finlake.llm.store import ordered_id, stored
 
@@ -104,3 +109,48 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: float = 3.0
     copies = F.floor(F.col("_rank") * rate + u) - F.floor((F.col("_rank") - 1) * rate + u)
     out = rows.withColumn("copies", F.least(copies, F.ceil(F.lit(most))).cast("long"))
     return out.withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def _keys() -> list[Column]:
+    """What a row and its copies meet by; nulls are told apart from every value."""
+    doc, source = F.col("doc_id"), F.col("source").cast("string")
+    return [ordered_id(doc).alias("_d"),
+            F.concat(F.when(doc.isNull(), "n").otherwise("d"),
+                     F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))).alias("_s")]
+
+
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def emit(docs: DataFrame, columns: list[str] | None = None, every: bool = False, weights: tuple[int, ...] = (5, 2, 1),
+         most: float = 3.0, seed: int = 17) -> DataFrame:
+    """The mixed corpus: ``row`` (``columns`` of the input, or all), ``source, rank, size, source_size, target, copies,
+    copy``; one row per copy, ``copy`` from 1 to ``copies``.  With ``every``, documents without a copy stay, once, with
+    a null ``copy``.
+    """
+    parts = ["_rank", "source", "size", "source_size", "target", "copies"]
+    many = mix(docs, weights, most, seed).select(*_keys(), "_t", F.struct(*parts).alias("_m")).groupBy(
+        "_d", "_t", "_s").agg(F.sort_array(F.collect_list("_m")).alias("_many"))
+    whole = [f"`{f.name}`" for f in docs.schema if _hashable(f.dataType)]
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row"), *_keys(),
+                      F.xxhash64("text").alias("_t"), F.xxhash64(*whole).alias("_h"))
+    within = Window.partitionBy("_d", "_t", "_s").orderBy("_h")
+    placed = own.join(many, ["_d", "_t", "_s"]).withColumn("_k", F.row_number().over(within))
+    one = placed.select("row", F.element_at("_many", F.col("_k")).alias("m"))
+    numbers = F.when(F.col("m.copies") > 0, F.sequence(F.lit(1).cast("long"), F.col("m.copies")))
+    return one.select("row", "m.source", F.col("m._rank").alias("rank"), "m.size", "m.source_size", "m.target",
+                      "m.copies", (F.explode_outer if every else F.explode)(numbers).alias("copy"))
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` per document, counted from what ``emit`` emits."""
+    copies = emit(docs, ["doc_id"], every=True)
+    one = copies.groupBy("source", "rank").agg(
+        F.first("row").alias("row"), F.first("size").alias("size"), F.first("source_size").alias("source_size"),
+        F.first("target").alias("target"), F.count("copy").alias("_n"))
+    return one.select("row.doc_id", "size", "source_size", "target", (F.col("_n") * F.col("size")).alias("taken"))

@@ -23,8 +23,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.mix(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.digest(table(spark, sf_dir, "documents"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,12 @@
 """Operators 4 and 9 against DuckDB, on driver tables and on awkward rows."""
 
+import re
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from finlake.llm import line_dedup, mixing, oracle, queries
 from tools.check_oracle import _rows, duck
 
@@ -59,6 +63,35 @@ def test_mixing_keeps_every_row_and_its_bounds(spark):
     assert sorted(map(str, got)) == sorted(map(str, mixing.mix(awkward(spark)).collect()))
 
 
+def test_mixing_emits_whole_rows_once_per_copy(spark):
+    """Awkward rows many times over, with repeated ids, texts and whole rows; also the last stage of the pipeline."""
+    docs = awkward(spark)
+    for k in range(1, 4):
+        docs = docs.unionByName(awkward(spark).withColumn("_d", F.lit(k % 3)).withColumn(
+            "doc_id", F.when(F.col("doc_id") > 5, F.col("doc_id") + 100 * k).otherwise(F.col("doc_id"))))
+    inputs = {}
+    for r in docs.collect():
+        inputs[tuple(r)] = inputs.get(tuple(r), 0) + 1
+    got = mixing.emit(docs).collect()
+    of, numbers = {}, {}
+    for r in got:
+        assert tuple(r.row) in inputs and r["size"] == len(re.findall(mixing.WORD, r.row.text or ""))
+        of[r.source, r["rank"]] = r
+        numbers.setdefault((r.source, r["rank"]), []).append(r.copy)
+    assert all(sorted(n) == list(range(1, of[k].copies + 1)) for k, n in numbers.items())
+    used = {}
+    for r in of.values():
+        used[tuple(r.row)] = used.get(tuple(r.row), 0) + 1
+    assert all(n <= inputs[k] for k, n in used.items())
+    per_key = lambda rows: sorted((str((r.doc_id, r.source)), r.copies) for r in rows if r.copies)
+    assert sorted((str((r.row.doc_id, r.row.source)), r.copies) for r in of.values()) == per_key(
+        mixing.mix(docs).collect())
+    assert any(r.copies > 1 for r in of.values())
+    last = dict(corpus_pipeline.STAGES)["mixing sources to target weights"](spark, docs, SMALL)
+    assert last.columns == [*docs.columns, "size", "copies", "copy"] and last.count() == len(got)
+    assert mixing.emit(empty(spark)).count() == 0 and mixing.digest(empty(spark)).count() == 0
+
+
 def test_mixing_words_come_near_targets(spark):
     rows = [(i, "w " * (1 + i * 7 % 90), "en", f"s{i % 4}") for i in range(4000)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
