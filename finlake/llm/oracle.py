@@ -131,6 +131,115 @@ FROM d JOIN kept k USING (doc_id)
 LEFT JOIN (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id) x USING (doc_id)
 """
 
+#: unsigned crc32 of the decimal digits of every ``{c}`` of ``{rows}``, bit by bit: ``{c}, crc``
+CRCS = """crcs AS (
+  WITH RECURSIVE r AS (
+    SELECT {c}, {c}::VARCHAR AS s, 0 AS i, 4294967295::BIGINT AS x FROM (SELECT DISTINCT {c} FROM {rows} WHERE {c} IS NOT NULL)
+    UNION ALL
+    SELECT {c}, s, i + 1, CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END
+    FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(x, ascii(substr(s, (i // 8 + 1)::BIGINT, 1))::BIGINT) ELSE x END AS y
+          FROM r WHERE i < 8 * length(s))
+  ) SELECT {c}, xor(x, 4294967295::BIGINT) AS crc FROM r WHERE i = 8 * length(s)
+)"""
+
+OP11 = "WITH " + CRCS.format(c="conv_id", rows="conversations") + r""", t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), hash_bits AS (
+  SELECT conv_id AS c, crc % 6 AS h FROM crcs
+), seqs AS (
+  SELECT b.c, list(struct_pack(role := t.role, text := t.text) ORDER BY t.c <> b.c - b.c % 100, t.k) AS seq
+  FROM hash_bits b JOIN t ON (t.c = b.c - b.c % 100 AND t.k <= b.h) OR (t.c = b.c AND t.k > b.h)
+  GROUP BY b.c
+), convs AS (
+  SELECT b.c, coalesce(s.seq, []) AS seq, list_transform(coalesce(s.seq, []), lambda x: md5(x.role || chr(0) || x.text)) AS ids
+  FROM hash_bits b LEFT JOIN seqs s USING (c)
+), paths AS (
+  SELECT c, d, array_to_string(ids[1:d], '') AS p, CASE WHEN d > 0 THEN length(seq[d].text) ELSE 0 END AS n, d = len(ids) AS ended
+  FROM (SELECT c, seq, ids, unnest(range(0, len(ids) + 1)) AS d FROM convs)
+), node AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS own,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ended), '')) AS ends_sha256
+  FROM paths GROUP BY p, d
+), kids AS (
+  SELECT substr(p, 1, 32 * (d - 1)) AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1
+), below AS (
+  SELECT substr(n.p, 1, 32 * n.e) AS p, count(*) FILTER (WHERE k.p IS NULL) AS n_leaves, sum(n.own) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM node) n LEFT JOIN kids k ON k.p = n.p
+  GROUP BY 1
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+       b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM node n JOIN below b ON b.p = n.p LEFT JOIN kids k ON k.p = n.p
+LEFT JOIN node u ON n.d > 0 AND u.p = substr(n.p, 1, 32 * (n.d - 1))
+"""
+
+OP12 = r"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def _field(name: str) -> str:
+    return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({name}::VARCHAR) || ':' || {name}::VARCHAR END"
+
+
+def _op13(levels: int, top: int) -> str:
+    """Level by level, for at most 8 ** levels rows a language and 8 ** top languages."""
+    fixed = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = _field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    parts = [f"""
+{CRCS.format(c="doc_id", rows="documents")}, l AS (
+  SELECT d.doc_id, coalesce('v' || lang, 'n') AS g, sha256({fixed} || {_field("text")}) AS leaf,
+         CASE WHEN crc % 3 = 0 THEN sha256({fixed} || {lower}) END AS changed
+  FROM documents d LEFT JOIN crcs USING (doc_id)
+), a0 AS (
+  SELECT doc_id, g, leaf, coalesce(changed, leaf) AS f, '' AS way,
+         row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l
+), n0 AS (SELECT g, pos, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM a0)"""]
+
+    def level(n: str, k: int) -> str:
+        """The nodes of the next level, and each node's siblings before and behind it."""
+        return f"""
+{n}{k + 1} AS (
+  SELECT g, pos, h, count(*) OVER (PARTITION BY g) AS n FROM (
+    SELECT g, pos // 8 AS pos, CASE WHEN max(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h
+    FROM {n}{k} GROUP BY g, pos // 8)
+), {n}s{k} AS (
+  SELECT x.g, x.pos, any_value(x.n) AS n, coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (WHERE y.pos < x.pos), '') AS pre,
+         coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (WHERE y.pos > x.pos), '') AS post
+  FROM {n}{k} x JOIN {n}{k} y ON x.g = y.g AND x.pos // 8 = y.pos // 8 GROUP BY x.g, x.pos
+)"""
+
+    for k in range(levels):
+        parts.append(level("n", k))
+        parts.append(f"""
+a{k + 1} AS (
+  SELECT doc_id, a.g, leaf, CASE WHEN n = 1 THEN f ELSE sha256(pre || f || post) END AS f, way || pre || post AS way, a.pos // 8 AS pos
+  FROM a{k} a JOIN ns{k} s ON s.g = a.g AND s.pos = a.pos
+)""")
+    parts.append(f"""
+subs AS (SELECT g AS lang, h FROM n{levels}
+), t0 AS (SELECT 'all' AS g, row_number() OVER (ORDER BY lang) - 1 AS pos, h, count(*) OVER () AS n, lang FROM (
+  SELECT lang, h FROM subs)
+), b0 AS (
+  SELECT doc_id, leaf, t0.h AS subroot, f, way, t0.pos FROM a{levels} a JOIN t0 ON t0.lang = a.g)""")
+    for k in range(top):
+        parts.append(level("t", k))
+        parts.append(f"""
+b{k + 1} AS (
+  SELECT doc_id, leaf, subroot, CASE WHEN n = 1 THEN f ELSE sha256(pre || f || post) END AS f, way || pre || post AS way, b.pos // 8 AS pos
+  FROM b{k} b JOIN ts{k} s ON s.pos = b.pos
+)""")
+    return "WITH " + ",".join(parts) + f"""
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(way) AS proof_sha256, f AS folded_root, f = r.h AS verified
+FROM b{top}, (SELECT h FROM t{top}) r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mix_sources": OP4, "op6_quality_cascade": OP6, "op9_line_windows": OP9, "op10_suffix_dedup": OP10}
+    return {"op4_mix_sources": OP4, "op6_quality_cascade": OP6, "op9_line_windows": OP9, "op10_suffix_dedup": OP10,
+            "op11_conversation_trie": OP11, "op12_exact_dedup": OP12, "op13_merkle_manifest": _op13(5, 2)}

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finlake.llm import decontaminate, langid, line_dedup, mixing, pii, quality, simhash, suffix_dedup, toxicity, urls
+from finlake.llm import (
+    decontaminate,
+    exact_dedup,
+    langid,
+    line_dedup,
+    merkle,
+    mixing,
+    pii,
+    quality,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    trie,
+    urls,
+)
 from finlake.llm.store import table
 
 
@@ -51,7 +65,20 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.digest_rows(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (op1_decontaminate, op2_url_filter, op3_toxicity, op4_mix_sources, op5_pii, op6_quality_cascade,
-            op7_simhash, op8_language_mixture, op9_line_windows, op10_suffix_dedup)
+            op7_simhash, op8_language_mixture, op9_line_windows, op10_suffix_dedup, op11_conversation_trie,
+            op12_exact_dedup, op13_merkle_manifest)
     return {f.__name__: f for f in made}

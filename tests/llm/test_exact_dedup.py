@@ -1,0 +1,101 @@
+"""Operator 12 against a dictionary of texts."""
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from finlake.llm import exact_dedup as E
+
+from .data import SMALL, awkward, awkward_rows, empty
+
+
+def slow(rows):
+    """rows of (doc_id, text) -> counted result rows"""
+    groups = {}
+    for d, t in rows:
+        groups.setdefault(t or "", []).append(d)
+    out = Counter()
+    for text, ids in groups.items():
+        keep = max((d for d in ids if d is not None), default=None)
+        sha = hashlib.sha256(text.encode()).hexdigest()
+        out[(keep, keep, len(ids), True, sha)] += 1
+        rest = list(ids)
+        rest.remove(keep)
+        for d in rest:
+            out[(d, keep, len(ids), False, sha)] += 1
+    return out
+
+
+def result(df):
+    return Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in df.collect())
+
+
+@pytest.mark.parametrize("counters", [1, 3, E.COUNTERS])
+def test_awkward_rows_equal_brute_force(spark, counters):
+    want = slow([(d, t) for d, t, *_ in awkward_rows()])
+    assert result(E.digest_rows(awkward(spark), counters)) == want
+
+
+def test_driver_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    want = slow([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert result(E.digest_rows(docs)) == want
+    assert result(E.digest_rows(docs, counters=5)) == want
+
+
+def test_empty_table(spark):
+    assert E.digest_rows(empty(spark)).count() == 0
+    assert E.dedup(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("counters", [2, 7])
+def test_hot_group_and_many_partitions(spark, counters):
+    """A third of the rows are one text, a tenth another; some of them without id."""
+    rows = [(None if i % 41 == 0 else i, "hot" if i % 3 == 0 else "warm" if i % 10 == 1 else f"t{i % 700}")
+            for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(13)
+    assert result(E.digest_rows(docs, counters)) == slow(rows)
+
+
+def test_frequent_finds_all_above_the_bound_and_no_more_than_counters(spark):
+    r = np.random.default_rng(1)
+    pick = r.zipf(1.3, 20000) % 5000
+    rows = spark.createDataFrame([(bytes([x % 256, x // 256]),) for x in pick.tolist()], "digest binary").repartition(9)
+    exact = Counter(pick.tolist())
+    for counters in (5, 40, 300):
+        found = {r.digest[0] + 256 * r.digest[1] for r in E.frequent(rows, counters).collect()}
+        assert len(found) <= counters
+        assert {k for k, n in exact.items() if n >= 2 * 20000 / (counters + 1)} <= found
+
+
+def test_summary_undercounts_within_its_error():
+    r = np.random.default_rng(2)
+    s, seen = E.Summary(20), Counter()
+    for _ in range(30):
+        keys = [bytes([x]) for x in (r.zipf(1.5, 200) % 90).tolist()]
+        seen.update(keys)
+        s.add(pa.array(keys, pa.binary()))
+    have = dict(zip(s.keys.to_pylist(), s.counts.tolist()))
+    assert len(have) <= 20 and s.lost <= 6000 / 21
+    assert all(n - s.lost <= have.get(k, 0) <= n for k, n in seen.items())
+
+
+def test_whole_rows_stay(spark):
+    docs = awkward(spark)
+    got = E.dedup(docs)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert Counter(r.text or "" for r in rows) == Counter({(t or "") for _, t, *_ in awkward_rows()})
+    all_rows = {tuple(r) for r in docs.collect()}
+    assert all(tuple(r) in all_rows for r in rows)
+
+
+def test_other_columns_break_ties_the_same_way_each_time(spark):
+    rows = [(1, "t", "a"), (1, "t", "b"), (1, "t", "c"), (0, "t", "d")]
+    schema = "doc_id long, text string, source string"
+    first = E.dedup(spark.createDataFrame(rows, schema)).collect()
+    again = E.dedup(spark.createDataFrame(rows[::-1], schema).repartition(3)).collect()
+    assert len(first) == 1 and first == again and first[0].doc_id == 1

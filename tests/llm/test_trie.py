@@ -1,0 +1,141 @@
+"""Operator 11 against a dictionary of prefixes."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import pytest
+
+from finlake.llm import trie as T
+
+from .data import SMALL
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def slow(rows):
+    """rows of (conv_id, turn, role, text) -> Counter of nodes"""
+    md5 = lambda t: hashlib.md5(t.encode()).digest()
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, role or "", md5(text or ""), text or ""))
+    own = {c: [(x[2], x[4]) for x in sorted(v)] for c, v in own.items()}
+    built = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - (c % 100 if c >= 0 else -(-c % 100))
+        built[c] = tuple(own.get(base, [])[:h] + v[h:])
+    members, ends = {}, {}
+    for c, seq in built.items():
+        ends.setdefault(seq, []).append(c)
+        for d in range(len(seq) + 1):
+            members.setdefault(seq[:d], []).append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, who in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(who) - 1) * (len(p[-1][1]) if p else 0)
+    out = Counter()
+    for p, who in members.items():
+        sha = hashlib.sha256(",".join(map(str, sorted(ends.get(p, [])))).encode()).hexdigest()
+        out[(min(who), len(p), min(members[p[:-1]]) if p else None, len(who), children[p], leaves[p], saved[p], sha)] += 1
+    return out
+
+
+def result(df):
+    assert df.columns == COLUMNS
+    return Counter(tuple(r) for r in df.collect())
+
+
+def check(spark, rows, **sizes):
+    assert result(T.prefix_nodes(spark.createDataFrame(rows, SCHEMA).repartition(3), **sizes)) == slow(rows)
+
+
+AWKWARD = [(1, None, "user", "null first"), (1, 0, None, None), (1, 1, "", ""), (1, 1, "a", "tie"), (1, 1, "a", "tie"),
+           (1, 1, "a", "tie b"), (100, 0, "user", "ünï𝔘 \x00 é"), (100, 0, "user", "ünï𝔘 \x00 é"), (100, 3, "user", "b"),
+           (101, 0, "x", "y"), (None, 0, "user", "nobody's"), (-5, 0, "u", "below zero"), (-5, 1, "u", "z"),
+           (102, 0, "u", "v" * 5000), (103, 0, "ab", "c"), (104, 0, "a", "bc"), (2**62, 5, "u", "big id")]
+
+
+@pytest.mark.parametrize("segment,container", [(1, 3), (2, 4), (3, 50), (T.SEGMENT, T.CONTAINER)])
+def test_awkward_conversations(spark, segment, container):
+    check(spark, AWKWARD, segment=segment, container=container)
+
+
+def planted(n=230, seed=0):
+    """Common first turns, copies, some long conversations that share long beginnings."""
+    r = random.Random(seed)
+    rows, long = [], [("user" if i % 2 == 0 else "assistant", f"long {i} " + "x" * (i % 7)) for i in range(40)]
+    for c in range(n):
+        kind = c % 5
+        if kind == 0:
+            seq = [("user", "hello")] + [("assistant", f"a{r.randint(0, 3)}") for _ in range(r.randint(0, 6))]
+        elif kind == 1:
+            seq = [("user", "hello"), ("assistant", "same"), ("user", "copy"), ("assistant", "bye")]
+        elif kind == 2:
+            seq = long[:r.randint(1, 40)] + [("user", f"own {r.randint(0, 2)}")]
+        elif kind == 3:
+            seq = [("user", f"alone {c}")] * r.randint(1, 9)
+        else:
+            seq = long[:r.choice([4, 8, 12, 40])]
+        rows += [(c, i, *x) for i, x in enumerate(seq)]
+    return rows
+
+
+@pytest.mark.parametrize("segment,container", [(4, 6), (8, 30), (T.SEGMENT, T.CONTAINER)])
+def test_planted_prefixes(spark, segment, container):
+    check(spark, planted(), segment=segment, container=container)
+
+
+def test_member_lists_cut_into_chunks(monkeypatch):
+    """Chunks of three ids, batches of two rows: the hash is that of the whole list."""
+    import pyarrow as pa
+    monkeypatch.setattr(T, "CHUNK", 3)
+    lists = {(1, 1): list(range(10)), (1, 2): [5], (2, 1): [7, 8, 9]}
+    flat = [(*k, c) for k, v in lists.items() for c in v]
+    rows = pa.RecordBatch.from_pydict({"end_hi": [r[0] for r in flat], "end_lo": [r[1] for r in flat],
+                                       "conv": [r[2] for r in flat]})
+    parts = list(T._chunks(rows.slice(i, 2) for i in range(0, len(flat), 2)))
+    assert max(p["n"][0].as_py() for p in parts) == 3
+    got = {(d["hi"][0].as_py(), d["lo"][0].as_py()): d["ends_sha256"][0].as_py() for d in T._digests(iter(parts))}
+    assert got == {k: hashlib.sha256(",".join(map(str, v)).encode()).hexdigest() for k, v in lists.items()}
+
+
+def test_one_conversation_holds_most_rows(spark):
+    rows = [(7, i, "u", f"t{i % 13}") for i in range(900)] + [(c, 0, "u", "s") for c in range(8, 300)]
+    check(spark, rows, segment=16, container=40)
+
+
+def test_driver_conversations(spark):
+    table = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    rows = [tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()]
+    assert result(T.prefix_nodes(table)) == slow(rows)
+    assert result(T.prefix_nodes(table, segment=3, container=8)) == slow(rows)
+
+
+def test_extra_columns(spark):
+    df = spark.createDataFrame([(1, 0, "u", "t", 3, 4, "x")], SCHEMA + ", pos int, hi long, _g string")
+    assert result(T.prefix_nodes(df)) == slow([(1, 0, "u", "t")])
+
+
+def test_empty_table(spark):
+    assert T.prefix_nodes(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_sequences_meet_in_sorted_order_whatever_the_batches(spark):
+    import pyarrow as pa
+    kind = pa.list_(pa.struct([("hi", pa.int64()), ("lo", pa.int64()), ("n", pa.int32())]))
+    turn = lambda i: {"hi": i, "lo": -i, "n": i}
+    rows = [([], 1, 1), ([1], 2, 1), ([1, 2], 3, 2), ([1, 3], 4, 1), ([5], 5, 1)]
+    whole = pa.RecordBatch.from_pydict({
+        "hi": [0] * 5, "lo": [0] * 5, "depth": [0] * 5, "seq": pa.array([[turn(i) for i in s] for s, _, _ in rows], kind),
+        "more": [False] * 5, "conv": [c for _, c, _ in rows], "w": [w for *_, w in rows]})
+    one = [b.to_pylist() for b in T.sweep(iter([whole]))]
+    cut = [b.to_pylist() for b in T.sweep(iter([whole.slice(i, 1) for i in range(5)]))]
+    assert one == cut and len(one[0]) == 5
+    root = one[0][0]
+    assert (root["n_convs"], root["n_children"], root["n_leaves"], root["conv_id"]) == (6, 2, 3, 1)
