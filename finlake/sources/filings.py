@@ -1,13 +1,17 @@
 """Readers for quarterly financial-statement extracts (tab-separated text).
 
 Each quarter is a folder ``<root>/<yyyy>q<n>/`` holding ``sub.txt`` (one row per
-filing) and ``num.txt`` (one row per reported number).  Folders of one column
-layout are read by one distributed scan under that layout's own schema, and the
-layouts are united by column name; the folder name comes from the file path.
+filing) and ``num.txt`` (one row per reported number); either may be a folder of
+part files.  Files of one column layout are read by one distributed scan under
+that layout's own schema, and the layouts are united by column name; the folder
+name comes from the file path.
 """
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +23,9 @@ SUB_KEEP = (
 )
 NUM_KEEP = ("adsh", "tag", "ddate", "qtrs", "uom", "segments", "value")
 
+#: every header names the filing key
+KEY = "adsh"
+
 #: where a folder's file lies under the root
 PATTERN = "{folder}/{name}"
 
@@ -41,26 +48,43 @@ def _paths(root: str, folders: list[str], name: str, pattern: str) -> list[str]:
 
 
 def layouts(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Column names -> the files or folders that have them.
+    """Column names -> the files that have them, by each file's own first line.
 
-    A CSV read takes one header for all its files, and quarters differ in
-    their columns, so each path's first line is read on its own.  That is one
-    short line per requested folder.
+    One job over all paths, however many files they hold: of each file only the
+    line that names the filing key among its fields is kept.  What comes to the
+    driver is a line per file, as its listing does anyway.  A file whose first
+    line is no such header can't be read by name and is an error; empty files
+    have no rows.
     """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.rtrim(F.col("value"), F.lit("\r")).alias("line"))
+    named = F.array_contains(F.split("line", "\t"), KEY)
+    first = lines.filter("block = 0").groupBy("file").agg(F.min("at").alias("at"))
+    heads = lines.filter((F.col("block") == 0) & named).select("file", "at", "line")
     out: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        first = spark.read.text(path).limit(1).collect()
-        if first:
-            out.setdefault(tuple(first[0][0].rstrip("\r").split("\t")), []).append(path)
+    bad = []
+    for r in first.join(heads, ["file", "at"], "left").collect():
+        if r.line is None:
+            bad.append(unquote(r.file))
+        else:
+            out.setdefault(tuple(r.line.split("\t")), []).append(unquote(r.file))
+    if bad:
+        raise ValueError(f"no header with the column {KEY} in the first line of {sorted(bad)[:5]} ({len(bad)} files)")
     return out
 
 
+def _literal(path: str) -> str:
+    """A path in which no character is a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _read(spark: SparkSession, found: dict[tuple[str, ...], list[str]], keep: tuple[str, ...]) -> DataFrame:
     """The kept columns of all layouts by name, as text; a column a layout lacks is NULL."""
     out = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in ("folder", *keep)))
-    for names, own in sorted(found.items()):
+    for names, files in sorted(found.items()):
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        raw = _tsv_reader(spark).schema(schema).csv(own)
+        raw = _tsv_reader(spark).schema(schema).csv([_literal(f) for f in sorted(files)])
         out = out.unionByName(raw.select(folder_of_file().alias("folder"), *[
             F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in keep]))
     return out
