@@ -47,12 +47,17 @@ def cumulative_qtrs(fp: str | Column = "fp") -> Column:
 
 
 def cumulative_rule(fp: str | Column = "fp", qtrs: str | Column = "qtrs") -> Column:
-    return col_(qtrs) == cumulative_qtrs(fp)
+    # a difference, not an equality: see period_aligned
+    return col_(qtrs) - cumulative_qtrs(fp) == 0
 
 
 def period_aligned(period: str | Column = "period", ddate: str | Column = "ddate") -> Column:
-    """The fact's date falls in the same month as the filing's period end."""
-    return F.month(col_(period)) == F.month(col_(ddate))
+    """The fact's date falls in the same month as the filing's period end.
+
+    Written as a difference: as an equality it would become a join key beside
+    the filing, and a join on both keys can't use tables bucketed by filing.
+    """
+    return F.month(col_(period)) - F.month(col_(ddate)) == 0
 
 
 def quarter_filter(quarter: str | None, fp: str | Column = "fp") -> Column:

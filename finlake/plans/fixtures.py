@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from finlake.functions import tags
 from finlake.session import checkpoint_dir, file_listing
+from finlake.sinks.bucketed import Layout, open_bucketed, write_bucketed
 from finlake.sources.prices import long_to_wide_maps
 
 DEC = "decimal(18,2)"
@@ -30,13 +31,17 @@ TABLES = (
 ).split()
 
 # Bump when the fixture rule changes so stored copies are rebuilt.
-FIXTURE_VERSION = "5"
+FIXTURE_VERSION = "6"
 
 # Fixed values of the fixture rule.
 SEGMENT_NAME = "ProductSegment"
 NEWS_FIRST_DAY = "1995-01-02"
 NEWS_DAYS = 30
 
+#: filings and facts lie in buckets of the filing key, facts by tag inside
+SUB_LAYOUT = Layout("adsh", 16, ("adsh",))
+NUM_LAYOUT = Layout("adsh", 16, ("tag", "adsh"))
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -305,28 +310,31 @@ class Fixtures:
     def _path(self, key: str) -> str:
         return f"{_store_root(self.spark)}/finlake-fixtures/{self._key}/{key}"
 
-    def _memo(self, key, build):
+    def _memo(self, key, build, layout: Layout | None = None):
         if key not in self._cache:
             if not self.materialize or _store_root(self.spark) is None:
                 # no shared folder configured: derive lazily, never a local temp dir
                 self._cache[key] = build()
             else:
-                self._cache[key] = self._stored(self._path(key), build)
+                self._cache[key] = self._stored(self._path(key), build, layout)
         return self._cache[key]
 
     def _complete(self, path: str) -> bool:
         """A finished write ends with its ``_SUCCESS`` marker."""
         return any(name == "_SUCCESS" for name, *_ in file_listing(self.spark, path))
 
-    def _stored(self, path: str, build) -> DataFrame:
+    def _stored(self, path: str, build, layout: Layout | None = None) -> DataFrame:
         if not self._complete(path):
             # nothing there, or a half-written table: it is replaced
-            build().write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+            if layout:
+                write_bucketed(build(), path, layout)
+            else:
+                build().write.mode("overwrite").parquet(path)
+        return open_bucketed(self.spark, path, layout) if layout else self.spark.read.parquet(path)
 
     def build_all(self) -> None:
         for name in ("fs_sub", "fs_num_raw", "fs_num", "stock", "stock_wide", "mapping", "news",
-                     "news_with_sentiment", "staged"):
+                     "news_with_sentiment", "staged", "warehouse"):
             getattr(self, name)
 
     @property
@@ -337,7 +345,7 @@ class Fixtures:
 
     @property
     def fs_sub(self) -> DataFrame:
-        return self._memo("fs_sub", lambda: fs_sub(self.measures))
+        return self._memo("fs_sub", lambda: fs_sub(self.measures), SUB_LAYOUT)
 
     @property
     def fs_num_raw(self) -> DataFrame:
@@ -347,9 +355,7 @@ class Fixtures:
     def fs_num(self) -> DataFrame:
         from finlake.plans.ingest import keep_period_facts
 
-        # clustered by tag inside each file, like the ingest writes it
-        return self._memo("fs_num", lambda: keep_period_facts(self.fs_num_raw, self.fs_sub)
-                          .sortWithinPartitions("tag", "adsh"))
+        return self._memo("fs_num", lambda: keep_period_facts(self.fs_num_raw, self.fs_sub), NUM_LAYOUT)
 
     @property
     def stock(self) -> DataFrame:
@@ -380,6 +386,21 @@ class Fixtures:
                        .option("header", True).option("sep", "\t").option("quote", "").csv(f"{path}/{name}"))
         return path
 
+    @property
+    def warehouse(self) -> str:
+        """Root of the filings loaded from the staged text, in two loads and a reload of one quarter."""
+        from finlake.plans.ingest import load_warehouse
+        from finlake.sinks.warehouse import latest
+
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/finlake-fixtures/{self._key}/warehouse"
+        folders = sorted(r.folder for r in self.fs_sub.select("folder").distinct().collect())
+        if set(latest(self.spark, path).recorded) != set(folders):
+            where = {"companies": self.mapping.select("CIK"), "pattern": "{name}/folder={folder}", "buckets": 4}
+            load_warehouse(self.spark, self.staged, path, folders[::2], **where)
+            load_warehouse(self.spark, self.staged, path, folders, **where)
+            load_warehouse(self.spark, self.staged, path, folders[:1], replace=True, **where)
+        return path
+
     @property
     def mapping(self) -> DataFrame:
         return self._memo("mapping", lambda: ticker_cik_mapping(self.table("supplier")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from finlake.functions import tags
 from finlake.operators.joins import keep_members
-from finlake.sinks import writers
+from finlake.sinks import warehouse, writers
 from finlake.sources import filings as src
 from finlake.sources.prices import wide_to_long
 
@@ -44,7 +44,7 @@ def ingest_filings(
     out_root: str,
     folders: list[str],
     companies: Iterable[int] | DataFrame | None,
-    ledger_path: str,
+    ledger_path: str | None,
     sink: str = "parquet",
     jdbc_url: str | None = None,
     jdbc_props: dict[str, str] | None = None,
@@ -54,7 +54,15 @@ def ingest_filings(
     Returns the folders loaded by this call.  Re-running after a failure
     re-writes the same folder partitions (dynamic overwrite) before the
     ledger is appended, so a folder is never stored twice.
+
+    The ``warehouse`` sink keeps bucketed tables and the ledger under one
+    manifest in ``out_root`` (:mod:`finlake.sinks.warehouse`): a load becomes
+    visible as a whole; it takes no ``ledger_path``.
     """
+    if sink == "warehouse":
+        return load_warehouse(spark, raw_root, out_root, folders, companies)
+    if not ledger_path:
+        raise ValueError(f"sink {sink!r} needs ledger_path")
     requested = spark.createDataFrame([(f,) for f in folders], "folder_name string")
     ledger = writers.read_ledger(spark, ledger_path)
     # The pending list is a handful of folder names (bounded by the request).
@@ -88,6 +96,24 @@ def ingest_filings(
     return sorted(pending)
 
 
+def load_warehouse(spark: SparkSession, raw_root: str, out_root: str, folders: list[str],
+                   companies: Iterable[int] | DataFrame | None, replace: bool = False,
+                   pattern: str = src.PATTERN, buckets: int = warehouse.BUCKETS) -> list[str]:
+    """Load the folders that the manifest hasn't recorded (all of them with ``replace``); those made visible.
+
+    ``buckets`` is chosen with the first load and stays: about the facts of a
+    quarter over 256 MB, or the cores of the cluster for many quarters at once.
+    """
+    done = set() if replace else set(warehouse.latest(spark, out_root).recorded)
+    pending = sorted({f for f in folders if f not in done})
+    if not pending:
+        return []
+    sub = select_filings(src.read_sub(spark, raw_root, pending, pattern), companies)
+    num = keep_period_facts(src.read_num(spark, raw_root, pending, pattern), sub)
+    written = warehouse.write_load(spark, out_root, warehouse.layouts(sub, num, buckets))
+    return warehouse.commit(spark, out_root, written, pending, replace)
+
+
 def read_loaded(spark: SparkSession, out_root: str) -> tuple[DataFrame, DataFrame]:
     """The loaded filing and fact tables (folder is a partition column)."""
     return spark.read.parquet(f"{out_root}/fs_sub"), spark.read.parquet(f"{out_root}/fs_num")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.scalar import pretty_size
+from finlake.sinks import warehouse
 
 
 def loaded_folders(ledger: DataFrame) -> DataFrame:
@@ -24,6 +25,20 @@ def folder_fact_counts(fs_num: DataFrame, fs_sub: DataFrame) -> DataFrame:
             .orderBy(F.col("folder").desc()))
 
 
+def warehouse_folders(spark: SparkSession, root: str) -> DataFrame:
+    """Per quarter of the newest manifest its filings, their facts and their companies (0 where a quarter has none)."""
+    now = warehouse.latest(spark, root)
+    sub, num = (warehouse.read(spark, root, t, now) for t in ("fs_sub", "fs_num"))
+    # facts join their filing inside its bucket
+    facts = num.groupBy("folder", "adsh").agg(F.count(F.lit(1)).alias("facts"))
+    per_filing = sub.select("folder", "adsh", "cik").join(facts, ["folder", "adsh"], "left")
+    counts = per_filing.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("filings"), F.sum("facts").alias("facts"), F.count_distinct("cik").alias("companies"))
+    folders = spark.createDataFrame([(f,) for f in now.recorded], "folder string")
+    return folders.join(counts, "folder", "left").select(
+        "folder", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("filings", "facts", "companies")])
+
+
 def table_sizes(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """(table, files, bytes, size) for Parquet tables given as name -> path: one row per file is read."""
     files = None
