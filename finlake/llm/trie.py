@@ -74,7 +74,8 @@ def turns_of(conversations: DataFrame) -> DataFrame:
     rows = rows.select("_g", "turn", "role", F.unhex(F.md5("text")).alias("m"),
                        F.unhex(F.md5(F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text"))).alias("t"),
                        F.char_length("text").alias("n"))
-    return numbered(rows, ["turn", "role", "m"], "turns").select(
+    # stored, because dealing to ranges reads its input twice
+    return numbered(stored(rows, "turn-digests"), ["turn", "role", "m"], "turns").select(
         F.col("_g").alias("conv"), F.col("_pos").alias("pos"), "t", "n")
 
 
