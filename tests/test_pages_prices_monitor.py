@@ -122,6 +122,52 @@ def test_paragraph_ends_and_articles_by_hand(spark):
     assert texts(container=None) == ["menu", "one", "two", "three", "four bold", "five"]
 
 
+def _texts(spark, page, **kw):
+    return [r.text for r in html.paragraphs(spark.createDataFrame([(1, page)], "page_id long, html string"), **kw)
+            .orderBy("pos").collect()]
+
+
+def _table(spark, page, index=0):
+    return [list(r.cells) for r in html.table_rows(spark.createDataFrame([(1, page)], "page_id long, html string"),
+                                                   table_index=index).orderBy("row").collect()]
+
+
+def test_nested_articles_end_where_they_belong(spark):
+    page = "<p>menu</p><article><p>a</p><article><p>b</p></article><p>after</p></article><p>foot</p><article><p>c"
+    assert _texts(spark, page) == ["a", "b", "after", "c"]
+    assert _texts(spark, page, first_only=True) == ["a", "b", "after"]
+    assert _texts(spark, "</article><p>x</p><article></article>") == ["x"]       # nothing in an article: the page
+    assert _texts(spark, "<articles><p>not one</p></articles><ARTICLE id=1><P>one") == ["one"]
+    deep = "<article>" * 300 + "<p>deep</p>" + "</article>" * 299 + "<p>still in</p></article><p>out</p>"
+    assert _texts(spark, deep) == ["deep", "still in"]
+
+
+def test_tags_end_outside_quotes(spark):
+    assert _texts(spark, """<p title="a>b" class='c>d'>one</p><p data-x=it's>two</p>3 < 4<p>5 < 6 > 5</p>""") == [
+        "one", "two", "5 < 6 > 5"]
+
+
+def test_entities_are_decoded_once(spark):
+    page = "<p>&#8217;&#x2019;&eacute;&Eacute;&euro;&#128512;&#150;|&amp;lt;&amp;amp;&nbsp;x&#0;&#xD800;&#x110000;</p>" \
+           "<p>&bogus; &amp &; & &#; 1&lt;2&gt;0</p>"
+    assert _texts(spark, page) == ["’’éÉ€😀–|&lt;&amp; x���", "&bogus; &amp &; & &#; 1<2>0"]
+
+
+def test_nested_tables_rows_and_spans(spark):
+    page = ("<table><tr><td>1<table><tr><td>n</td></tr></table></td><td>2</td></tr><tr><td>3</td></tr></table>"
+            "<table><thead><tr><th colspan=2>h<tbody><tr><td>a<td>b&amp;<tr><td title='<td>'>c</table>")
+    assert _table(spark, page) == [["1n", "2"], ["3"]]
+    assert _table(spark, page, 1) == [["h", "h"], ["a", "b&"], ["c"]]
+    assert _table(spark, page, 2) == [] and _table(spark, "no table") == []
+    assert _table(spark, "<table><tr><td>open") == [["open"]]
+    assert _table(spark, None or "<table></table>") == []
+
+
+def test_null_pages(spark):
+    pages = spark.createDataFrame([(1, None)], "page_id long, html string")
+    assert html.paragraphs(pages).count() == 0 and html.table_rows(pages).count() == 0
+
+
 def test_driver_page_paragraphs_by_hand(spark):
     """The first paragraphs of the first driver page, read off its source by eye."""
     import re
