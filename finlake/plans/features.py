@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.operators.joins import keep_members
+from finlake.operators.ordinals import global_positions
 from finlake.operators.scaling import minmax_fit, minmax_transform
 from finlake.operators.series import chronological_split, sequence_windows
 from finlake.session import cut_lineage
@@ -38,12 +39,9 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def category_codes(categories: DataFrame, col: str, code: str) -> DataFrame:
-    """(category, code): position among the sorted distinct values, NULL last.
-
-    One window over the distinct categories (companies, labels), never over rows.
-    """
-    w = Window.partitionBy(F.lit(0)).orderBy(F.col(col).asc_nulls_last())
-    return categories.select(col).distinct().withColumn(code, (F.row_number().over(w) - 1).cast("double"))
+    """(category, code): position among the sorted distinct values, NULL last."""
+    distinct = global_positions(categories.select(col).distinct(), col, code)
+    return distinct.withColumn(code, F.col(code).cast("double"))
 
 
 def ordinal_encode(df: DataFrame, cols: list[str], suffix: str = "_code",

@@ -126,6 +126,15 @@ def cut_lineage(df):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(df):
+    """``df`` written as Parquet to the shared checkpoint folder and read back, for steps that must see the same rows
+    in the same partitions; on a cluster without such a folder this raises."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/finlake-cut/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def file_listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     """(name, bytes, modified) of the file, or of the files right under the folder, by Spark's file system.
 
