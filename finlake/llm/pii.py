@@ -63,7 +63,7 @@ WIDE = {
     "phone": r"(?<![0-9A-Za-z])[(0-9](?:[\x20().-]{0,2}[0-9]){6,}+(?![0-9A-Za-z])",
 }
 WIDE_HINT = {
-    "email": r"(?:[(\[]at[)\]]|\x20at\x20).{1,80}(?:\.|dot)",
+    "email": r"(?:[(\[]at[)\]]\x20?|\x20at\x20)[A-Za-z0-9-]++(?:\x20?[(\[]dot[)\]]|\x20dot\x20|\.[A-Za-z0-9-])",
     "ip": r"[0-9]\x20?[.,]\x20?[0-9]{1,3}\x20?[.,]\x20?[0-9]{1,3}\x20?[.,]",
     "card": r"[0-9](?:[\x20.-]{0,2}[0-9]){12}",
     "phone": r"[(0-9](?:[\x20().-]{0,2}[0-9]){6}",

@@ -80,6 +80,47 @@ def test_weak_supervision_adds_spans_by_context_and_keeps_base(spark):
     assert got[100].spans == "phone:6:23" and got[100].n_phone == 1 and got[0].n_phone == 0
 
 
+def test_hints_cut_no_candidate_off(spark):
+    """Hosts of any length: with the hint and without it the same matches."""
+    texts = [f"joe (at) {'h' * n} (dot) com" for n in (1, 70, 90, 5000)] + [
+        f"joe at {'h' * 300} dot org", "joe [at]a[dot]b", "joe (at) mail.com", "at home. dot", f"x(at){'long-' * 100}x.de"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    both = df.select("k", pii.matches(df["text"], pii.WIDE["email"], pii.WIDE_HINT["email"]).alias("a"),
+                     pii.matches(df["text"], pii.WIDE["email"], "(?s).*").alias("b")).orderBy("k").collect()
+    assert all(r.a == r.b for r in both)
+    assert [len(r.a) for r in both] == [1, 1, 1, 1, 1, 1, 1, 0, 1]
+
+
+def test_recall_and_precision_on_planted_wide_forms(spark):
+    """Wide forms of four kinds among ordinary numbers and phrases."""
+    import random
+    r = random.Random(6)
+    digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(3, 9)))
+
+    def card():
+        head = "4" + digits(14)
+        tail = next(c for c in "0123456789" if luhn(head + c))
+        return ".".join((head + tail)[k:k + 4] for k in range(0, 16, 4))
+
+    yes = {"email": lambda: f"write to {word()} (at) {word()} (dot) com",
+           "phone": lambda: f"call my phone ({r.choice(['212', '415', '617'])}) 555-{digits(4)}",
+           "card": lambda: f"my visa card {card()}", "ip": lambda: f"server address 10 . {r.randint(0, 255)} . 0 . 7"}
+    no = [lambda: f"order {digits(9)}", lambda: f"isbn {digits(3)}-{digits(10)}", lambda: f"meet at noon dot {word()}",
+          lambda: f"version 4 . {r.randint(300, 999)} . 2 . {r.randint(300, 999)}", lambda: f"page {digits(7)}"]
+    rows, kinds = [], []
+    for i in range(400):
+        kind = r.choice([*yes, None, None, None, None])
+        rows.append((i, f"{word()} {yes[kind]() if kind else r.choice(no)()} {word()}"))
+        kinds.append(kind)
+    got = {x.doc_id: x.spans for x in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(bool(k) and got[i].startswith(k) for i, k in enumerate(kinds))
+    wrong = sum(bool(got[i]) and (not k or not got[i].startswith(k)) for i, k in enumerate(kinds))
+    planted = sum(map(bool, kinds))
+    print("recall", found / planted, "precision", found / max(found + wrong, 1))
+    assert found / planted >= 0.9 and found / (found + wrong) >= 0.9
+
+
 def test_expectation_maximisation_trusts_the_reliable_labeler():
     """One labeler is right 95 % of the time, one guesses: the posterior follows the first."""
     counts = {}
