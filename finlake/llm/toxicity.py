@@ -12,34 +12,40 @@ score is calibrated from its largest window logit, its mean window probability
 and its number of windows.
 
 Training takes at most ``TRAIN_ROWS`` labelled rows per class (by hash order of
-the id) and at most ``TRAIN_WINDOWS`` windows of each.  The label belongs to
-the document, so after two rounds on all windows each round trains on the
-window that scored highest in its document (multiple-instance learning).  One
-dimension of the word and character vectors starts from the smoothed log-odds
-of the two classes in the training rows.  Every fourth training row is kept
-from the network and calibrates its logits, over all windows of its text.
+the id), and all overlapping windows of each.  The label belongs to the
+document, so after two rounds on all windows the network trains on the window
+that scores highest in its document (multiple-instance learning).  Windows are
+cut, counted and scored in Spark tasks and stored; the driver streams them in
+batches in the first rounds and gets one window per row in the later ones, so
+its memory doesn't grow with the texts.  One dimension of the word and
+character vectors starts from the smoothed log-odds of the two classes in the
+training rows.  Every fourth training row is kept from the network and
+calibrates its logits, over all windows of its text.
 
 Defined cases: null and empty texts, or texts without a letter or digit, score
 0; without training rows of both classes every text scores 0; rows that repeat
-an id each get a row; a row without id is never trained on and counts as not
-held out; columns other than ``doc_id`` and ``text`` are not read.
+an id each get a row; an id labelled both ways counts as toxic; a row without id
+is never trained on and counts as not held out; columns other than ``doc_id``
+and ``text`` are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.store import is_held_out, per_text, stored
+from finlake.llm.store import is_held_out, per_text, ship, stored
 from finlake.llm.text import code_points, mixed, word_hashes, word_runs
 
-#: words per window, and from one window's start to the next
-WINDOW, STEP = 48, 32
-#: bounds of the training sample: rows per class, windows per row
-TRAIN_ROWS, TRAIN_WINDOWS = 1500, 8
+#: words per window, and from one window's start to the next: half a window, so a phrase of 24 words is whole in one
+WINDOW, STEP = 48, 24
+#: bound of the training sample: rows per class
+TRAIN_ROWS = 1500
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 14, 1 << 15
 WORD_DIM, GRAM_DIM, HIDDEN, ATTENTION = 8, 8, 12, 8
 #: dimensions of the grams pooled by maximum; the others by mean
@@ -48,7 +54,8 @@ MAX_DIM = 4
 LEAST_SEEN = 3
 #: log-odds seen in as many documents count half
 SHRINK = 10
-ROUNDS, BATCH, RATE = 10, 128, 0.01
+#: rounds; the first ones train on all windows, the others on each document's highest, chosen anew every second round
+ROUNDS, ON_ALL, BATCH, RATE = 10, 2, 128, 0.01
 #: words whose inputs are held at a time
 CHUNK = 1 << 15
 _BOUNDARY = np.uint32(1)
@@ -252,78 +259,122 @@ def document_logits(p: dict[str, np.ndarray], texts: list[str | None]) -> list[t
     return list(zip(best.tolist(), total.tolist(), count.tolist()))
 
 
-def sample_windows(text: str | None, most: int = TRAIN_WINDOWS) -> list[str]:
-    """Up to ``most`` windows of a text, spread evenly, as text."""
+def window_texts(text: str | None) -> Iterator[str]:
+    """Every window of a text, as text."""
     codes = code_points(text)
     starts, ends = word_runs(codes)
-    every = windows(len(starts))
-    if len(every) > most:
-        every = every[np.linspace(0, len(every) - 1, most).astype(np.int64)]
-    return [codes[starts[w]:ends[min(w + WINDOW, len(starts)) - 1]].tobytes().decode("utf-32-le", "surrogatepass")
-            for w in every.tolist()]
-
-
-def _log_odds(rows: list[list[np.ndarray]], labels: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    for w in windows(len(starts)).tolist():
+        yield codes[starts[w]:ends[min(w + WINDOW, len(starts)) - 1]].tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``k, toxic, i, window`` from ``k, toxic, text``, some hundred windows at a time."""
+    for b in batches:
+        for k, toxic, text in zip(*(b.column(c).to_pylist() for c in ("k", "toxic", "text"))):
+            every = enumerate(window_texts(text))
+            while part := list(islice(every, 512)):
+                yield pa.RecordBatch.from_pydict({
+                    "k": pa.array([k] * len(part), pa.int64()), "toxic": pa.array([toxic] * len(part), pa.int32()),
+                    "i": pa.array([i for i, _ in part], pa.int64()), "window": pa.array([w for _, w in part])})
+
+
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many of a task's documents of each class have each word and gram bucket (grams behind the words)."""
+    seen = np.zeros((2, WORD_BUCKETS + GRAM_BUCKETS), np.int64)
+    for b in batches:
+        for toxic, text in zip(b.column("toxic").to_pylist(), b.column("text").to_pylist()):
+            has = np.zeros(seen.shape[1], bool)
+            for words, _ in word_chunks(text):
+                has[words.word] = True
+                for g in words.grams:
+                    has[WORD_BUCKETS + g] = True
+            seen[int(toxic)] += has
+    y, at = np.nonzero(seen)
+    yield pa.RecordBatch.from_pydict({"toxic": pa.array(y, pa.int32()), "bucket": pa.array(at, pa.int32()),
+                                      "n": pa.array(seen[y, at], pa.int64())})
+
+
+def log_odds(seen: np.ndarray, documents: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smoothed log-odds of the classes per bucket, and which buckets enough documents have."""
-    seen = np.zeros((2, buckets))
-    for own, y in zip(rows, labels.tolist()):
-        seen[int(y), np.unique(np.concatenate(own))] += 1
-    n = np.bincount(labels.astype(np.int64), minlength=2) + 2
+    n = documents + 2
     odds = np.log((seen[1] + 1) / n[1]) - np.log((seen[0] + 1) / n[0])
-    n = seen.sum(axis=0)
-    return (np.clip(odds, -3, 3) * n / (n + SHRINK)).astype(np.float32), (n >= LEAST_SEEN)[:, None]
+    both = seen.sum(axis=0)
+    return (np.clip(odds, -3, 3) * both / (both + SHRINK)).astype(np.float32), (both >= LEAST_SEEN)[:, None]
+
 
+class Network:
+    """Parameters and their optimiser (Adam)."""
 
-def train(documents: list[tuple[list[str], int]], seed: int = 11) -> dict[str, np.ndarray]:
-    """Fit on (windows, label) per document."""
-    p = initial(seed)
-    parts, owner, label = [], [], np.array([y for _, y in documents], np.float32)
-    for k, (texts, _) in enumerate(documents):
+    def __init__(self, seen: np.ndarray, documents: np.ndarray, seed: int = 11):
+        self.p, self.known = initial(seed), {}
+        for name, part in (("words", seen[:, :WORD_BUCKETS]), ("grams", seen[:, WORD_BUCKETS:])):
+            self.p[name][:, 0], self.known[name] = log_odds(part, documents)
+        self.p["grams"][:, MAX_DIM] = self.p["grams"][:, 0]
+        for name, rows in self.known.items():
+            self.p[name] = self.p[name] * rows
+        self.m1, self.m2, self.steps = {}, {}, 0
+
+    def learn(self, texts: list[str], label: np.ndarray, weight: np.ndarray) -> None:
+        """One step on a batch of windows."""
+        parts = []
         for t in texts:
             codes = code_points(t)
             starts, ends = word_runs(codes)
             parts.append(Words(codes, starts[:WINDOW], ends[:WINDOW]))
-            owner.append(k)
-    owner = np.array(owner)
-    by_doc: list[list[int]] = [[] for _ in documents]
-    for i, k in enumerate(owner.tolist()):
-        by_doc[k].append(i)
-    known = {}
-    p["words"][:, 0], known["words"] = _log_odds([[parts[i].word for i in own] for own in by_doc], label, WORD_BUCKETS)
-    p["grams"][:, 0], known["grams"] = _log_odds(
-        [[g for i in own for g in parts[i].grams] for own in by_doc], label, GRAM_BUCKETS)
-    p["grams"][:, MAX_DIM] = p["grams"][:, 0]
-    for name, rows in known.items():
-        p[name] = p[name] * rows
-    r = np.random.default_rng(seed + 1)
-    m1, m2, step = {}, {}, 0
-    weight = np.where(label > 0, len(label) / (2 * max(label.sum(), 1)), len(label) / (2 * max((1 - label).sum(), 1)))
+        keep: dict = {}
+        logit, mask, batch = _batch(self.p, parts, keep)
+        d = ((_sigmoid(logit) - label) * weight / len(parts)).astype(np.float32)
+        g = backward(self.p, d, mask, keep)
+        g |= _input_gradients(self.p, g.pop("x"), batch, keep["inputs"])
+        for name, rows in self.known.items():
+            g[name] *= rows
+        self.steps += 1
+        for name, slope in g.items():
+            self.m1[name] = 0.9 * self.m1.get(name, 0) + 0.1 * slope
+            self.m2[name] = 0.99 * self.m2.get(name, 0) + 0.01 * slope * slope
+            self.p[name] = (self.p[name] - RATE * (self.m1[name] / (1 - 0.9**self.steps))
+                            / (np.sqrt(self.m2[name] / (1 - 0.99**self.steps)) + 1e-6)).astype(np.float32)
+
+
+def train(rows: DataFrame, seed: int = 11) -> dict[str, np.ndarray] | None:
+    """Fit on a stored table of a bounded number of rows (``k, toxic, text``); None without both classes."""
+    spark = rows.sparkSession
+    cut = stored(rows.mapInArrow(_cut, "k long, toxic int, i long, window string"), "windows")
+    documents = np.zeros(2)
+    for r in cut.filter("i = 0").groupBy("toxic").count().collect():
+        documents[r["toxic"]] = r["count"]
+    if not documents.all():
+        return None
+    counts = rows.mapInArrow(_document_counts, "toxic int, bucket int, n long").groupBy("toxic", "bucket").agg(
+        F.sum("n").alias("n")).toArrow()  # two numbers per bucket at most
+    seen = np.zeros((2, WORD_BUCKETS + GRAM_BUCKETS))
+    seen[counts["toxic"].to_numpy(), counts["bucket"].to_numpy()] = counts["n"].to_numpy()
+    net = Network(seen, documents, seed)
+    price = documents.sum() / (2 * documents)
+
+    def passed(found: Iterable) -> None:
+        found = iter(found)
+        while part := list(islice(found, BATCH)):
+            label = np.array([r["toxic"] for r in part], np.float32)
+            net.learn([r["window"] for r in part], label, price[label.astype(int)])
+
+    best: list = []
     for turn in range(ROUNDS):
-        chosen = np.arange(len(parts))
-        if turn >= 2:
-            logit = np.concatenate([_batch(p, [parts[i] for i in range(k, min(k + 512, len(parts)))])[0]
-                                    for k in range(0, len(parts), 512)])
-            order = np.lexsort((-logit, owner))
-            chosen = order[np.unique(owner[order], return_index=True)[1]]
-        elif len(chosen) > 2 * len(documents):
-            chosen = r.permutation(chosen)[:2 * len(documents)]
-        chosen = r.permutation(chosen)
-        for low in range(0, len(chosen), BATCH):
-            at = chosen[low:low + BATCH]
-            keep: dict = {}
-            logit, mask, batch = _batch(p, [parts[i] for i in at], keep)
-            d = ((_sigmoid(logit) - label[owner[at]]) * weight[owner[at]] / len(at)).astype(np.float32)
-            g = backward(p, d, mask, keep)
-            g |= _input_gradients(p, g.pop("x"), batch, keep["inputs"])
-            for name, rows in known.items():
-                g[name] *= rows
-            step += 1
-            for name, slope in g.items():
-                m1[name] = 0.9 * m1.get(name, 0) + 0.1 * slope
-                m2[name] = 0.99 * m2.get(name, 0) + 0.01 * slope * slope
-                p[name] = (p[name] - RATE * (m1[name] / (1 - 0.9**step))
-                           / (np.sqrt(m2[name] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-    return p
+        if turn < ON_ALL:
+            passed(cut.orderBy(F.xxhash64("k", "i", F.lit(turn)), "k", "i").select("toxic", "window").toLocalIterator())
+            continue
+        if (turn - ON_ALL) % 2 == 0:
+            given = spark.sparkContext.broadcast(net.p)
+
+            def logits(texts):
+                return [[m for m, _, _ in document_logits(given.value, texts)]]
+
+            scored = per_text(cut.select("k", "i", "toxic", "window", F.col("window").alias("text")), logits, "logit double")
+            best = scored.groupBy("k").agg(F.max_by(F.struct("toxic", "window"), F.struct("logit", -F.col("i"))).alias(
+                "best")).orderBy("k").select("best.*").collect()  # one window a row
+        r = np.random.default_rng(seed + turn)
+        passed([best[i] for i in r.permutation(len(best))])
+    return net.p
 
 
 def _batch(p: dict[str, np.ndarray], parts: list[Words], keep: dict | None = None):
@@ -383,26 +434,28 @@ def calibrate(f: np.ndarray, label: np.ndarray, ridge: float = 1.0) -> np.ndarra
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``toxic, text`` of at most ``TRAIN_ROWS`` rows per class that are not held out, in a stored table."""
-    known = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~is_held_out(F.col("doc_id"))).select(
-        "doc_id", "toxic", F.xxhash64("doc_id").alias("_h"))
+    """``toxic, text, k`` of at most ``TRAIN_ROWS`` rows per class that are not held out, in a stored table."""
+    known = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~is_held_out(F.col("doc_id"))).groupBy(
+        "doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("_h", F.xxhash64("doc_id"))
     picked = None
     for y in (0, 1):
         one = known.filter(F.col("toxic") == y).orderBy("_h", "doc_id").limit(TRAIN_ROWS)
         picked = one if picked is None else picked.unionByName(one)
     # 2 * TRAIN_ROWS slim rows at most: small enough to broadcast at any size of the corpus
-    return stored(docs.select("doc_id", "text").join(F.broadcast(picked.dropDuplicates(["doc_id"])), "doc_id").orderBy(
-        "_h", "doc_id", "text").limit(2 * TRAIN_ROWS).select("toxic", "text"), "training")
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").orderBy("_h", "doc_id", "text").limit(
+        2 * TRAIN_ROWS).select("toxic", "text")
+    # dealt out again: the rows' windows are cut and scored by many tasks
+    return stored(stored(found, "training").withColumn("k", F.monotonically_increasing_id()).repartition(
+        64, "k"), "training-dealt")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray] | None:
+    ship(docs.sparkSession)
     rows = training_rows(docs, labels)
     apart = F.pmod(F.xxhash64("text"), F.lit(4)) == 0
-    made = per_text(rows.filter(~apart), lambda texts: [[sample_windows(t) for t in texts]], "windows array<string>")
-    seen = sorted((list(r["windows"]), int(r["toxic"])) for r in made.filter("size(windows) > 0").toLocalIterator())
-    if len({y for _, y in seen}) < 2:
+    p = train(rows.filter(~apart).select("k", "toxic", "text"))
+    if p is None:
         return None
-    p = train(seen)
     given = docs.sparkSession.sparkContext.broadcast(p)
 
     def run(texts):

@@ -210,6 +210,41 @@ def test_long_texts_in_chunks_have_the_same_likelihoods(monkeypatch):
     assert np.allclose(langid.word_likelihoods(text, model), whole)
 
 
+def test_words_longer_than_a_piece_stay_one_word(monkeypatch):
+    model = np.random.default_rng(1).random((langid.BUCKETS, 2)).astype(np.float32)
+    text = "ab " + "xyz" * 2000 + " cd" + "é" * 700 + "1end"
+    whole = langid.word_likelihoods(text, model)
+    assert len(whole) == 4
+    for chunk in (1, 2, 7, 500):
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        assert np.allclose(langid.word_likelihoods(text, model), whole, rtol=1e-4)
+
+
+def test_texts_whose_likelihoods_are_not_held_get_the_same_shares(monkeypatch):
+    r = np.random.default_rng(2)
+    ll = np.log(r.random((400, 5))).astype(np.float32) * 3
+    ll[:250, 1] += 6
+    ll[250:, 3] += 6
+    parts = [ll[k:k + 90] for k in range(0, 400, 90)]
+    held = langid.languages(langid.Mixture(lambda: iter(parts), 5))
+    monkeypatch.setattr(langid, "HELD", 50)
+    mixture = langid.Mixture(lambda: iter(parts), 5)
+    assert mixture.kept is None
+    again = langid.languages(mixture)
+    assert held[0] == again[0] == [1, 3] and np.allclose(held[1], again[1]) and abs(held[1][0] - 0.625) < 0.05
+
+
+def test_more_languages_than_a_block(spark):
+    """300 languages, each with words of its own; a block holds 64."""
+    word = lambda k: chr(0x4E00 + k) * 3 + chr(0x5E00 + k) * 2
+    rows = [(i, f"{word(i % 300)} " * 6, f"l{i % 300:03d}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, model = langid.train(docs)
+    assert len(langs) == 300 and [b.shape[1] for b in langid.blocks_of(model)] == [64, 64, 64, 64, 44]
+    got = langid.identify(docs.filter("doc_id < 300").select("doc_id", "text"), langs, model).collect()
+    assert sum(r.lang_pred == f"l{r.doc_id:03d}" for r in got) >= 298
+
+
 def test_language_awkward_rows(spark):
     got = langid.language_id(awkward(spark)).collect()
     assert len(got) == len(awkward_rows())
@@ -312,6 +347,70 @@ def test_toxicity_held_out(spark):
     assert auc > 0.9 and ((d.score >= 0.5).astype(int) == d.predicted).all() and d.score.between(0, 1).all()
 
 
+def test_document_logits_equal_a_word_by_word_network():
+    """Every window alone, one word after the other, with plain vectors."""
+    p = T.initial(5)
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    h = T.HIDDEN
+
+    def states(xs, u):
+        out, s = [], np.zeros(h)
+        for x in xs:
+            hu = s @ u
+            z, r = sig(x[:h] + hu[:h]), sig(x[h:2 * h] + hu[h:2 * h])
+            new = np.tanh(x[2 * h:] + r * hu[2 * h:])
+            s = new + z * (s - new)
+            out.append(s)
+        return out
+
+    def logit(text):
+        codes = code_points(text)
+        x = T.Words(codes, *word_runs(codes)).inputs(p) @ p["w"] + p["b"]
+        f, b = states(x[:, :3 * h], p["uf"]), states(x[::-1, 3 * h:], p["ub"])[::-1]
+        s = np.array([np.concatenate(v) for v in zip(f, b)])
+        e = np.exp(np.tanh(s @ p["a"]) @ p["v"])
+        return float((e / e.sum()) @ s @ p["o"] + p["c"][0])
+
+    texts = [PROSE, "one", None, "", " ".join([PROSE, OTHER] * 4), OTHER + " x y z"]
+    for text, (top, total, n) in zip(texts, T.document_logits(p, texts)):
+        want = [logit(w) for w in T.window_texts(text)]
+        assert n == len(want)
+        if n:
+            assert abs(top - max(want)) < 1e-4 and abs(total - sum(sig(np.array(want)))) < 1e-3
+
+
+def test_phrases_over_window_borders_are_whole_in_a_window():
+    words = [f"w{i}" for i in range(400)]
+    for start in range(0, 370):
+        phrase = " ".join(words[start:start + T.WINDOW - T.STEP])
+        assert any(phrase + " " in w + " " for w in T.window_texts(" ".join(words)))
+
+
+def test_an_id_labelled_both_ways_is_toxic_whatever_the_order(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(1, 40)], "doc_id long, text string")
+    rows = [(i, y) for i in range(1, 40) for y in ((0, 1) if i % 3 == 0 else (0,))]
+    for order in (rows, rows[::-1]):
+        got = T.training_rows(docs, spark.createDataFrame(order, "doc_id long, toxic int")).collect()
+        assert {int(r.text.split()[1]): r.toxic for r in got} == {
+            r.doc_id: int(r.doc_id % 3 == 0) for r in docs.filter(~is_held_out(docs["doc_id"])).collect()}
+
+
+def test_toxic_words_behind_many_clean_windows_are_learned(spark):
+    """The telling words stand in one of about forty windows, anywhere in the text."""
+    r = np.random.default_rng(3)
+    plain = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    rows = []
+    for i in range(400):
+        words = r.choice(plain, 900).tolist()
+        if i % 2:
+            at = int(r.integers(0, 890))
+            words[at:at + 3] = ["vile", "hateful", "scum"]
+        rows.append((i, " ".join(words), i % 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = T.toxicity(df.drop("toxic"), df.drop("text")).filter("held_out").collect()
+    assert sum(x.predicted == x.doc_id % 2 for x in got) / len(got) > 0.9
+
+
 def test_toxicity_awkward_rows(spark):
     got = T.toxicity(awkward(spark), labels(spark)).collect()
     assert len(got) == len(awkward_rows())
