@@ -59,8 +59,9 @@ def test_randomised_svd_holds_the_leading_space(spark):
     r = np.random.default_rng(2)
     dense = (r.standard_normal((60, 8)) @ r.standard_normal((8, 200))) * (r.random((60, 200)) < 0.9)
     rows = [(np.flatnonzero(x).tolist(), x[np.flatnonzero(x)].tolist()) for x in dense]
-    basis = D.randomised_svd(spark.createDataFrame(rows, "terms array<int>, values array<float>"), 200, rank=20)
+    basis, values = D.randomised_svd(spark.createDataFrame(rows, "terms array<int>, values array<float>"), 200, rank=20)
     s = np.linalg.svd(dense, compute_uv=False)
+    assert np.allclose(values[:8], s[:8], rtol=0.02)
     rest = dense - dense @ basis @ basis.T
     assert np.linalg.norm(rest) <= 1.05 * np.sqrt((s[20:] ** 2).sum())
     assert np.allclose(basis.T @ basis, np.eye(20), atol=1e-4)
@@ -70,10 +71,9 @@ def paraphrase(text, r, share=0.2):
     return " ".join("changed" + str(r.randrange(999)) if r.random() < share else w for w in text.split())
 
 
-@pytest.mark.parametrize("rank", [256, 8])
-def test_leaks_and_paraphrases_are_found_and_clean_documents_left(spark, monkeypatch, rank):
-    monkeypatch.setattr(D, "prepare", lambda docs, items, p=D.prepare: p(docs, items, rank))
-    monkeypatch.setattr(D, "BLOCK_ITEMS", 25 if rank == 8 else D.BLOCK_ITEMS)
+@pytest.mark.parametrize("items_a_block", [D.BLOCK_ITEMS, 25])
+def test_leaks_and_paraphrases_are_found_and_clean_documents_left(spark, monkeypatch, items_a_block):
+    monkeypatch.setattr(D, "BLOCK_ITEMS", items_a_block)
     r = random.Random(4)
     items = [(x.item_id, x.text) for x in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     clean = [x.text for x in spark.read.parquet(f"{SMALL}/documents.parquet").limit(60).collect()]
@@ -154,6 +154,98 @@ def test_paraphrases_without_the_rare_words_are_found(spark, monkeypatch):
     assert len({d for d, _ in want if d >= 1000}) >= 0.5 * len(items) and want <= got
 
 
+@pytest.mark.parametrize("share", [0.2, 0.25, 0.38])
+def test_recall_of_the_latent_space_alone(spark, share):
+    """Items without their rarest words, between words of the corpus: the cosine is the only way to the word checks."""
+    docs = spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "text")
+    texts = [x.text or "" for x in docs.orderBy("doc_id").collect()]
+    bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").select("item_id", "text")
+    space = D.fit(docs, bench)
+    df, _ = D.passage_counts(docs)
+    r = np.random.default_rng(1)
+    pool = np.concatenate([D.words_of(t) for t in texts])
+    hosts = [w for w in (D.words_of(t) for t in texts) if len(w) > 140]
+    block = D.make_block(list(D.blocks(D.make_item(x.item_id, x.text) for x in bench.orderBy("item_id").collect()))[0], space)
+    planted = []
+    for k, it in enumerate(block.items):
+        words = it.words.copy()
+        gone = np.argsort(df[D.hashed(words)], kind="stable")[:int(share * len(words))]
+        words[gone] = r.choice(pool, len(gone))
+        host = hosts[k % len(hosts)]
+        at = int(r.integers(60, len(host) - 60))
+        planted.append(np.concatenate([host[at - 60:at], words, host[at:at + 60]]))
+    found = {(text, k) for text, _, _, k, _ in D.candidates(planted, space, block)}
+    recall = sum((k, k) in found for k in range(len(block.items))) / len(block.items)
+    print("share", share, "recall", recall, "candidates a text", len(found) / len(planted))
+    assert recall >= 0.9
+
+
+def test_synonyms_that_share_no_word_are_found(spark):
+    """Items whose telling words are all replaced by words of the same contexts; the words that stay are everywhere."""
+    r = random.Random(9)
+    common = [f"common{i}" for i in range(20)]
+    topics = [[(f"t{t}left{i}", f"t{t}right{i}") for i in range(12)] for t in range(200)]
+    def passage(topic):  # noqa: E306
+        words = [r.choice(common) for _ in range(32)] + [r.choice(r.choice(topic)) for _ in range(32)]
+        r.shuffle(words)
+        return " ".join(words)
+    docs = [(i, passage(topics[i % 200])) for i in range(2000)]
+    items, leaks = [], []
+    for k in range(20):
+        slots = topics[k]
+        often = [("c", x) for x in r.sample(common, 20)]
+        words = often[:15] + [("t", i) for i in range(12)]
+        r.shuffle(words)
+        words += often[15:]  # the answer
+        items.append((k, " ".join(x if c == "c" else slots[x][0] for c, x in words)))
+        leaks.append((10000 + k, " ".join(x if c == "c" else slots[x][1] for c, x in words)))
+    made = [D.make_item(*x) for x in items]
+    corpus = spark.createDataFrame(docs + leaks, "doc_id long, text string")
+    # the same weights without the latent space: below the threshold
+    df, n = D.passage_counts(corpus)
+    weight = D.term_weights(df, n)
+    def vector(words):  # noqa: E306
+        v = np.bincount(D.hashed(words), minlength=D.VOCAB) * weight
+        return v / np.linalg.norm(v)
+    plain = [float(vector(it.words) @ vector(D.words_of(t))) for it, (_, t) in zip(made, leaks)]
+    below = [k for k in range(20) if plain[k] < D.LEAST_COSINE]
+    assert len(below) >= 15  # hashed terms that meet by chance lift a few
+    got = {(x.doc_id, x.item_id) for x in D.contaminated(
+        corpus, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert sum((10000 + k, k) in got for k in below) >= 0.9 * len(below)
+
+
+def test_candidates_do_not_depend_on_batches_or_pieces(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    space = D.Space(np.concatenate([r.standard_normal((D.VOCAB, 24)), np.zeros((1, 24))]).astype(np.float32))
+    pool = r.integers(0, 2**63, 300).astype(np.uint64)
+    texts = [r.choice(pool, n) for n in (0, 1, 3, 40, 700, 33, 2500)]
+    items = [D.Item(k, r.choice(pool, n), r.choice(pool, 2)) for k, n in enumerate((1, 5, 20, 50, 200))]
+    block = D.make_block(items, space)
+    whole = {x[:4]: x[4] for x in D.candidates(texts, space, block)}
+    alone = {}
+    for k, t in enumerate(texts):
+        alone |= {(k, *x[1:4]): x[4] for x in D.candidates([t], space, block)}
+    slow = {}
+    for k, t in enumerate(texts):
+        for size, (numbers, _) in block.vectors.items():
+            move = size // 4
+            for w in range(max(1, -(-(len(t) - size) // move) + 1) if len(t) else 0):
+                z = space.fold(D.hashed(t[w * move:w * move + size])).astype(np.float64)
+                for j in numbers.tolist():
+                    q = space.fold(D.hashed(items[j].words)).astype(np.float64)
+                    c = float(z @ q / np.linalg.norm(z) / np.linalg.norm(q))
+                    if c >= D.LEAST_COSINE:
+                        slow[(k, size, w, j)] = c
+    near = lambda a: {k for k, c in a.items() if c > D.LEAST_COSINE + 1e-4}
+    assert near(slow) <= set(whole) and near(whole) <= set(slow) and near(alone) <= set(whole)
+    monkeypatch.setattr(D, "CHUNK", 64)
+    monkeypatch.setattr(D, "GATHER", 16)
+    monkeypatch.setattr(D, "HELD", 100)
+    cut = {x[:4]: x[4] for x in D.candidates(texts, space, block)}
+    assert near(whole) <= set(cut) and near(cut) <= set(whole)
+
+
 def test_decontaminate_awkward_rows(spark):
     bench = spark.createDataFrame([(1, PROSE), (1, PROSE), (2, None), (3, "  "), (None, OTHER), (4, "x")],
                                   "item_id long, text string")
