@@ -89,24 +89,68 @@ def chronological_split(df: DataFrame, key: list[str], order: str, train_fractio
     })
 
 
+def packed(df: DataFrame, key: list[str], rn: str, cols: list[str], ahead: int, block_size: int) -> DataFrame:
+    """The series as arrays: a row per (key, block) with ``_first`` (position), ``_own`` (rows of the block itself) and
+    an array per column, the ``ahead`` rows behind the block included.
+
+    A block's rows are one value each in an array, so the packed series is
+    about as large as the rows, whatever frame is later read from it.
+    """
+    blocks = with_blocks(df, rn, block_size, ahead=ahead)
+    rows = blocks.groupBy(*key, "_block").agg(
+        F.array_sort(F.collect_list(F.struct(F.col(rn).alias("_rn"), *cols))).alias("_rows"),  # a block's at most
+        F.count_if("_primary").alias("_own"))
+    one = lambda c: F.transform("_rows", lambda x: x[c]).alias(c)
+    return rows.select(*key, F.col("_rows")[0]["_rn"].alias("_first"), F.col("_own").cast("int").alias("_own"),
+                       *[one(c) for c in cols])
+
+
 def sequence_windows(df: DataFrame, key: list[str], rn: str, features: list[str], target: str,
-                     seq_len: int, block_size: int = 8192,
+                     seq_len: int, block_size: int = 1024,
                      carry: list[str] | None = None) -> DataFrame:
     """For each start position i: rows i..i+seq_len-1 as an array and row i+seq_len's target.
 
     Positions come from ``rn`` (1-based, consecutive within ``key``).  Only
     starts with a full window and a target are returned; a series of m rows
     gives max(m - seq_len, 0) windows.  ``carry`` columns are taken from the
-    start row.
+    start row.  What is shuffled is the packed series; windows are read from a
+    block's arrays when their rows are made.
+    """
+    cols = list(dict.fromkeys([*features, target, *(carry or [])]))
+    blocks = packed(df, key, rn, cols, seq_len, max(block_size, seq_len))
+    last = F.least(F.col("_own"), F.size(target) - seq_len)
+    starts = F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
+
+    def window(i: Column) -> Column:
+        return F.transform(F.sequence(i, i + seq_len - 1), lambda j: F.struct(*[F.get(c, j).alias(c) for c in features]))
+
+    made = F.transform(starts, lambda i: F.struct(
+        (F.col("_first") + i).alias(rn), *[F.get(c, i).alias(c) for c in carry or []],
+        window(i).alias("window"), F.get(target, i + seq_len).alias("target")))
+    return blocks.select(*key, F.inline(made)).filter(F.col("target").isNotNull())
+
+
+def window_moments(df: DataFrame, key: list[str], rn: str, value: str, seq_len: int, carry: list[str] | None = None,
+                   block_size: int = 8192) -> DataFrame:
+    """Per window of ``seq_len`` rows its first, last and next value, its sum, and its sum by position.
+
+    From running sums inside a block: a window's sum is a difference of two of
+    them, so a row stays one row and nothing is added up twice.
     """
-    blocks = with_blocks(df, rn, max(block_size, seq_len), ahead=seq_len)
+    blocks = with_blocks(df.select(*dict.fromkeys([*key, rn, value, *(carry or [])])), rn, max(block_size, seq_len),
+                         ahead=seq_len)
+    at = (F.col(rn) - F.col("_block") * max(block_size, seq_len)).cast("double")
     w = Window.partitionBy(*key, "_block").orderBy(rn)
-    frame = w.rowsBetween(0, seq_len - 1)
-    out = (blocks
-           .withColumn("window", F.collect_list(F.struct(*features)).over(frame))
-           .withColumn("target", F.lead(target, seq_len).over(w))
-           .filter(F.col("_primary") & F.col("target").isNotNull()))
-    return out.select(*key, rn, *(carry or []), "window", "target")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = blocks.withColumn("_at", at).withColumns({
+        "_c": F.sum(value).over(upto), "_p": F.sum(F.col(value) * F.col("_at")).over(upto)})
+    end = lambda c: F.lead(c, seq_len - 1).over(w)
+    rows = rows.withColumns({"last": end(value), "_ce": end("_c"), "_pe": end("_p"), "target": F.lead(value, seq_len).over(w)})
+    total = F.col("_ce") - F.col("_c") + F.col(value)
+    by_place = F.col("_pe") - F.col("_p") + F.col(value) * F.col("_at") - (F.col("_at") - 1) * total
+    return rows.filter(F.col("_primary") & F.col("target").isNotNull()).select(
+        *key, rn, *(carry or []), F.col(value).alias("first"), "last", total.alias("total"), by_place.alias("by_place"),
+        "target")
 
 
 def lagged(df: DataFrame, key: list[str], rn: str, cols: dict[str, tuple[str, int]],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from finlake.operators.joins import keep_members
 from finlake.operators.ordinals import global_positions
 from finlake.operators.scaling import minmax_fit, minmax_transform
-from finlake.operators.series import chronological_split, sequence_windows
+from finlake.operators.series import chronological_split, sequence_windows, window_moments
 from finlake.session import cut_lineage
 
 PRICE_COLS = ["Close", "High", "Low", "Open"]
@@ -89,21 +89,14 @@ def prepared(stock: DataFrame, daily_sentiment: DataFrame, companies=None,
     return (scaled, params) if with_params else scaled
 
 
-def window_summary(win: DataFrame) -> DataFrame:
-    """Length, ends, sum and position-weighted sum of each window's closes, and its target (for checks)."""
-    closes = F.transform("window", lambda x: x["Close"])
-    zero = F.lit(0.0)
-    # a two-argument lambda: the second is the position
-    weighted = F.transform(closes, lambda x, i: x * (i + 1))
+def window_summary(scaled: DataFrame, seq_len: int = 50) -> DataFrame:
+    """Length, ends, sum and position-weighted sum of each window's closes, and its target; no window is copied out."""
+    win = window_moments(scaled, ["Ticker", "split"], "split_rn", "Close", seq_len, carry=["Date"])
     return win.select(
-        "Ticker", "split", F.col("Date").alias("start_date"),
-        F.size("window").alias("window_len"),
-        F.round(F.col("window")[0]["Close"], 9).alias("first_close"),
-        F.round(F.element_at("window", -1)["Close"], 9).alias("last_close"),
-        F.round(F.aggregate(closes, zero, lambda a, x: a + x), 5).alias("close_sum"),
-        F.round(F.aggregate(weighted, zero, lambda a, x: a + x), 4).alias("position_sum"),
-        F.round("target", 9).alias("target"),
-    )
+        "Ticker", "split", F.col("Date").alias("start_date"), F.lit(seq_len).alias("window_len"),
+        F.round("first", 9).alias("first_close"), F.round("last", 9).alias("last_close"),
+        F.round("total", 5).alias("close_sum"), F.round("by_place", 4).alias("position_sum"),
+        F.round("target", 9).alias("target"))
 
 
 def save_training_data(windows_df: DataFrame, params: DataFrame, root: str) -> None:
