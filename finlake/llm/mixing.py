@@ -7,19 +7,18 @@ order (size, then id); the prefix sum of expected copies plus one offset in
 Ordering by size spreads the copies evenly over short and long documents, so
 the words taken come within about one long document of the target.
 
-The prefix sum never gathers a source in one task: documents are ranked inside
-(source, size, block of ids), blocks inside (source, size), sizes inside
-source, and the three ranks add up.  Only counts are ever summed per source.
+The prefix sum never gathers a source in one task: the rows are dealt to ranges
+of (source, size, id) and each range counts on its own (``ordering.numbered``),
+so a source, a size or an id of any share of the rows spreads over many tasks.
+Only counts are ever summed per source.
 
-The last step emits the documents: a document's whole row, once per copy.  Rows
-meet their copies by id, text hash and source; rows that agree in all three
-take their copies in order of a hash of the whole row.
+The last step emits the documents: a document's whole row, once per copy.
 
 Defined cases: null or empty text has size 0, takes 0 words and keeps its row;
 a null source is a source of its own, last in order; rows that repeat an id are
-sampled independently (equal rows share a rank block and are told apart by its
-order); an empty table gives an empty result; columns of the input that clash
-with the result's are not carried.
+sampled independently (rows of equal size and id are ranked by the hash of their
+text, then of the whole row); an empty table gives an empty result; columns of
+the input that clash with the result's are not carried.
 """
 
 from __future__ import annotations
@@ -28,13 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finlake.llm.store import ordered_id, stored
+from finlake.llm.hot import join_by_key
+from finlake.llm.ordering import numbered
 
 #: a word: no blank, tab, line feed, vertical tab, form feed or carriage return
 WORD = r"[^\x20\x09-\x0D]+"
-#: ids per rank block; unique ids bound a block's rows by this
-BLOCK = 4096
-
 
 def n_words(text: Column) -> Column:
     """Words of a text (0 for null)."""
@@ -76,49 +73,6 @@ def offset(source: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: float = 3.0, seed: int = 17) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, copies, taken``."""
-    slim = stored(docs.select(
-        "doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"),
-        F.xxhash64("text").alias("_t"),
-        ordered_id(F.col("doc_id")).alias("_d")).withColumn("_block", F.expr(f"_d div {BLOCK}")), "sizes")
-    blocks = slim.groupBy("source", "size", "_block").agg(F.count(F.lit(1)).alias("_n"))
-    in_size = Window.partitionBy("source", "size").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = slim.groupBy("source", "size").agg(F.count(F.lit(1)).alias("_m"))
-    in_source = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    blocks = blocks.withColumn("_b0", F.coalesce(F.sum("_n").over(in_size), zero))
-    sizes = sizes.withColumn("_s0", F.coalesce(F.sum("_m").over(in_source), zero))
-    goal = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    # sources are few next to documents: sizes and blocks join on their own keys first
-    sizes = sizes.alias("z").join(goal.alias("g"), F.col("z.source").eqNullSafe(F.col("g.source"))).select(
-        "z.source", "z.size", "z._s0", "g.source_size", "g.target")
-    lead = blocks.alias("b").join(
-        sizes.alias("z"), F.col("b.source").eqNullSafe(F.col("z.source")) & (F.col("b.size") == F.col("z.size"))
-    ).select("b.source", "b.size", "b._block", (F.col("b._b0") + F.col("z._s0")).alias("_lead"),
-             "z.source_size", "z.target")
-    within = Window.partitionBy("source", "size", "_block").orderBy(F.col("doc_id").isNull(), "doc_id", "_t")
-    ranked = slim.withColumn("_r", F.row_number().over(within))
-    rows = ranked.alias("d").join(
-        lead.alias("l"), F.col("d.source").eqNullSafe(F.col("l.source")) & (F.col("d.size") == F.col("l.size"))
-        & (F.col("d._block") == F.col("l._block"))
-    ).select("d.doc_id", "d.source", "d.size", "d._t", "l.source_size", "l.target",
-             (F.col("l._lead") + F.col("d._r")).alias("_rank"))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    u = offset(F.col("source"), seed)
-    copies = F.floor(F.col("_rank") * rate + u) - F.floor((F.col("_rank") - 1) * rate + u)
-    out = rows.withColumn("copies", F.least(copies, F.ceil(F.lit(most))).cast("long"))
-    return out.withColumn("taken", F.col("copies") * F.col("size"))
-
-
-def _keys() -> list[Column]:
-    """What a row and its copies meet by; nulls are told apart from every value."""
-    doc, source = F.col("doc_id"), F.col("source").cast("string")
-    return [ordered_id(doc).alias("_d"),
-            F.concat(F.when(doc.isNull(), "n").otherwise("d"),
-                     F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))).alias("_s")]
-
-
 def _hashable(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
         return _hashable(kind.elementType)
@@ -127,24 +81,44 @@ def _hashable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
+def _ranked(docs: DataFrame, columns: list[str], weights: tuple[int, ...], most: float, seed: int) -> DataFrame:
+    """``row`` (the given columns), ``source, rank, size, source_size, target, copies``; one row per document."""
+    whole = [f"`{f.name}`" for f in docs.schema if _hashable(f.dataType)]
+    source, doc = F.col("source").cast("string"), F.col("doc_id")
+    rows = docs.select(
+        F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("_g"), source.alias("source"),
+        n_words(F.col("text")).alias("size"), doc.isNull().alias("_none"), doc.cast("long").alias("_id"),
+        F.xxhash64("text").alias("_t"), F.xxhash64(*whole).alias("_h"),
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    rows = numbered(rows, ["size", "_none", "_id", "_t", "_h"], "ranked")
+    per_source = rows.groupBy("_g", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_n"))
+    goal = targets(per_source.select("source", "source_size"), weights, most)
+    goal = per_source.alias("p").join(goal.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source"))).select(
+        "p._g", "p._n", "p.source_size", "g.target")
+    made = join_by_key(rows.withColumn("rank", F.col("_pos") + 1), goal, "_g", "_n")
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    u = offset(F.col("source"), seed)
+    copies = F.floor(F.col("rank") * rate + u) - F.floor((F.col("rank") - 1) * rate + u)
+    return made.select("row", "source", "rank", "size", "source_size", "target",
+                       F.least(copies, F.ceil(F.lit(most))).cast("long").alias("copies"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: float = 3.0, seed: int = 17) -> DataFrame:
+    """One row per document: ``doc_id, source, size, source_size, target, copies, taken``."""
+    return _ranked(docs, ["doc_id"], weights, most, seed).select(
+        "row.doc_id", "source", "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def emit(docs: DataFrame, columns: list[str] | None = None, every: bool = False, weights: tuple[int, ...] = (5, 2, 1),
          most: float = 3.0, seed: int = 17) -> DataFrame:
     """The mixed corpus: ``row`` (``columns`` of the input, or all), ``source, rank, size, source_size, target, copies,
     copy``; one row per copy, ``copy`` from 1 to ``copies``.  With ``every``, documents without a copy stay, once, with
     a null ``copy``.
     """
-    parts = ["_rank", "source", "size", "source_size", "target", "copies"]
-    many = mix(docs, weights, most, seed).select(*_keys(), "_t", F.struct(*parts).alias("_m")).groupBy(
-        "_d", "_t", "_s").agg(F.sort_array(F.collect_list("_m")).alias("_many"))
-    whole = [f"`{f.name}`" for f in docs.schema if _hashable(f.dataType)]
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row"), *_keys(),
-                      F.xxhash64("text").alias("_t"), F.xxhash64(*whole).alias("_h"))
-    within = Window.partitionBy("_d", "_t", "_s").orderBy("_h")
-    placed = own.join(many, ["_d", "_t", "_s"]).withColumn("_k", F.row_number().over(within))
-    one = placed.select("row", F.element_at("_many", F.col("_k")).alias("m"))
-    numbers = F.when(F.col("m.copies") > 0, F.sequence(F.lit(1).cast("long"), F.col("m.copies")))
-    return one.select("row", "m.source", F.col("m._rank").alias("rank"), "m.size", "m.source_size", "m.target",
-                      "m.copies", (F.explode_outer if every else F.explode)(numbers).alias("copy"))
+    one = _ranked(docs, columns or docs.columns, weights, most, seed)
+    numbers = F.when(F.col("copies") > 0, F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return one.withColumn("copy", (F.explode_outer if every else F.explode)(numbers))
 
 
 def digest(docs: DataFrame) -> DataFrame:
