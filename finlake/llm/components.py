@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finlake.llm.hot import join_by_key
 from finlake.llm.store import stored
 
 
@@ -24,9 +25,11 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     while True:
         near = both.join(label.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(
             F.min("label").alias("m"))
-        low = label.join(near, "node").select("node", "label", F.least("label", "m").alias("low"))
-        jump = label.select(F.col("node").alias("low"), F.col("label").alias("up"))
-        nxt = stored(low.join(jump, "low", "left").select(
+        low = stored(label.join(near, "node").select("node", "label", F.least("label", "m").alias("low")), "low")
+        # one label may be that of most nodes: its rows stay where they are
+        jump = low.groupBy("low").agg(F.count(F.lit(1)).alias("n")).join(
+            label.select(F.col("node").alias("low"), F.col("label").alias("up")), "low", "left")
+        nxt = stored(join_by_key(low, jump, "low", "n").select(
             "node", F.least("low", F.coalesce("up", "low")).alias("label"),
             (F.least("low", F.coalesce("up", "low")) != F.col("label")).alias("moved")), "labels")
         changed = nxt.filter("moved").limit(1).count()

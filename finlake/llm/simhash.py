@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.components import components
+from finlake.llm.hot import join_by_key
 from finlake.llm.store import per_text, row_key, stored
 
 SEED = 42
@@ -147,9 +148,11 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFra
     """``doc_id, fingerprint`` (16 hex digits), ``component_id`` (smallest id reached) per document."""
     fps = stored(_with_fingerprint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), width),
                  "fingerprints")
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first")).join(
+    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).join(
         fingerprint_components(fps, radius), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    least = classes.groupBy("label").agg(F.min("first").alias("component_id"))
-    ids = classes.join(least, "label").select("fp", "component_id")
-    return fps.join(ids, "fp").select(
+    classes = stored(classes, "classes")
+    least = classes.groupBy("label").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("k"))
+    # a component may hold most fingerprints, and a fingerprint most documents
+    ids = stored(join_by_key(classes, least, "label", "k").select("fp", "n", "component_id"), "ids")
+    return join_by_key(fps, ids, "fp", "n").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
