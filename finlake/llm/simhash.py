@@ -17,7 +17,11 @@ largest fingerprint (aggregated, not gathered); the links give components.  A
 bucket of two or three is then done.  In a larger bucket only members outside
 the bucket's main component are compared with the members of other components,
 because a link inside a component changes nothing.  That finds every link that
-could still join two components, so the components are exact.
+could still join two components, so the components are exact.  Where a bucket
+has no main component (texts that share its mask's bits and little else), its
+members are put into further buckets by the bits that the mask leaves out: of
+eight groups of those bits four differing bits leave four equal, so every pair
+within the radius meets for one of the 70 choices of four groups.
 
 Defined cases: null and empty texts (no words) have fingerprint zero and link
 like any other; fewer words than a shingle make one shingle of all words; rows
@@ -29,6 +33,7 @@ not carried.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import xxhash
@@ -40,6 +45,8 @@ from finlake.llm.hot import join_by_key
 from finlake.llm.store import per_text, row_key, stored
 
 SEED = 42
+#: comparisons of a bucket above which its members meet by further bits instead
+PAIRS = 20_000
 #: shingles hashed at a time, so a very long text needs little memory
 CHUNK = 1 << 15
 
@@ -115,6 +122,29 @@ def _near(a: str, b: str, radius: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
 
 
+def part_masks(radius: int) -> list[list[int]]:
+    """Per table, signed masks over the bits that its own mask leaves out.
+
+    Those bits are dealt to ``2 * radius`` groups; up to ``radius`` differing
+    bits leave as many groups untouched, so some choice of ``radius`` groups is
+    equal in both.
+    """
+    out = []
+    for mask in masks(radius):
+        rest = [i for i in range(64) if not mask >> i & 1]
+        groups = [sum(1 << i for i in rest[k::2 * radius]) for k in range(2 * radius)]
+        chosen = [sum(c) for c in combinations(groups, radius)]
+        out.append([m - (1 << 64) if m >> 63 else m for m in chosen])
+    return out
+
+
+def _links(rows: DataFrame, bucket: list[str], radius: int) -> DataFrame:
+    """Components that a member outside its bucket's main component links."""
+    few = rows.filter("c != main").select(*bucket, F.col("fp").alias("fp2"), F.col("c").alias("c2"))
+    return few.join(rows.select(*bucket, "fp", "c"), bucket).filter("c != c2").filter(
+        _near("fp", "fp2", radius)).select("c", "c2")
+
+
 def fingerprint_components(fps: DataFrame, radius: int = 4) -> DataFrame:
     """``fp, label`` for the distinct fingerprints that link to another one."""
     tables = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(m).alias("m")) for t, m in enumerate(masks(radius))])
@@ -134,9 +164,13 @@ def fingerprint_components(fps: DataFrame, radius: int = 4) -> DataFrame:
     main = sizes.groupBy("t", "key").agg(F.max(F.struct("k", "c")).alias("top"), F.count(F.lit(1)).alias("parts"))
     large = stored(large.join(main.filter("parts > 1"), ["t", "key"]).select(
         "t", "key", "fp", "c", F.col("top.c").alias("main")), "large")
-    few = large.filter("c != main").select("t", "key", F.col("fp").alias("fp2"), F.col("c").alias("c2"))
-    more = stored(few.join(large.drop("main"), ["t", "key"]).filter("c != c2").filter(
-        _near("fp", "fp2", radius)).select("c", "c2").distinct(), "more")
+    work = large.groupBy("t", "key").agg((F.count(F.lit(1)) * F.count_if(F.col("c") != F.col("main"))).alias("pairs"))
+    large = stored(large.join(work, ["t", "key"]), "large-work")
+    parts = F.array(*[F.array(*[F.lit(m) for m in every]) for every in part_masks(radius)])
+    wide = large.filter(F.col("pairs") > PAIRS).select("*", F.posexplode(F.get(parts, F.col("t").cast("int"))).alias(
+        "part", "m")).withColumn("sub", F.col("fp").bitwiseAND(F.col("m")))
+    more = stored(_links(large.filter(F.col("pairs") <= PAIRS), ["t", "key"], radius).union(
+        _links(wide, ["t", "key", "part", "sub"], radius)).distinct(), "more")
     second = components(more, "c", "c2")
     return label.alias("a").join(second.alias("b"), F.col("a.label") == F.col("b.node"), "left").select(
         F.col("a.node").alias("fp"), F.coalesce("b.label", "a.label").alias("label")).union(

@@ -111,3 +111,40 @@ def test_representatives_keep_one_row_per_group(spark):
     rows = [(3, PROSE, "x"), (2, PROSE, "y"), (2, PROSE, "z"), (None, PROSE, "w"), (9, "quite other words here now", "v")]
     kept = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string, _t string")).collect()
     assert sorted(r.doc_id for r in kept) == [2, 9] and set(kept[0].asDict()) == {"doc_id", "text", "_t"}
+
+
+def test_further_masks_miss_no_pair():
+    r = random.Random(1)
+    for t, (mask, parts) in enumerate(zip(simhash.masks(4), simhash.part_masks(4))):
+        rest = [i for i in range(64) if not mask >> i & 1]
+        assert len(parts) == 70 and all(p & mask == 0 for p in parts)
+        for _ in range(20):
+            flipped = sum(1 << i for i in r.sample(rest, r.randint(0, 4)))
+            assert any(p & flipped == 0 for p in parts)
+
+
+@pytest.mark.parametrize("pairs", [0, simhash.PAIRS])
+def test_buckets_without_a_main_component(spark, monkeypatch, pairs):
+    """Fingerprints that share a mask's bits and differ in many others, a few of them near each other."""
+    monkeypatch.setattr(simhash, "PAIRS", pairs)
+    r = random.Random(8)
+    mask = simhash.masks(4)[3] & (1 << 64) - 1
+    shared = r.getrandbits(64) & mask
+    fps = [shared | r.getrandbits(64) & ~mask & (1 << 64) - 1 for _ in range(400)]
+    for k in range(40):
+        near = fps[k]
+        for i in r.sample([i for i in range(64) if not mask >> i & 1], r.randint(1, 4)):
+            near ^= 1 << i
+        fps.append(near)
+    fps = list(dict.fromkeys(fps))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    label = {x.fp: x.label for x in simhash.fingerprint_components(
+        spark.createDataFrame([(f,) for f in signed], "fp long")).collect()}
+    groups = {}
+    for f in signed:
+        groups.setdefault(label.get(f, f), set()).add(f)
+    want = {}
+    for f, c in zip(signed, slow_components(list(enumerate(fps)))):
+        want.setdefault(c, set()).add(f)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+    assert max(map(len, groups.values())) >= 2
