@@ -44,14 +44,19 @@ def start_filing_stream(
     spark: SparkSession,
     landing: str,
     out_root: str,
-    ledger_path: str,
+    ledger_path: str | None = None,
     companies: Iterable[int] | DataFrame | None = None,
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
     max_files: int | None = None,
+    sink: str = "parquet",
 ) -> StreamingQuery:
-    """Start the incremental ingest; returns the running query."""
+    """Start the incremental ingest; returns the running query.
+
+    With the ``warehouse`` sink a folder's filings, facts and ledger entry
+    become visible together (no ``ledger_path`` then).
+    """
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/filings"
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -61,7 +66,7 @@ def start_filing_stream(
         folders = [f for f in folders if {"sub.txt", "num.txt"} <= {
             name for name, *_ in file_listing(batch.sparkSession, f"{landing.rstrip('/')}/{f}")}]
         if folders:
-            ingest_filings(batch.sparkSession, landing, out_root, folders, companies, ledger_path)
+            ingest_filings(batch.sparkSession, landing, out_root, folders, companies, ledger_path, sink)
 
     w = arrived_folders(spark, landing, max_files).writeStream.foreachBatch(load_batch) \
         .option("checkpointLocation", ckpt)

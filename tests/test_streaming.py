@@ -51,3 +51,19 @@ def test_folder_waits_for_its_second_file(spark, staged, scratch):  # noqa: F811
     sub, num = ingest.read_loaded(spark, out)
     want = ingest.keep_period_facts(fx.fs_num_raw, fx.fs_sub.filter(f"folder = '{folder}' and cik in (1, 2, 3)"))
     assert num.count() == want.count()
+
+
+def test_stream_into_the_warehouse(spark, staged, scratch, monkeypatch):  # noqa: F811
+    from finlake.sinks import warehouse
+
+    real = warehouse.layouts
+    monkeypatch.setattr(warehouse, "layouts", lambda sub, num, buckets: real(sub, num, 4))
+    root, _ = staged
+    landing, out, ckpt = (os.path.join(scratch, x) for x in ("landing", "tables", "ckpt"))
+    os.makedirs(landing)
+    for k, folder in enumerate(FOLDERS[:2]):
+        shutil.copytree(os.path.join(root, folder), os.path.join(landing, folder))
+        start_filing_stream(spark, landing, out, companies=[1, 2], checkpoint=ckpt, sink="warehouse").awaitTermination(300)
+        assert warehouse.latest(spark, out).recorded == FOLDERS[:k + 1]
+    sub = warehouse.read(spark, out, "fs_sub")
+    assert sub.select("adsh").distinct().count() == sub.count() > 0
