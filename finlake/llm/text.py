@@ -27,7 +27,9 @@ def code_points(text: str | None) -> np.ndarray:
 
 def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the maximal true runs."""
-    edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
+    x = np.zeros(len(inside) + 2, bool)
+    x[1:-1] = inside
+    edge = np.flatnonzero(x[1:] != x[:-1])
     return edge[0::2], edge[1::2]
 
 
@@ -36,7 +38,7 @@ def word_runs(codes: np.ndarray, letters_only: bool = False) -> tuple[np.ndarray
     return runs((_alpha() if letters_only else _alnum())[codes])
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=16)
 def _powers(n: int) -> np.ndarray:
     out = np.full(n, _BASE, np.uint64)
     out[0] = 1
@@ -49,11 +51,33 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+@lru_cache(maxsize=16)
+def _inverse_powers(n: int) -> np.ndarray:
+    out = np.full(n, pow(int(_BASE), -1, 1 << 64), np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+#: texts up to this length are hashed by one running sum
+RUNNING = 1 << 18
+
+
 def word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word; equal words hash alike wherever they stand."""
+    """64-bit hash of each word; equal words hash alike wherever they stand.
+
+    A word's hash is the sum of its code points times the powers of a base,
+    counted from the word's start: a difference of running sums over the text,
+    divided by the power that the word starts at (all modulo 2^64).
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
     size = ends - starts
+    if len(codes) <= RUNNING:
+        n = max(1024, 1 << (len(codes) - 1).bit_length())
+        total = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * _powers(n)[:len(codes)], out=total[1:])
+        h = (total[ends] - total[starts]) * _inverse_powers(n)[starts]
+        return mixed(h + size.astype(np.uint64) * _MIX)
     at = np.arange(size.sum()) + np.repeat(starts - np.cumsum(size) + size, size)
     place = at - np.repeat(starts, size)
     most = int(size.max())

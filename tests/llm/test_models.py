@@ -174,7 +174,7 @@ def test_recall_of_the_latent_space_alone(spark, share):
         host = hosts[k % len(hosts)]
         at = int(r.integers(60, len(host) - 60))
         planted.append(np.concatenate([host[at - 60:at], words, host[at:at + 60]]))
-    found = {(text, k) for text, _, _, k, _ in D.candidates(planted, space, block)}
+    found = {x for c in D.candidates(planted, space, block) for x in zip(c.text.tolist(), c.item.tolist())}
     recall = sum((k, k) in found for k in range(len(block.items))) / len(block.items)
     print("share", share, "recall", recall, "candidates a text", len(found) / len(planted))
     assert recall >= 0.9
@@ -184,19 +184,19 @@ def test_synonyms_that_share_no_word_are_found(spark):
     """Items whose telling words are all replaced by words of the same contexts; the words that stay are everywhere."""
     r = random.Random(9)
     common = [f"common{i}" for i in range(20)]
-    topics = [[(f"t{t}left{i}", f"t{t}right{i}") for i in range(12)] for t in range(200)]
+    topics = [[(f"t{t}left{i}", f"t{t}right{i}") for i in range(12)] for t in range(40)]
     def passage(topic):  # noqa: E306
-        words = [r.choice(common) for _ in range(32)] + [r.choice(r.choice(topic)) for _ in range(32)]
+        words = common + [r.choice(r.choice(topic)) for _ in range(44)]
         r.shuffle(words)
         return " ".join(words)
-    docs = [(i, passage(topics[i % 200])) for i in range(2000)]
+    docs = [(i, passage(topics[i % 40])) for i in range(2000)]
     items, leaks = [], []
     for k in range(20):
         slots = topics[k]
-        often = [("c", x) for x in r.sample(common, 20)]
-        words = often[:15] + [("t", i) for i in range(12)]
+        often = [("c", x) for x in r.sample(common, 18)]
+        words = often[:13] + [("t", i) for i in range(12)]
         r.shuffle(words)
-        words += often[15:]  # the answer
+        words += often[13:]  # the answer
         items.append((k, " ".join(x if c == "c" else slots[x][0] for c, x in words)))
         leaks.append((10000 + k, " ".join(x if c == "c" else slots[x][1] for c, x in words)))
     made = [D.make_item(*x) for x in items]
@@ -211,7 +211,7 @@ def test_synonyms_that_share_no_word_are_found(spark):
     below = [k for k in range(20) if plain[k] < D.LEAST_COSINE]
     assert len(below) >= 15  # hashed terms that meet by chance lift a few
     got = {(x.doc_id, x.item_id) for x in D.contaminated(
-        corpus, spark.createDataFrame(items, "item_id long, text string")).collect()}
+        corpus, spark.createDataFrame(items, "item_id long, text string"), rank=40).collect()}
     assert sum((10000 + k, k) in got for k in below) >= 0.9 * len(below)
 
 
@@ -222,10 +222,14 @@ def test_candidates_do_not_depend_on_batches_or_pieces(spark, monkeypatch):
     texts = [r.choice(pool, n) for n in (0, 1, 3, 40, 700, 33, 2500)]
     items = [D.Item(k, r.choice(pool, n), r.choice(pool, 2)) for k, n in enumerate((1, 5, 20, 50, 200))]
     block = D.make_block(items, space)
-    whole = {x[:4]: x[4] for x in D.candidates(texts, space, block)}
-    alone = {}
+
+    def cosines(texts):
+        return {(t, c.size, w, k): x for c in D.candidates(texts, space, block)
+                for t, w, k, x in zip(*[v.tolist() for v in c[1:]])}
+
+    whole, alone = cosines(texts), {}
     for k, t in enumerate(texts):
-        alone |= {(k, *x[1:4]): x[4] for x in D.candidates([t], space, block)}
+        alone |= {(k, *key[1:]): x for key, x in cosines([t]).items()}
     slow = {}
     for k, t in enumerate(texts):
         for size, (numbers, _) in block.vectors.items():
@@ -242,7 +246,7 @@ def test_candidates_do_not_depend_on_batches_or_pieces(spark, monkeypatch):
     monkeypatch.setattr(D, "CHUNK", 64)
     monkeypatch.setattr(D, "GATHER", 16)
     monkeypatch.setattr(D, "HELD", 100)
-    cut = {x[:4]: x[4] for x in D.candidates(texts, space, block)}
+    cut = cosines(texts)
     assert near(whole) <= set(cut) and near(cut) <= set(whole)
 
 
