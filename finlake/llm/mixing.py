@@ -12,7 +12,8 @@ of (source, size, id) and each range counts on its own (``ordering.numbered``),
 so a source, a size or an id of any share of the rows spreads over many tasks.
 Only counts are ever summed per source.
 
-The last step emits the documents: a document's whole row, once per copy.
+The last step emits the documents: a document's whole row, once per copy.  Rows
+are written with a number of their own and meet their copies by it.
 
 Defined cases: null or empty text has size 0, takes 0 words and keeps its row;
 a null source is a source of its own, last in order; rows that repeat an id are
@@ -29,6 +30,7 @@ from pyspark.sql import types as T
 
 from finlake.llm.hot import join_by_key
 from finlake.llm.ordering import numbered
+from finlake.llm.store import stored
 
 #: a word: no blank, tab, line feed, vertical tab, form feed or carriage return
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,26 +83,32 @@ def _hashable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
-def _ranked(docs: DataFrame, columns: list[str], weights: tuple[int, ...], most: float, seed: int) -> DataFrame:
+def _ranked(docs: DataFrame, columns: list[str], weights: tuple[int, ...], most: float, seed: int,
+            every: bool = True) -> DataFrame:
     """``row`` (the given columns), ``source, rank, size, source_size, target, copies``; one row per document."""
     whole = [f"`{f.name}`" for f in docs.schema if _hashable(f.dataType)]
     source, doc = F.col("source").cast("string"), F.col("doc_id")
-    rows = docs.select(
+    rows = stored(docs.select(
         F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("_g"), source.alias("source"),
         n_words(F.col("text")).alias("size"), doc.isNull().alias("_none"), doc.cast("long").alias("_id"),
         F.xxhash64("text").alias("_t"), F.xxhash64(*whole).alias("_h"),
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
-    rows = numbered(rows, ["size", "_none", "_id", "_t", "_h"], "ranked")
-    per_source = rows.groupBy("_g", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_n"))
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")).withColumn(
+            "_row", F.monotonically_increasing_id()), "rows")
+    # the longest documents of a source follow each other, so whole rows are not dealt to these ranges
+    slim = numbered(rows.drop("row"), ["size", "_none", "_id", "_t", "_h"], "ranked")
+    per_source = slim.groupBy("_g", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_n"))
     goal = targets(per_source.select("source", "source_size"), weights, most)
     goal = per_source.alias("p").join(goal.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source"))).select(
         "p._g", "p._n", "p.source_size", "g.target")
-    made = join_by_key(rows.withColumn("rank", F.col("_pos") + 1), goal, "_g", "_n")
+    made = join_by_key(slim.withColumn("rank", F.col("_pos") + 1), goal, "_g", "_n")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     u = offset(F.col("source"), seed)
     copies = F.floor(F.col("rank") * rate + u) - F.floor((F.col("rank") - 1) * rate + u)
-    return made.select("row", "source", "rank", "size", "source_size", "target",
+    made = made.select("_row", "source", "rank", "size", "source_size", "target",
                        F.least(copies, F.ceil(F.lit(most))).cast("long").alias("copies"))
+    if not every:
+        made = made.filter("copies > 0")
+    return made.join(rows.select("_row", "row"), "_row").drop("_row")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: float = 3.0, seed: int = 17) -> DataFrame:
@@ -116,7 +124,7 @@ def emit(docs: DataFrame, columns: list[str] | None = None, every: bool = False,
     copy``; one row per copy, ``copy`` from 1 to ``copies``.  With ``every``, documents without a copy stay, once, with
     a null ``copy``.
     """
-    one = _ranked(docs, columns or docs.columns, weights, most, seed)
+    one = _ranked(docs, columns or docs.columns, weights, most, seed, every)
     numbers = F.when(F.col("copies") > 0, F.sequence(F.lit(1).cast("long"), F.col("copies")))
     return one.withColumn("copy", (F.explode_outer if every else F.explode)(numbers))
 
