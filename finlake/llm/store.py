@@ -35,6 +35,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/finlake-llm/{uuid.uuid4().hex}/{name}"
+    _written(spark).append(path)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
@@ -47,6 +48,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _written(spark: SparkSession) -> list[str]:
+    """Folders that this context's operators have written, in order."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_finlake_written"):
+        sc._finlake_written = []
+    return sc._finlake_written
+
+
+def mark(spark: SparkSession) -> int:
+    """A place in the order of what is written, for :func:`release`."""
+    return len(_written(spark))
+
+
+def release(spark: SparkSession, since: int, keep: DataFrame) -> None:
+    """Remove the intermediates written since the mark, but for the stored table that ``keep`` reads.
+
+    For a job that has stored its result and holds no other table made since.
+    """
+    mine = _written(spark)
+    files = keep.inputFiles()
+    jvm, conf = spark.sparkContext._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for k in range(since, len(mine)):
+        folder = mine[k] and mine[k].rsplit("/", 1)[0]
+        if folder and files and not any(folder.rsplit("/", 1)[1] in f for f in files):
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+            mine[k] = ""
+
+
 def is_held_out(doc_id: Column, folds: int = 5) -> Column:
     """True where crc32 of the id's text leaves remainder 0; false for a null id."""
     rest = F.crc32(doc_id.cast("string").cast("binary")) % folds

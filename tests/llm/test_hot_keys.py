@@ -60,3 +60,20 @@ def test_mixing_with_ten_thousand_rows_without_id(spark):
         assert ranks.count() == len(own)
     whole = mixing.emit(docs)
     assert whole.count() == sum(r.copies for r in got)
+
+
+def test_a_run_leaves_nothing_but_its_result(spark):
+    import os
+
+    import corpus_pipeline
+    from finlake.llm.store import _written, mark
+
+    from .data import SMALL
+
+    since = mark(spark)
+    docs = corpus_pipeline.run(spark, SMALL)
+    left = [p for p in _written(spark)[since:] if p]
+    assert len(left) == 1 and left[0].endswith("stage4-mixing-sources-to-target-weights")
+    assert len([p for p in _written(spark) if p]) >= 1 and docs.count() > 0
+    folder = left[0].replace("file:", "").rsplit("/", 2)[0]
+    assert os.path.isdir(folder)
