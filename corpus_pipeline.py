@@ -4,7 +4,8 @@
 and returns what it keeps, with the columns of documents; the last one adds the
 words of the text, its copies and the number of the copy.
 ``run`` writes each stage's rows as Parquet in the cluster's shared folder and
-reads them again for the next one.
+reads them again for the next one; what a stage wrote on its way, and its input,
+are removed then.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.llm import decontaminate, langid, line_dedup, mixing, simhash
-from finlake.llm.store import is_held_out, stored, table
+from finlake.llm.store import is_held_out, mark, release, stored, table
 
 #: a document of several languages stays if one of them has at least this share of its words; a clean short
 #: document with a licence line or a quotation in another language is well above it
@@ -61,7 +62,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, since = table(spark, sf_dir, "documents"), mark(spark)
     for k, (name, stage) in enumerate(STAGES):
         docs = stored(stage(spark, docs, sf_dir), f"stage{k}-{name.replace(' ', '-')}")
+        release(spark, since, docs)
     return docs
