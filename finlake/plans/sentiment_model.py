@@ -39,13 +39,18 @@ def _fixed(x: Column) -> Column:
 
 
 def fit(labelled: DataFrame, text: str = "title", label: str = "sentiment", buckets: int = BUCKETS) -> DataFrame:
-    """``label, prior, bucket, weight``: a row per label and seen bucket (bucket -1: the label's prior alone)."""
-    rows = cut_lineage(labelled.filter(F.col(label).isNotNull()).select(
-        F.col(label).alias("label"), word_buckets(F.col(text), buckets).alias("words")))
+    """``label, prior, bucket, weight``: a row per label and bucket."""
+    return _fit(cut_lineage(labelled.select(F.col(label).alias("label"), word_buckets(F.col(text), buckets).alias(
+        "_words"))), buckets)
+
+
+def _fit(rows: DataFrame, buckets: int) -> DataFrame:
+    """The model of stored rows of ``label, _words``."""
+    rows = rows.filter(F.col("label").isNotNull())
     labels = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    tf = rows.select("label", F.explode("words").alias("bucket")).groupBy("label", "bucket").agg(
+    tf = rows.select("label", F.explode("_words").alias("bucket")).groupBy("label", "bucket").agg(
         F.count(F.lit(1)).alias("tf"))
-    df = rows.select(F.explode(F.array_distinct("words")).alias("bucket")).groupBy("bucket").agg(
+    df = rows.select(F.explode(F.array_distinct("_words")).alias("bucket")).groupBy("bucket").agg(
         F.count(F.lit(1)).alias("df"))
     n = labels.agg(F.sum("n")).scalar()
     idf = df.select("bucket", _fixed(F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
@@ -64,23 +69,29 @@ def fit(labelled: DataFrame, text: str = "title", label: str = "sentiment", buck
 def score(df: DataFrame, model: DataFrame, text: str = "title", out: str = "sentiment", margin: str = "margin",
           buckets: int = BUCKETS) -> DataFrame:
     """``df`` with the most likely label and by how much it leads the next one (in natural logarithms)."""
+    rows = cut_lineage(df.withColumns({"_row": F.monotonically_increasing_id(),
+                                       "_words": word_buckets(F.col(text), buckets)}))
+    return _score(rows, model, df.columns, out, margin)
+
+
+def _score(rows: DataFrame, model: DataFrame, columns: list[str], out: str, margin: str) -> DataFrame:
+    """Scores of stored rows with ``_row`` and ``_words``."""
     # one row per label: the classes that the model knows
     labels = sorted((r.label, r.prior) for r in model.filter("bucket = 0").select("label", "prior").collect())
     if not labels:
-        return df.withColumns({out: F.lit(None).cast("string"), margin: F.lit(None).cast("double")})
+        return rows.select(*columns, F.lit(None).cast("string").alias(out), F.lit(None).cast("double").alias(margin))
     each = [f"_s{i}" for i in range(len(labels))]
-    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
     table = model.groupBy("bucket").agg(*[
         F.sum(F.when(F.col("label") == name, F.col("weight"))).alias(c) for c, (name, _) in zip(each, labels)])
     # bounded by the number of buckets; a headline's words meet in the task that has them
-    words = rows.select("_row", F.explode(word_buckets(F.col(text), buckets)).alias("bucket"))
+    words = rows.select("_row", F.explode("_words").alias("bucket"))
     sums = words.join(F.broadcast(table), "bucket").groupBy("_row").agg(*[F.sum(c).alias(c) for c in each])
     total = [F.struct((F.coalesce(c, F.lit(0)) + prior * UNIT).alias("x"), F.lit(-i).alias("i"))
              for i, (c, (_, prior)) in enumerate(zip(each, labels))]
     ranked = rows.join(sums, "_row", "left").withColumn("_best", F.sort_array(F.array(*total), asc=False))
     names = F.array(*[F.lit(name) for name, _ in labels])
     lead = (F.col("_best")[0]["x"] - F.try_element_at("_best", F.lit(2))["x"]) / float(UNIT * UNIT)
-    return ranked.select(*df.columns, names[-F.col("_best")[0]["i"]].alias(out), lead.alias(margin))
+    return ranked.select(*columns, names[-F.col("_best")[0]["i"]].alias(out), lead.alias(margin))
 
 
 def held_out(key: Column) -> Column:
@@ -91,9 +102,11 @@ def held_out(key: Column) -> Column:
 def scored_headlines(news: DataFrame, key: str = "doc_id", text: str = "title", label: str = "sentiment",
                      buckets: int = BUCKETS) -> DataFrame:
     """Every headline with the label that a model of the rows outside the held-out fold gives it."""
-    model = fit(news.filter(~F.coalesce(held_out(F.col(key)), F.lit(False))), text, label, buckets)
-    rows = news.select(key, "date", "symbol", F.col(label).alias("label"), held_out(F.col(key)).alias("held_out"), text)
-    return score(rows, model, text, "sentiment", "margin", buckets).drop(text)
+    rows = cut_lineage(news.select(key, "date", "symbol", F.col(label).alias("label"), held_out(F.col(key)).alias("held_out"),
+                                   word_buckets(F.col(text), buckets).alias("_words")).withColumn(
+        "_row", F.monotonically_increasing_id()))  # the words are made once, for the fit and the scores
+    model = _fit(rows.filter(~F.coalesce("held_out", F.lit(False))), buckets)
+    return _score(rows, cut_lineage(model), [key, "date", "symbol", "label", "held_out"], "sentiment", "margin")
 
 
 def confusion(scored: DataFrame) -> DataFrame:
