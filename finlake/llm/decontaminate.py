@@ -6,10 +6,10 @@ terms, so everything that is fitted has a bounded size whatever the vocabulary.
 1. One pass over all passages of all documents counts in how many each term is;
    that gives the weights (square root of the inverse document frequency: at
    full strength the rarest words decide alone, and paraphrases replace those).
-2. Randomised SVD of the TF-IDF passages in Spark tasks: a documented sample of
-   at most ``SAMPLE`` passages, drawn by hash from all documents, and all
-   benchmark items.  The matrix meets a random block and a power iteration; the
-   products are summed by term.  The space's axes are scaled to equal spread
+2. Randomised SVD of the TF-IDF passages in Spark tasks: all passages of all
+   documents and all benchmark items.  The matrix meets a random block and a power
+   iteration, a pass over the stored passages each; the products are summed by
+   term.  The space's axes are scaled to equal spread
    (divided by their singular values, at most ``MOST_SPREAD`` times the median),
    so that the few axes of very common words do not decide how close two passages
    are, and passages that much of the corpus shares still count.
@@ -47,13 +47,17 @@ from pyspark.sql import functions as F
 from finlake.llm.store import per_text, ship, stored
 from finlake.llm.text import code_points, word_hashes, word_runs
 
-#: hashed terms, axes of the latent space, passages of the fit's sample
-VOCAB, RANK, SAMPLE = 1 << 14, 256, 1 << 13
+#: hashed terms, axes of the latent space
+VOCAB, RANK = 1 << 14, 256
 OVERSAMPLE = 16
 POWER_ROUNDS = 1
 MOST_SPREAD = 4.0
 #: words of a passage that counts and the fit take
 PASSAGE = 64
+#: passages multiplied at a time; rows of a sum taken together; terms whose sums a task adds; passages of a task of
+#: the fit, and the fewest tasks
+ROWS, SEGMENT, PART = 1 << 14, 32, 64
+TASK_ROWS, LEAST_TASKS = 1 << 17, 6
 #: least cosine of a passage and an item in the latent space
 LEAST_COSINE = 0.25
 #: longest common subsequence over item length, and the same for the answer
@@ -109,24 +113,62 @@ def hashed(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(20) & np.uint64(VOCAB - 1)).astype(np.int32)  # a power of two
 
 
+def passage_rows(texts: DataFrame, whole: bool = False) -> DataFrame:
+    """``terms array<int>, values array<float>``: each passage's terms in order and how often it has them.
+
+    A text's words are cut into passages of ``PASSAGE``, or are one passage if ``whole``.
+    """
+    def run(batches):
+        for b in batches:
+            for low in range(0, b.num_rows, 64):
+                terms = [hashed(words_of(t)) for t in b.column("text").slice(low, 64).to_pylist()]
+                for t in _few(terms):
+                    n = np.array([len(x) for x in t])
+                    if not n.sum():
+                        continue
+                    cuts = (n > 0).astype(np.int64) if whole else -(-n // PASSAGE)
+                    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    passage = np.repeat(np.cumsum(cuts) - cuts, n) + (0 if whole else place // PASSAGE)
+                    key, often = np.unique(passage * VOCAB + np.concatenate(t), return_counts=True)
+                    ends = np.append(0, np.cumsum(np.bincount(key // VOCAB))).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.ListArray.from_arrays(ends, pa.array((key % VOCAB).astype(np.int32))),
+                         pa.ListArray.from_arrays(ends, pa.array(often.astype(np.float32)))], names=["terms", "values"])
+
+    ship(texts.sparkSession)
+    return texts.select("text").mapInArrow(run, "terms array<int>, values array<float>")
+
+
+def _few(terms: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Texts in groups of about ``CHUNK`` words."""
+    group, held = [], 0
+    for t in terms:
+        group.append(t)
+        held += len(t)
+        if held >= CHUNK:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 def passage_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
     """How many passages hold each term, and how many passages there are, over all documents."""
+    return row_counts(passage_rows(docs))
+
+
+def row_counts(passages: DataFrame) -> tuple[np.ndarray, int]:
+    """How many rows of :func:`passage_rows` hold each term, and how many rows there are."""
     def run(batches):
         df, n = np.zeros(VOCAB, np.int64), 0
         for b in batches:
-            for text in b.column("text").to_pylist():
-                terms = hashed(words_of(text))
-                for low in range(0, len(terms), CHUNK):
-                    part = terms[low:low + CHUNK]
-                    n += -(-len(part) // PASSAGE)
-                    once = np.unique(np.arange(len(part)) // PASSAGE * VOCAB + part)
-                    df += np.bincount(once % VOCAB, minlength=VOCAB)
+            n += b.num_rows
+            df += np.bincount(b.column("terms").flatten().to_numpy(), minlength=VOCAB)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], n))],
                                          names=["term", "n"])
 
-    ship(docs.sparkSession)
-    rows = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(
+    rows = passages.select("terms").mapInArrow(run, "term long, n long").groupBy("term").agg(
         F.sum("n").alias("n")).toArrow()  # a row per term
     out, term, n = np.zeros(VOCAB, np.int64), rows.column("term").to_numpy(), rows.column("n").to_numpy()
     out[term[term >= 0]] = n[term >= 0]
@@ -138,50 +180,6 @@ def term_weights(df: np.ndarray, n: int) -> np.ndarray:
     return np.sqrt(np.log((n + 1) / (df + 1)) + 1).astype(np.float32)
 
 
-def sampled_passages(docs: DataFrame, n: int) -> DataFrame:
-    """``terms array<int>`` of at most ``SAMPLE`` of the ``n`` passages, by hash order; all of them if there are fewer.
-
-    Documents are drawn first, twice as many passages as needed on average, by
-    a hash of id and text, so the texts of the others are not looked at.
-    """
-    def run(batches):
-        for b in batches:
-            for text, h in zip(b.column("text").to_pylist(), b.column("h").to_pylist()):
-                terms = hashed(words_of(text))
-                for low in range(0, len(terms), CHUNK):
-                    part = terms[low:low + CHUNK]
-                    cut = [part[k:k + PASSAGE] for k in range(0, len(part), PASSAGE)]
-                    order = [hash((h, low + k)) for k in range(len(cut))]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(order, pa.int64()), pa.array(cut, pa.list_(pa.int32()))], names=["o", "terms"])
-
-    share = min(1.0, 2 * SAMPLE / max(n, 1))
-    h = F.xxhash64("doc_id", "text")
-    low = min(2**63 - 1, -2**63 + int(share * 2**64))
-    drawn = docs.select("text", h.alias("h")).filter(F.col("h") <= F.lit(low).cast("long"))
-    return drawn.mapInArrow(run, "o long, terms array<int>").orderBy("o", "terms").limit(SAMPLE).select("terms")
-
-
-def weighted_rows(passages: DataFrame, weight: np.ndarray) -> DataFrame:
-    """``terms array<int>, values array<float>``: TF-IDF rows of length one."""
-    given = passages.sparkSession.sparkContext.broadcast(weight)
-
-    def run(batches):
-        for b in batches:
-            for low in range(0, b.num_rows, 256):
-                terms, values = [], []
-                for x in b.column("terms").slice(low, 256).to_pylist():
-                    t, c = np.unique(np.array(x, np.int64), return_counts=True)
-                    v = c * given.value[t]
-                    terms.append(t.astype(np.int32))
-                    values.append((v / max(float(np.linalg.norm(v)), 1e-12)).astype(np.float32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(terms, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
-                    names=["terms", "values"])
-
-    return passages.mapInArrow(run, "terms array<int>, values array<float>")
-
-
 def spread_axes(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Left singular vectors (zero where there is none) and values of a tall matrix, from its small Gram matrix.
 
@@ -197,10 +195,60 @@ def spread_axes(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return block @ (v[:, ::-1] / np.where(s > 0, s, np.inf)).astype(np.float32), s
 
 
-def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def summed_rows(table: np.ndarray, at: np.ndarray, values: np.ndarray, into: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per number of ``into`` (ascending) the sum of ``values * table[at]``: the numbers, their sums.
+
+    Sums are taken over ``SEGMENT`` rows at a time, then added up.
+    """
+    first = np.flatnonzero(np.diff(into, prepend=-1))
+    size = np.diff(np.append(first, len(into)))
+    segments = -(-size // SEGMENT)
+    begin = np.cumsum(segments) - segments
+    n, width = int(segments.sum()), table.shape[1]
+    place = np.repeat(begin * SEGMENT - first, size) + np.arange(len(into))
+    ids, v = np.zeros(n * SEGMENT, np.intp), np.zeros(n * SEGMENT, np.float32)
+    ids[place], v[place] = at, values
+    v = v.reshape(n, 1, SEGMENT)
+    step = GATHER // SEGMENT
+    held, parts = np.empty((step * SEGMENT, width), np.float32), np.empty((n, 1, width), np.float32)
+    for k in range(0, n, step):
+        m = min(step, n - k)
+        np.take(table, ids[k * SEGMENT:(k + m) * SEGMENT], axis=0, out=held[:m * SEGMENT], mode="clip")
+        np.matmul(v[k:k + m], held[:m * SEGMENT].reshape(m, SEGMENT, width), out=parts[k:k + m])
+    out = parts[begin, 0]
+    more = np.flatnonzero(segments > 1)
+    for k in range(1, int(segments.max(initial=0))):
+        more = more[segments[more] > k]
+        out[more] += parts[begin[more] + k, 0]
+    return into[first], out
+
+
+def add_product(batch: list[pa.RecordBatch], weight: np.ndarray | None, y: np.ndarray, out: np.ndarray) -> None:
+    """Add A'(A y) of the batch's rows A to ``out``."""
+    columns = pa.Table.from_batches(batch).combine_chunks()
+    terms, values = (columns.column(c).combine_chunks() for c in ("terms", "values"))
+    row = np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy()))
+    t = terms.flatten().to_numpy(zero_copy_only=False).astype(np.intp)
+    if not len(t):
+        return
+    v = values.flatten().to_numpy(zero_copy_only=False).astype(np.float32)
+    if weight is not None:
+        v = v * weight[t]
+        v /= np.maximum(np.sqrt(np.bincount(row, v * v, len(terms))), 1e-12)[row]
+    z = np.zeros((len(terms), y.shape[1]), np.float32)
+    at, sums = summed_rows(y, t, v, row)
+    z[at] = sums
+    order = np.argsort(t.astype(np.int32), kind="stable")
+    at, sums = summed_rows(z, row[order], v[order], t[order])
+    out[at] += sums
+
+
+def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, seed: int = 3,
+                   weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Orthonormal basis (terms x rank) of the leading row space of a sparse matrix, and the singular values.
 
-    ``rows``: one row per passage, ``terms array<int>``, ``values array<float>``.
+    ``rows``: one row per passage, ``terms array<int>`` in order, ``values array<float>``;
+    with ``weight`` (of a term) the rows are weighted and brought to length one.
     Each task multiplies its rows, A'(A Y), and the products are summed by term;
     the driver orthonormalises the sum, terms x (rank + oversampling).
     """
@@ -222,12 +270,15 @@ def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, seed: int =
 
         def run(batches, given=given):
             y = start() if given is None else given.value.astype(np.float32)
-            out = np.zeros_like(y)
+            out, held, n = np.zeros_like(y), [], 0
             for b in batches:
-                for t, v in zip(b.column("terms").to_pylist(), b.column("values").to_pylist()):
-                    if t:
-                        t, v = np.array(t), np.array(v, np.float32)
-                        out[t] += np.outer(v, v @ y[t])
+                held.append(b)
+                n += b.num_rows
+                if n >= ROWS:
+                    add_product(held, weight, y, out)
+                    held, n = [], 0
+            if held:
+                add_product(held, weight, y, out)
             at = np.flatnonzero(out.any(axis=1))
             for low in range(0, len(at), 1024):
                 part = at[low:low + 1024]
@@ -236,19 +287,23 @@ def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, seed: int =
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part), pa.ListArray.from_arrays(places, flat)], names=["term", "v"])
 
-        def add(_, parts):
-            term, v = parts.column("term").to_numpy(), matrix(parts.column("v"))
-            at, place = np.unique(term, return_inverse=True)
-            out = np.zeros((len(at), width), np.float32)
-            np.add.at(out, place, v)
-            places = pa.array(np.arange(0, out.size + 1, width, dtype=np.int32))
-            return pa.table({"term": pa.array(at), "v": pa.ListArray.from_arrays(places, pa.array(out.reshape(-1)))})
-
-        summed = rows.mapInArrow(run, "term long, v array<float>").groupBy(
-            F.expr("term div 1024").alias("part")).applyInArrow(add, "term long, v array<float>").toArrow()
+        def summed(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            low = key[0].as_py() * PART
+            out, seen = np.zeros((PART, width), np.float32), np.zeros(PART, bool)
+            for b in parts:
+                at = b.column("term").to_numpy() - low
+                seen[at] = True
+                np.add.at(out, at, matrix(b.column("v")))
+            at = np.flatnonzero(seen)
+            places = pa.array(np.arange(0, len(at) * width + 1, width, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at + low), pa.ListArray.from_arrays(places, pa.array(out[at].reshape(-1)))], names=["term", "v"])
+
+        found = rows.mapInArrow(run, "term long, v array<float>").groupBy(
+            F.expr(f"term div {PART}").alias("part")).applyInArrow(summed, "term long, v array<float>").toArrow()
         block = np.zeros((n_terms, width), np.float32)
-        if summed.num_rows:
-            block[summed.column("term").to_numpy()] = matrix(summed.column("v"))
+        if found.num_rows:
+            block[found.column("term").to_numpy()] = matrix(found.column("v"))
         if given is not None:
             given.destroy()
     u, s = spread_axes(block)
@@ -276,19 +331,13 @@ class Space:
 
 
 def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Space:
-    """The space of the documents' passages and the benchmark's items."""
-    df, n = passage_counts(docs)
+    """The space of all passages of all documents and of the benchmark's items."""
+    passages = stored(passage_rows(docs), "fit-passages")
+    df, n = row_counts(passages)
     weight = term_weights(df, n)
-
-    def items(batches):
-        for b in batches:
-            terms = [hashed(words_of(x)) for x in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.int32()))], names=["terms"])
-
-    passages = sampled_passages(docs, n).unionByName(benchmark.select("text").mapInArrow(items, "terms array<int>"))
-    # dealt to a few tasks: each sends a sum of up to VOCAB rows
-    passages = stored(passages.filter("size(terms) > 0").coalesce(4), "fit-passages")
-    basis, s = randomised_svd(weighted_rows(passages, weight), VOCAB, rank)
+    # each task sends a sum of up to VOCAB rows, so there are few, in proportion to the passages
+    rows = passages.unionByName(passage_rows(benchmark, whole=True)).coalesce(max(LEAST_TASKS, n // TASK_ROWS))
+    basis, s = randomised_svd(rows, VOCAB, rank, weight=weight)
     spread = np.minimum(s, MOST_SPREAD * np.median(s)) if len(s) else s
     table = basis * (weight[:, None] / spread[None, :])
     return Space(np.concatenate([table, np.zeros((1, table.shape[1]), np.float32)]))
@@ -442,10 +491,12 @@ def with_room(found: Close, terms: list[np.ndarray], block: Block) -> Close:
     for low, high in zip(edges.tolist(), [*edges[1:].tolist(), len(found.text)]):
         own = terms[found.text[low]]
         has[own] = True
-        item, place = np.unique(found.item[low:high], return_inverse=True)
-        n = has[block.terms[item]].sum(axis=1)
+        asked = np.zeros(len(block.items), bool)
+        asked[found.item[low:high]] = True
+        item = np.flatnonzero(asked)
+        asked[item] = has[block.terms[item]].sum(axis=1) >= LEAST_LCS * block.lengths[item]
         has[own] = False
-        kept.append((n >= LEAST_LCS * block.lengths[item])[place])
+        kept.append(asked[found.item[low:high]])
     keep = np.concatenate(kept)
     return Close(found.size, *[x[keep] for x in found[1:]])
 

@@ -67,6 +67,29 @@ def test_randomised_svd_holds_the_leading_space(spark):
     assert np.allclose(basis.T @ basis, np.eye(20), atol=1e-4)
 
 
+def test_fit_takes_every_passage(spark, monkeypatch):
+    """10,000 passages of a word pair each, three of another: an axis holds the rare pair, whatever the tasks."""
+    docs = [(i, "often seen") for i in range(10000)] + [(10000 + i, "rare pair") for i in range(3)]
+    seen = []
+    svd = D.randomised_svd
+    monkeypatch.setattr(D, "randomised_svd", lambda rows, *a, **k: (seen.append(rows.count()), svd(rows, *a, **k))[1])
+    space = D.fit(spark.createDataFrame(docs, "doc_id long, text string"),
+                  spark.createDataFrame([(1, "often asked")], "item_id long, text string"), rank=4)
+    assert seen == [10004]
+    a, b = (space.fold(D.hashed(D.words_of(w))) for w in ("rare", "pair"))
+    assert np.linalg.norm(a) > 0 and a @ b >= 0.99 * np.linalg.norm(a) * np.linalg.norm(b)
+
+
+def test_sums_of_segments():
+    r = np.random.default_rng(5)
+    table, into = r.standard_normal((50, 7)).astype(np.float32), np.sort(r.integers(0, 9, 400)) * 2
+    at, values = r.integers(0, 50, 400), r.standard_normal(400).astype(np.float32)
+    numbers, sums = D.summed_rows(table, at, values, into)
+    want = np.zeros((20, 7))
+    np.add.at(want, into, values[:, None] * table[at])
+    assert numbers.tolist() == np.unique(into).tolist() and np.allclose(sums, want[numbers], atol=1e-4)
+
+
 def paraphrase(text, r, share=0.2):
     return " ".join("changed" + str(r.randrange(999)) if r.random() < share else w for w in text.split())
 
