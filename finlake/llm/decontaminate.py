@@ -126,9 +126,11 @@ def passage_rows(texts: DataFrame, whole: bool = False) -> DataFrame:
                     n = np.array([len(x) for x in t])
                     if not n.sum():
                         continue
-                    cuts = (n > 0).astype(np.int64) if whole else -(-n // PASSAGE)
+                    each = -(-CHUNK // PASSAGE)  # passages of a chunk
+                    cuts = (n > 0).astype(np.int64) if whole else n // CHUNK * each - (-(n % CHUNK) // PASSAGE)
                     place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    passage = np.repeat(np.cumsum(cuts) - cuts, n) + (0 if whole else place // PASSAGE)
+                    passage = np.repeat(np.cumsum(cuts) - cuts, n) + (
+                        0 if whole else place // CHUNK * each + place % CHUNK // PASSAGE)
                     key, often = np.unique(passage * VOCAB + np.concatenate(t), return_counts=True)
                     ends = np.append(0, np.cumsum(np.bincount(key // VOCAB))).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
