@@ -7,9 +7,9 @@ terms, so everything that is fitted has a bounded size whatever the vocabulary.
    that gives the weights (square root of the inverse document frequency: at
    full strength the rarest words decide alone, and paraphrases replace those).
 2. Randomised SVD of the TF-IDF passages in Spark tasks: all passages of all
-   documents and all benchmark items.  The matrix meets a random block and a power
-   iteration, a pass over the stored passages each; the products are summed by
-   term.  The space's axes are scaled to equal spread
+   documents and all benchmark items.  A sketch adds every passage, with random
+   signs, to a few of its columns; its axes then meet the matrix and its transpose:
+   a pass over the stored passages each, summed by term.  The space's axes are scaled to equal spread
    (divided by their singular values, at most ``MOST_SPREAD`` times the median),
    so that the few axes of very common words do not decide how close two passages
    are, and passages that much of the corpus shares still count.
@@ -45,12 +45,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.store import per_text, ship, stored
-from finlake.llm.text import code_points, word_hashes, word_runs
+from finlake.llm.text import code_points, mixed, word_hashes, word_runs
 
 #: hashed terms, axes of the latent space
 VOCAB, RANK = 1 << 14, 256
 OVERSAMPLE = 16
-POWER_ROUNDS = 1
+#: random signs of a passage in the sketch
+SKETCH = 4
 MOST_SPREAD = 4.0
 #: words of a passage that counts and the fit take
 PASSAGE = 64
@@ -70,7 +71,9 @@ BLOCK_ITEMS = 1 << 14
 #: words of the smallest window
 SMALLEST = 8
 #: words folded at a time, texts or pieces of a text; of these so many in a gather that stays in cache; cosines held
-CHUNK, GATHER, HELD = 1 << 14, 1 << 11, 1 << 21
+CHUNK, GATHER, HELD = 1 << 14, 1 << 9, 1 << 21
+#: windows of a text whose words are looked up together
+SPAN = 128
 
 
 def words_of(text: str | None) -> np.ndarray:
@@ -114,7 +117,7 @@ def hashed(words: np.ndarray) -> np.ndarray:
 
 
 def passage_rows(texts: DataFrame, whole: bool = False) -> DataFrame:
-    """``terms array<int>, values array<float>``: each passage's terms in order and how often it has them.
+    """``terms binary, values binary``: each passage's terms in order (16 bits each) and how often it has them (float).
 
     A text's words are cut into passages of ``PASSAGE``, or are one passage if ``whole``.
     """
@@ -132,13 +135,28 @@ def passage_rows(texts: DataFrame, whole: bool = False) -> DataFrame:
                     passage = np.repeat(np.cumsum(cuts) - cuts, n) + (
                         0 if whole else place // CHUNK * each + place % CHUNK // PASSAGE)
                     key, often = np.unique(passage * VOCAB + np.concatenate(t), return_counts=True)
-                    ends = np.append(0, np.cumsum(np.bincount(key // VOCAB))).astype(np.int32)
+                    ends = np.append(0, np.cumsum(np.bincount(key // VOCAB)))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.ListArray.from_arrays(ends, pa.array((key % VOCAB).astype(np.int32))),
-                         pa.ListArray.from_arrays(ends, pa.array(often.astype(np.float32)))], names=["terms", "values"])
+                        [_packed((key % VOCAB).astype(np.uint16), ends), _packed(often.astype(np.float32), ends)],
+                        names=["terms", "values"])
 
     ship(texts.sparkSession)
-    return texts.select("text").mapInArrow(run, "terms array<int>, values array<float>")
+    return texts.select("text").mapInArrow(run, "terms binary, values binary")
+
+
+def _packed(numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Rows of numbers as bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1,
+                                 [None, pa.py_buffer((ends * numbers.itemsize).astype(np.int32)), pa.py_buffer(numbers)])
+
+
+def _numbers(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows, packed or in arrays, and how many each row has."""
+    if not pa.types.is_binary(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    flat = np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]] if len(column) else np.zeros(0, np.uint8)
+    return flat.view(dtype), np.diff(ends) // np.dtype(dtype).itemsize
 
 
 def _few(terms: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
@@ -165,7 +183,7 @@ def row_counts(passages: DataFrame) -> tuple[np.ndarray, int]:
         df, n = np.zeros(VOCAB, np.int64), 0
         for b in batches:
             n += b.num_rows
-            df += np.bincount(b.column("terms").flatten().to_numpy(), minlength=VOCAB)
+            df += np.bincount(_numbers(b.column("terms"), np.uint16)[0], minlength=VOCAB)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], n))],
                                          names=["term", "n"])
@@ -225,69 +243,93 @@ def summed_rows(table: np.ndarray, at: np.ndarray, values: np.ndarray, into: np.
     return into[first], out
 
 
-def add_product(batch: list[pa.RecordBatch], weight: np.ndarray | None, y: np.ndarray, out: np.ndarray) -> None:
-    """Add A'(A y) of the batch's rows A to ``out``."""
-    columns = pa.Table.from_batches(batch).combine_chunks()
-    terms, values = (columns.column(c).combine_chunks() for c in ("terms", "values"))
-    row = np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy()))
-    t = terms.flatten().to_numpy(zero_copy_only=False).astype(np.intp)
-    if not len(t):
-        return
-    v = values.flatten().to_numpy(zero_copy_only=False).astype(np.float32)
+class Rows(NamedTuple):
+    """Rows of a sparse matrix: term, value and row number of each entry, and how many rows there are."""
+
+    term: np.ndarray
+    value: np.ndarray
+    row: np.ndarray
+    n: int
+
+
+def matrix_rows(batch: list[pa.RecordBatch], weight: np.ndarray | None) -> Rows:
+    """The batches' rows; with ``weight`` (of a term) weighted and brought to length one."""
+    parts = [(*_numbers(b.column("terms"), np.uint16), _numbers(b.column("values"), np.float32)[0]) for b in batch]
+    t, size, v = (np.concatenate(x) for x in zip(*parts))
+    t, v, row = t.astype(np.intp), v.astype(np.float32), np.repeat(np.arange(len(size)), size)
     if weight is not None:
         v = v * weight[t]
-        v /= np.maximum(np.sqrt(np.bincount(row, v * v, len(terms))), 1e-12)[row]
-    z = np.zeros((len(terms), y.shape[1]), np.float32)
-    at, sums = summed_rows(y, t, v, row)
+        v /= np.maximum(np.sqrt(np.bincount(row, v * v, len(size))), 1e-12).astype(np.float32)[row]
+    return Rows(t, v, row, len(size))
+
+
+def add_sketch(rows: Rows, out: np.ndarray) -> None:
+    """Add A'S to ``out``: each row goes to ``SKETCH`` columns, with signs, by a hash of what it holds."""
+    word = mixed(rows.term.astype(np.uint64) + np.uint64(1)) ^ rows.value.view(np.uint32)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(word))])
+    ends = np.cumsum(np.bincount(rows.row, minlength=rows.n))
+    h = total[ends] - total[np.append(0, ends[:-1])]
+    flat, width = out.reshape(-1), np.uint64(out.shape[1])
+    first = rows.term * out.shape[1]
+    for k in range(SKETCH):
+        g = mixed(h + np.uint64(k + 1))
+        column = ((g >> np.uint64(20)) % width).astype(np.intp)
+        sign = np.where(g >> np.uint64(63), 1, -1).astype(np.float32)
+        np.add.at(flat, first + column[rows.row], rows.value * sign[rows.row])
+
+
+def add_product(rows: Rows, y: np.ndarray, out: np.ndarray) -> None:
+    """Add A'(A y) to ``out``."""
+    if not len(rows.term):
+        return
+    z = np.zeros((rows.n, y.shape[1]), np.float32)
+    at, sums = summed_rows(y, rows.term, rows.value, rows.row)
     z[at] = sums
-    order = np.argsort(t.astype(np.int32), kind="stable")
-    at, sums = summed_rows(z, row[order], v[order], t[order])
+    order = np.argsort(rows.term.astype(np.uint16 if len(y) <= 1 << 16 else np.int64), kind="stable")
+    at, sums = summed_rows(z, rows.row[order], rows.value[order], rows.term[order])
     out[at] += sums
 
 
-def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, seed: int = 3,
+def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK,
                    weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Orthonormal basis (terms x rank) of the leading row space of a sparse matrix, and the singular values.
 
-    ``rows``: one row per passage, ``terms array<int>`` in order, ``values array<float>``;
+    ``rows``: one row per passage, ``terms`` in order and their ``values``, as arrays or as of :func:`passage_rows`;
     with ``weight`` (of a term) the rows are weighted and brought to length one.
-    Each task multiplies its rows, A'(A Y), and the products are summed by term;
-    the driver orthonormalises the sum, terms x (rank + oversampling).
+    Two passes over all rows: the sketch A'S, S having ``SKETCH`` random signs in each row, then A'(A Y) for its axes
+    Y.  Each task adds up its rows, and the sums are added by term; the driver orthonormalises the sum,
+    terms x (rank + oversampling).
     """
     spark = rows.sparkSession
     ship(spark)
     width = min(rank + OVERSAMPLE, n_terms)
-
-    def start() -> np.ndarray:
-        return np.random.default_rng(seed).standard_normal((n_terms, width)).astype(np.float32)
-
-    def matrix(column) -> np.ndarray:
-        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-        return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-
     block, given = None, None
-    for _ in range(1 + POWER_ROUNDS):
+    for _ in range(2):
         if block is not None:  # half precision is enough for directions; the sums are not rounded
             given = spark.sparkContext.broadcast(spread_axes(block)[0].astype(np.float16))
+            block = None
 
         def run(batches, given=given):
-            y = start() if given is None else given.value.astype(np.float32)
-            out, held, n = np.zeros_like(y), [], 0
+            y = None if given is None else given.value.astype(np.float32)
+            out, held, n = np.zeros((n_terms, width), np.float32), [], 0
+
+            def add():
+                part = matrix_rows(held, weight)
+                add_sketch(part, out) if y is None else add_product(part, y, out)
+
             for b in batches:
                 held.append(b)
                 n += b.num_rows
                 if n >= ROWS:
-                    add_product(held, weight, y, out)
+                    add()
                     held, n = [], 0
             if held:
-                add_product(held, weight, y, out)
+                add()
             at = np.flatnonzero(out.any(axis=1))
             for low in range(0, len(at), 1024):
                 part = at[low:low + 1024]
-                flat = pa.array(out[part].reshape(-1))
-                places = pa.array(np.arange(0, len(flat) + 1, width, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part), pa.ListArray.from_arrays(places, flat)], names=["term", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([x.tobytes() for x in out[part]])],
+                                                 names=["term", "v"])
 
         def summed(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low = key[0].as_py() * PART
@@ -295,20 +337,21 @@ def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, seed: int =
             for b in parts:
                 at = b.column("term").to_numpy() - low
                 seen[at] = True
-                np.add.at(out, at, matrix(b.column("v")))
+                np.add.at(out, at, _numbers(b.column("v"), np.float32)[0].reshape(-1, width))
             at = np.flatnonzero(seen)
-            places = pa.array(np.arange(0, len(at) * width + 1, width, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at + low), pa.ListArray.from_arrays(places, pa.array(out[at].reshape(-1)))], names=["term", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(at + low), pa.array([x.tobytes() for x in out[at]])],
+                                             names=["term", "v"])
 
-        found = rows.mapInArrow(run, "term long, v array<float>").groupBy(
-            F.expr(f"term div {PART}").alias("part")).applyInArrow(summed, "term long, v array<float>").toArrow()
+        found = rows.mapInArrow(run, "term long, v binary").groupBy(
+            F.expr(f"term div {PART}").alias("part")).applyInArrow(summed, "term long, v binary").toArrow()
         block = np.zeros((n_terms, width), np.float32)
-        if found.num_rows:
-            block[found.column("term").to_numpy()] = matrix(found.column("v"))
+        for b in found.to_batches():
+            block[b.column("term").to_numpy()] = _numbers(b.column("v"), np.float32)[0].reshape(-1, width)
+        del found
         if given is not None:
             given.destroy()
     u, s = spread_axes(block)
+    del block
     held = s[:rank] > 0
     return u[:, :rank][:, held], np.sqrt(s[:rank][held])
 
@@ -341,8 +384,11 @@ def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Space:
     rows = passages.unionByName(passage_rows(benchmark, whole=True)).coalesce(max(LEAST_TASKS, n // TASK_ROWS))
     basis, s = randomised_svd(rows, VOCAB, rank, weight=weight)
     spread = np.minimum(s, MOST_SPREAD * np.median(s)) if len(s) else s
-    table = basis * (weight[:, None] / spread[None, :])
-    return Space(np.concatenate([table, np.zeros((1, table.shape[1]), np.float32)]))
+    table = np.zeros((VOCAB + 1, len(s)), np.float32)  # held once: the driver has little room
+    np.multiply(basis, weight[:, None], out=table[:-1])
+    del basis
+    table /= spread.astype(np.float32)
+    return Space(table)
 
 
 class Block(NamedTuple):
@@ -424,6 +470,17 @@ class Close(NamedTuple):
     cosine: np.ndarray
 
 
+def added_up(table: np.ndarray, ids: np.ndarray, base: int) -> np.ndarray:
+    """The sums of ``base`` rows of the table in a row."""
+    step, one = max(GATHER // base, 1) * base, np.ones((1, base), np.float32)
+    held, out = np.empty((step, table.shape[1]), np.float32), np.empty((len(ids) // base, 1, table.shape[1]), np.float32)
+    for k in range(0, len(ids), step):
+        rows = held[:len(ids[k:k + step])]
+        np.take(table, ids[k:k + step], axis=0, out=rows, mode="clip")
+        np.matmul(one, rows.reshape(-1, base, table.shape[1]), out=out[k // base:(k + step) // base])
+    return out[:, 0]
+
+
 def candidates(texts: list[np.ndarray], space: Space, block: Block,
                terms: list[np.ndarray] | None = None) -> Iterator[Close]:
     """Every passage and item that are close in the space.
@@ -443,9 +500,7 @@ def candidates(texts: list[np.ndarray], space: Space, block: Block,
             starts.append(at)
             at += n + -n % unit
         ids, starts, move = np.concatenate(parts), np.array(starts), base
-        step = max(GATHER // base, 1) * base
-        sums = np.concatenate([space.table[ids[k:k + step]].reshape(-1, base, width).sum(axis=1)
-                               for k in range(0, len(ids), step)])
+        sums = added_up(space.table, ids, base)
         for size, (numbers, vectors) in sorted(block.vectors.items()):
             if size // 4 > move:
                 sums = sums.reshape(-1, size // 4 // move, width).sum(axis=1)
@@ -484,25 +539,53 @@ def _close(sums: np.ndarray, starts: np.ndarray, batch: list[Piece], texts: list
 
 
 def with_room(found: Close, terms: list[np.ndarray], block: Block) -> Close:
-    """Those whose text has enough of the item's words at all: no common subsequence has more.
+    """Those whose text, and then whose passage, has enough of the item's words at all: no common subsequence has more.
 
-    Looked up by term, so a text may only seem to have more words than it has.
+    Looked up by term, so a text or passage may only seem to have more words than it has.
     """
-    has, kept = np.zeros(VOCAB + 1, bool), []
+    has, place, kept = np.zeros(VOCAB + 1, np.float32), np.zeros(VOCAB + 1, np.int32), []
+    asked, number = np.zeros(len(block.items), bool), np.zeros(len(block.items), np.int32)
     edges = np.flatnonzero(np.diff(found.text, prepend=-1))
     for low, high in zip(edges.tolist(), [*edges[1:].tolist(), len(found.text)]):
         own = terms[found.text[low]]
-        has[own] = True
-        asked = np.zeros(len(block.items), bool)
+        has[own] = 1
         asked[found.item[low:high]] = True
         item = np.flatnonzero(asked)
-        asked[item] = has[block.terms[item]].sum(axis=1) >= LEAST_LCS * block.lengths[item]
-        has[own] = False
-        kept.append(asked[found.item[low:high]])
-    keep = np.concatenate(kept)
+        item_terms = block.terms[item, :block.lengths[item].max()]
+        room = has[item_terms] @ np.ones(item_terms.shape[1], np.float32) >= LEAST_LCS * block.lengths[item]
+        asked[item] = room
+        has[own] = 0
+        at = low + np.flatnonzero(asked[found.item[low:high]])
+        asked[item] = False
+        if not len(at):
+            continue
+        number[item[room]] = np.arange(room.sum())
+        w, k = found.window[at], found.item[at]
+        for span in np.split(np.arange(len(at)), np.flatnonzero(np.diff(w // SPAN)) + 1):
+            n = passage_terms(own, found.size // 4, w[span], item_terms[room], number[k[span]], place)
+            kept.append(at[span[n >= LEAST_LCS * block.lengths[k[span]]]])
+    keep = np.concatenate([np.zeros(0, np.intp), *kept])
     return Close(found.size, *[x[keep] for x in found[1:]])
 
 
+def passage_terms(own: np.ndarray, move: int, window: np.ndarray, terms: np.ndarray, number: np.ndarray,
+                  place: np.ndarray) -> np.ndarray:
+    """How many terms of row ``number`` of ``terms`` the passage has, with a quarter more on both sides.
+
+    ``place`` is room for a number of each term, zeros before and after.
+    """
+    base = max(0, int(window[0]) - 1)
+    near = own[base * move:(int(window[-1]) + 5) * move]
+    place[near] = np.arange(1, len(near) + 1)  # a repeated term has the number of one of its places
+    quarters = np.zeros((int(window[-1]) - base + 7, len(near) + 1), bool)  # the first one is before the text
+    quarters[np.arange(len(near)) // move + 1, place[near]] = True
+    at = place[terms]
+    place[near] = 0
+    n = len(quarters) - 5
+    passages = np.logical_or.reduce([quarters[k:k + n] for k in range(6)])
+    return passages[(window - base)[:, None], at[number]].sum(axis=1)
+
+
 def search(texts: list[str | None], space: Space, block: Block) -> list[list[tuple[int, float, float, float, int, int]]]:
     """Per text (item number, cosine, lcs share, answer share, first word, last word) of each match."""
     words = [words_of(t) for t in texts]
