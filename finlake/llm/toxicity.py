@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,8 @@ SHRINK = 10
 ROUNDS, ON_ALL, BATCH, RATE = 10, 2, 128, 0.01
 #: words whose inputs are held at a time
 CHUNK = 1 << 15
+#: words of many texts whose inputs are made once per different word
+TOGETHER = 1 << 17
 _BOUNDARY = np.uint32(1)
 
 
@@ -104,8 +107,17 @@ def windows(n: int) -> np.ndarray:
     return np.unique(np.minimum(starts, n - WINDOW))
 
 
-def word_chunks(text: str | None) -> Iterator[tuple[Words, np.ndarray]]:
-    """Pieces of a text (words, window starts inside the piece); pieces overlap so that no window is cut."""
+class Piece(NamedTuple):
+    """Words of a text, by their places in its code points, and the window starts inside the piece."""
+
+    codes: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    windows: np.ndarray
+
+
+def pieces(text: str | None) -> Iterator[Piece]:
+    """Pieces of a text; they overlap so that no window is cut."""
     codes = code_points(text)
     starts, ends = word_runs(codes)
     every = windows(len(starts))
@@ -114,10 +126,31 @@ def word_chunks(text: str | None) -> Iterator[tuple[Words, np.ndarray]]:
         high = int(np.searchsorted(every, every[low] + CHUNK))
         base = int(every[low])
         stop = min(len(starts), int(every[high - 1]) + WINDOW)
-        yield Words(codes, starts[base:stop], ends[base:stop]), every[low:high] - base
+        first, last = int(starts[base]), int(ends[stop - 1])
+        yield Piece(codes[first:last], starts[base:stop] - first, ends[base:stop] - first, every[low:high] - base)
         low = high
 
 
+def word_chunks(text: str | None) -> Iterator[tuple[Words, np.ndarray]]:
+    """The words and window starts of each piece of a text."""
+    for p in pieces(text):
+        yield Words(p.codes, p.starts, p.ends), p.windows
+
+
+def projected_once(p: dict[str, np.ndarray], held: list[Piece]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per piece the network's input of each different word of all pieces, and which one each of its words has."""
+    h = np.concatenate([word_hashes(x.codes, x.starts, x.ends) for x in held])
+    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+    shift = np.cumsum([0] + [len(x.codes) for x in held[:-1]])
+    starts, ends = (np.concatenate([v + k for v, k in zip(part, shift)])[first]
+                    for part in ([x.starts for x in held], [x.ends for x in held]))
+    projected = Words(np.concatenate([x.codes for x in held]), starts, ends).inputs(p) @ p["w"] + p["b"]
+    low = 0
+    for x in held:
+        yield projected, which[low:low + len(x.starts)]
+        low += len(x.starts)
+
+
 def initial(seed: int = 11) -> dict[str, np.ndarray]:
     r = np.random.default_rng(seed)
     d, h = WORD_DIM + GRAM_DIM, HIDDEN
@@ -143,6 +176,25 @@ def _gru(x: np.ndarray, u: np.ndarray, mask: np.ndarray | None, keep: list | Non
     t, b, h3 = x.shape
     h, state = h3 // 3, np.zeros((b, h3 // 3), x.dtype)
     out = np.empty((t, b, h), x.dtype)
+    if mask is None and keep is None:  # scoring: the same steps in place, a row per hidden unit
+        across, state, hu = np.ascontiguousarray(u.T), np.zeros((h, b), x.dtype), np.empty((h3, b), x.dtype)
+        gates, z, r, new = hu[:2 * h], hu[:h], hu[h:2 * h], hu[2 * h:]
+        for k in range(t):
+            given = x[k].T
+            np.matmul(across, state, out=hu)
+            gates += given[:2 * h]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            new *= r
+            new += given[2 * h:]
+            np.tanh(new, out=new)
+            state -= new
+            state *= z
+            state += new
+            out[k] = state.T
+        return out
     for k in range(t):
         hu = state @ u
         gates = _sigmoid(x[k, :, :2 * h] + hu[:, :2 * h])
@@ -242,23 +294,35 @@ def document_logits(p: dict[str, np.ndarray], texts: list[str | None]) -> list[t
         waiting.pop(length)
         held.pop(length)
 
-    for k, text in enumerate(texts):
-        for words, starts in word_chunks(text):
-            projected = words.inputs(p) @ p["w"] + p["b"]
-            length = min(WINDOW, words.n)
+    for some in _grouped((k, x) for k, text in enumerate(texts) for x in pieces(text)):
+        for (k, x), (projected, which) in zip(some, projected_once(p, [x for _, x in some])):
+            length = min(WINDOW, len(which))
             at = np.arange(length)[:, None]
-            for low in range(0, len(starts), 512):
-                part = projected[at + starts[low:low + 512]]
+            for low in range(0, len(x.windows), 512):
+                part = projected[which[at + x.windows[low:low + 512]]]
                 waiting.setdefault(length, []).append((k, part))
                 held[length] = held.get(length, 0) + part.shape[1]
                 if held[length] >= 512:
                     run(length)
-            count[k] += len(starts)
+            count[k] += len(x.windows)
     for length in sorted(waiting):
         run(length)
     return list(zip(best.tolist(), total.tolist(), count.tolist()))
 
 
+def _grouped(found: Iterable[tuple[int, Piece]]) -> Iterator[list[tuple[int, Piece]]]:
+    """Pieces in groups of about ``TOGETHER`` words."""
+    group, held = [], 0
+    for k, x in found:
+        group.append((k, x))
+        held += len(x.starts)
+        if held >= TOGETHER:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 def window_texts(text: str | None) -> Iterator[str]:
     """Every window of a text, as text."""
     codes = code_points(text)
