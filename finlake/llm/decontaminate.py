@@ -7,9 +7,9 @@ terms, so everything that is fitted has a bounded size whatever the vocabulary.
    that gives the weights (square root of the inverse document frequency: at
    full strength the rarest words decide alone, and paraphrases replace those).
 2. Randomised SVD of the TF-IDF passages in Spark tasks: all passages of all
-   documents and all benchmark items.  A sketch adds every passage, with random
-   signs, to a few of its columns; its axes then meet the matrix and its transpose:
-   a pass over the stored passages each, summed by term.  The space's axes are scaled to equal spread
+   documents and all benchmark items.  The matrix meets a random block and a power
+   iteration, a pass over the stored passages each; the products are summed by
+   term.  The space's axes are scaled to equal spread
    (divided by their singular values, at most ``MOST_SPREAD`` times the median),
    so that the few axes of very common words do not decide how close two passages
    are, and passages that much of the corpus shares still count.
@@ -45,13 +45,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.store import per_text, ship, stored
-from finlake.llm.text import code_points, mixed, word_hashes, word_runs
+from finlake.llm.text import code_points, word_hashes, word_runs
 
 #: hashed terms, axes of the latent space
 VOCAB, RANK = 1 << 14, 256
 OVERSAMPLE = 16
-#: random signs of a passage in the sketch
-SKETCH = 4
+POWER_ROUNDS = 1
 MOST_SPREAD = 4.0
 #: words of a passage that counts and the fit take
 PASSAGE = 64
@@ -263,21 +262,6 @@ def matrix_rows(batch: list[pa.RecordBatch], weight: np.ndarray | None) -> Rows:
     return Rows(t, v, row, len(size))
 
 
-def add_sketch(rows: Rows, out: np.ndarray) -> None:
-    """Add A'S to ``out``: each row goes to ``SKETCH`` columns, with signs, by a hash of what it holds."""
-    word = mixed(rows.term.astype(np.uint64) + np.uint64(1)) ^ rows.value.view(np.uint32)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(word))])
-    ends = np.cumsum(np.bincount(rows.row, minlength=rows.n))
-    h = total[ends] - total[np.append(0, ends[:-1])]
-    flat, width = out.reshape(-1), np.uint64(out.shape[1])
-    first = rows.term * out.shape[1]
-    for k in range(SKETCH):
-        g = mixed(h + np.uint64(k + 1))
-        column = ((g >> np.uint64(20)) % width).astype(np.intp)
-        sign = np.where(g >> np.uint64(63), 1, -1).astype(np.float32)
-        np.add.at(flat, first + column[rows.row], rows.value * sign[rows.row])
-
-
 def add_product(rows: Rows, y: np.ndarray, out: np.ndarray) -> None:
     """Add A'(A y) to ``out``."""
     if not len(rows.term):
@@ -290,41 +274,39 @@ def add_product(rows: Rows, y: np.ndarray, out: np.ndarray) -> None:
     out[at] += sums
 
 
-def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK,
+def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, seed: int = 3,
                    weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Orthonormal basis (terms x rank) of the leading row space of a sparse matrix, and the singular values.
 
     ``rows``: one row per passage, ``terms`` in order and their ``values``, as arrays or as of :func:`passage_rows`;
     with ``weight`` (of a term) the rows are weighted and brought to length one.
-    Two passes over all rows: the sketch A'S, S having ``SKETCH`` random signs in each row, then A'(A Y) for its axes
-    Y.  Each task adds up its rows, and the sums are added by term; the driver orthonormalises the sum,
-    terms x (rank + oversampling).
+    Each task multiplies its rows, A'(A Y), and the products are summed by term;
+    the driver orthonormalises the sum, terms x (rank + oversampling).
     """
     spark = rows.sparkSession
     ship(spark)
     width = min(rank + OVERSAMPLE, n_terms)
+
+    def start() -> np.ndarray:
+        return np.random.default_rng(seed).standard_normal((n_terms, width)).astype(np.float32)
+
     block, given = None, None
-    for _ in range(2):
+    for _ in range(1 + POWER_ROUNDS):
         if block is not None:  # half precision is enough for directions; the sums are not rounded
             given = spark.sparkContext.broadcast(spread_axes(block)[0].astype(np.float16))
             block = None
 
         def run(batches, given=given):
-            y = None if given is None else given.value.astype(np.float32)
-            out, held, n = np.zeros((n_terms, width), np.float32), [], 0
-
-            def add():
-                part = matrix_rows(held, weight)
-                add_sketch(part, out) if y is None else add_product(part, y, out)
-
+            y = start() if given is None else given.value.astype(np.float32)
+            out, held, n = np.zeros_like(y), [], 0
             for b in batches:
                 held.append(b)
                 n += b.num_rows
                 if n >= ROWS:
-                    add()
+                    add_product(matrix_rows(held, weight), y, out)
                     held, n = [], 0
             if held:
-                add()
+                add_product(matrix_rows(held, weight), y, out)
             at = np.flatnonzero(out.any(axis=1))
             for low in range(0, len(at), 1024):
                 part = at[low:low + 1024]
@@ -384,10 +366,10 @@ def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Space:
     rows = passages.unionByName(passage_rows(benchmark, whole=True)).coalesce(max(LEAST_TASKS, n // TASK_ROWS))
     basis, s = randomised_svd(rows, VOCAB, rank, weight=weight)
     spread = np.minimum(s, MOST_SPREAD * np.median(s)) if len(s) else s
-    table = np.zeros((VOCAB + 1, len(s)), np.float32)  # held once: the driver has little room
-    np.multiply(basis, weight[:, None], out=table[:-1])
-    del basis
-    table /= spread.astype(np.float32)
+    table = np.zeros((VOCAB + 1, len(s)), np.float16)  # made in parts: the driver has little room
+    for low in range(0, VOCAB, 1024):
+        part = slice(low, low + 1024)
+        table[:-1][part] = basis[part] * (weight[part, None] / spread[None, :])
     return Space(table)
 
 
