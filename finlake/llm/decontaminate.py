@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.store import per_text, ship, stored
-from finlake.llm.text import code_points, word_hashes, word_runs
+from finlake.llm.text import code_points, hashes_of_words, word_hashes, word_runs
 
 #: hashed terms, axes of the latent space
 VOCAB, RANK = 1 << 14, 256
@@ -71,8 +71,8 @@ BLOCK_ITEMS = 1 << 14
 SMALLEST = 8
 #: words folded at a time, texts or pieces of a text; of these so many in a gather that stays in cache; cosines held
 CHUNK, GATHER, HELD = 1 << 14, 1 << 9, 1 << 21
-#: windows of a text whose words are looked up together
-SPAN = 128
+#: passages whose words are looked up together, and lookups at a time
+ROOMS, LOOKED = 32, 1 << 16
 
 
 def words_of(text: str | None) -> np.ndarray:
@@ -123,7 +123,7 @@ def passage_rows(texts: DataFrame, whole: bool = False) -> DataFrame:
     def run(batches):
         for b in batches:
             for low in range(0, b.num_rows, 64):
-                terms = [hashed(words_of(t)) for t in b.column("text").slice(low, 64).to_pylist()]
+                terms = [hashed(w) for w in hashes_of_words(b.column("text").slice(low, 64).to_pylist())]
                 for t in _few(terms):
                     n = np.array([len(x) for x in t])
                     if not n.sum():
@@ -214,26 +214,30 @@ def spread_axes(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return block @ (v[:, ::-1] / np.where(s > 0, s, np.inf)).astype(np.float32), s
 
 
-def summed_rows(table: np.ndarray, at: np.ndarray, values: np.ndarray, into: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def summed_rows(table: np.ndarray, at: np.ndarray, values: np.ndarray, into: np.ndarray,
+                segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
     """Per number of ``into`` (ascending) the sum of ``values * table[at]``: the numbers, their sums.
 
-    Sums are taken over ``SEGMENT`` rows at a time, then added up.
+    Sums are taken over ``segment`` rows at a time, then added up.
     """
     first = np.flatnonzero(np.diff(into, prepend=-1))
     size = np.diff(np.append(first, len(into)))
-    segments = -(-size // SEGMENT)
+    segments = -(-size // segment)
     begin = np.cumsum(segments) - segments
     n, width = int(segments.sum()), table.shape[1]
-    place = np.repeat(begin * SEGMENT - first, size) + np.arange(len(into))
-    ids, v = np.zeros(n * SEGMENT, np.intp), np.zeros(n * SEGMENT, np.float32)
+    place = np.repeat(begin * segment - first, size)
+    place += np.arange(len(into))
+    ids, v = np.zeros(n * segment, np.intp), np.zeros(n * segment, np.float32)
     ids[place], v[place] = at, values
-    v = v.reshape(n, 1, SEGMENT)
-    step = GATHER // SEGMENT
-    held, parts = np.empty((step * SEGMENT, width), np.float32), np.empty((n, 1, width), np.float32)
+    v = v.reshape(n, 1, segment)
+    step = max(1, GATHER // segment)
+    held, parts = np.empty((step * segment, width), np.float32), np.empty((n, 1, width), np.float32)
     for k in range(0, n, step):
         m = min(step, n - k)
-        np.take(table, ids[k * SEGMENT:(k + m) * SEGMENT], axis=0, out=held[:m * SEGMENT], mode="clip")
-        np.matmul(v[k:k + m], held[:m * SEGMENT].reshape(m, SEGMENT, width), out=parts[k:k + m])
+        np.take(table, ids[k * segment:(k + m) * segment], axis=0, out=held[:m * segment], mode="clip")
+        np.matmul(v[k:k + m], held[:m * segment].reshape(m, segment, width), out=parts[k:k + m])
+    if n == len(first):
+        return into[first], parts[:, 0]
     out = parts[begin, 0]
     more = np.flatnonzero(segments > 1)
     for k in range(1, int(segments.max(initial=0))):
@@ -266,14 +270,27 @@ def add_product(rows: Rows, y: np.ndarray, out: np.ndarray) -> None:
     """Add A'(A y) to ``out``."""
     if not len(rows.term):
         return
-    z = np.zeros((rows.n, y.shape[1]), np.float32)
-    at, sums = summed_rows(y, rows.term, rows.value, rows.row)
-    z[at] = sums
-    order = np.argsort(rows.term.astype(np.uint16 if len(y) <= 1 << 16 else np.int64), kind="stable")
-    at, sums = summed_rows(z, rows.row[order], rows.value[order], rows.term[order])
+    at, z = summed_rows(y, rows.term, rows.value, rows.row, PASSAGE)
+    if len(at) < rows.n:
+        some, z = z, np.zeros((rows.n, y.shape[1]), np.float32)
+        z[at] = some
+    at, sums = summed_rows(z, *by_term(rows, len(y)))
     out[at] += sums
 
 
+def by_term(rows: Rows, n_terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, value and term of each entry in the order of terms, then of rows."""
+    if max(n_terms, rows.n) > 1 << 16:
+        order = np.argsort(rows.term, kind="stable")
+        return rows.row[order], rows.value[order], rows.term[order]
+    # term, row and value in one number: sorted as such, no index is followed
+    key = rows.term.astype(np.uint64) << np.uint64(16) | rows.row.astype(np.uint64)
+    key = key << np.uint64(32) | rows.value.view(np.uint32)
+    key.sort()
+    return ((key >> np.uint64(32) & np.uint64(0xFFFF)).astype(np.intp), key.astype(np.uint32).view(np.float32),
+            (key >> np.uint64(48)).astype(np.intp))
+
+
 def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, seed: int = 3,
                    weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Orthonormal basis (terms x rank) of the leading row space of a sparse matrix, and the singular values.
@@ -319,7 +336,8 @@ def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, seed: int =
             for b in parts:
                 at = b.column("term").to_numpy() - low
                 seen[at] = True
-                np.add.at(out, at, _numbers(b.column("v"), np.float32)[0].reshape(-1, width))
+                for k, x in zip(at.tolist(), _numbers(b.column("v"), np.float32)[0].reshape(-1, width)):
+                    out[k] += x
             at = np.flatnonzero(seen)
             yield pa.RecordBatch.from_arrays([pa.array(at + low), pa.array([x.tobytes() for x in out[at]])],
                                              names=["term", "v"])
@@ -513,7 +531,7 @@ def _close(sums: np.ndarray, starts: np.ndarray, batch: list[Piece], texts: list
         part = z[k:k + rows]
         norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", part, part)), 1e-12)
         cosine = part @ vectors
-        w, item = np.nonzero(cosine >= LEAST_COSINE * norm[:, None])
+        w, item = np.divmod(np.flatnonzero(cosine >= LEAST_COSINE * norm[:, None]), len(numbers))
         real = owner[k + w] >= 0
         w, item = w[real], item[real]
         if len(w):
@@ -523,54 +541,55 @@ def _close(sums: np.ndarray, starts: np.ndarray, batch: list[Piece], texts: list
 def with_room(found: Close, terms: list[np.ndarray], block: Block) -> Close:
     """Those whose text, and then whose passage, has enough of the item's words at all: no common subsequence has more.
 
-    Looked up by term, so a text or passage may only seem to have more words than it has.
+    A passage has a quarter more on both sides here.  Looked up by term, so a text or passage may only seem to have more
+    words than it has.
     """
-    has, place, kept = np.zeros(VOCAB + 1, np.float32), np.zeros(VOCAB + 1, np.int32), []
-    asked, number = np.zeros(len(block.items), bool), np.zeros(len(block.items), np.int32)
+    wide = block.terms[:, :block.lengths[found.item].max(initial=1)].astype(np.intp)
+    one, least = np.ones(wide.shape[1], np.float32), LEAST_LCS * block.lengths
+    row = VOCAB + 2  # of the padding of items, which nothing has, and of passages, which nothing asks for
     edges = np.flatnonzero(np.diff(found.text, prepend=-1))
-    for low, high in zip(edges.tolist(), [*edges[1:].tolist(), len(found.text)]):
-        own = terms[found.text[low]]
-        has[own] = 1
-        asked[found.item[low:high]] = True
-        item = np.flatnonzero(asked)
-        item_terms = block.terms[item, :block.lengths[item].max()]
-        room = has[item_terms] @ np.ones(item_terms.shape[1], np.float32) >= LEAST_LCS * block.lengths[item]
-        asked[item] = room
-        has[own] = 0
-        at = low + np.flatnonzero(asked[found.item[low:high]])
-        asked[item] = False
-        if not len(at):
-            continue
-        number[item[room]] = np.arange(room.sum())
-        w, k = found.window[at], found.item[at]
-        for span in np.split(np.arange(len(at)), np.flatnonzero(np.diff(w // SPAN)) + 1):
-            n = passage_terms(own, found.size // 4, w[span], item_terms[room], number[k[span]], place)
-            kept.append(at[span[n >= LEAST_LCS * block.lengths[k[span]]]])
-    keep = np.concatenate([np.zeros(0, np.intp), *kept])
+    texts, sizes = found.text[edges].tolist(), np.diff(np.append(edges, len(found.text)))
+    text = np.repeat(np.arange(len(texts)), sizes)
+    words = np.concatenate([np.zeros(0, np.int32), *[terms[k] for k in texts]])
+    ends = np.cumsum([0, *[len(terms[k]) for k in texts]])
+
+    def enough(has: np.ndarray, number: np.ndarray, item: np.ndarray) -> np.ndarray:
+        out, step = np.zeros(len(item), bool), max(1, LOOKED // wide.shape[1])
+        for k in range(0, len(item), step):
+            at = wide[item[k:k + step]]
+            at += (number[k:k + step] * row)[:, None]
+            out[k:k + step] = has.take(at, mode="clip").astype(np.float32) @ one >= least[item[k:k + step]]
+        return out
+
+    room, has = np.zeros((len(texts), len(block.items)), bool), np.zeros(len(texts) * row, bool)
+    has[words + np.repeat(np.arange(len(texts)) * row, np.diff(ends))] = True
+    room[text, found.item] = True
+    number, item = np.nonzero(room)
+    room[number, item] = enough(has, number, item)
+    some = np.flatnonzero(room[text, found.item])
+
+    text, window, item = text[some], found.window[some], found.item[some]
+    move = found.size // 4
+    edges = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(window, prepend=-1) != 0))
+    number = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(some))))
+    low = ends[text[edges]] + np.maximum(window[edges] - 1, 0) * move
+    high = np.minimum(ends[text[edges]] + (window[edges] + 5) * move, ends[text[edges] + 1])
+    edges, keep, has = np.append(edges, len(some)), np.zeros(len(some), bool), np.zeros(ROOMS * row, bool)
+    for k in range(0, len(low), ROOMS):
+        at = low[k:k + ROOMS, None] + np.arange(6 * move)
+        own = np.where(at < high[k:k + ROOMS, None], words.take(at, mode="clip"), VOCAB + 1)
+        own = own + np.arange(len(own))[:, None] * row
+        has[own] = True
+        part = slice(edges[k], edges[k + len(own)])
+        keep[part] = enough(has, number[part] - k, item[part])
+        has[own] = False
+    keep = some[keep]
     return Close(found.size, *[x[keep] for x in found[1:]])
 
 
-def passage_terms(own: np.ndarray, move: int, window: np.ndarray, terms: np.ndarray, number: np.ndarray,
-                  place: np.ndarray) -> np.ndarray:
-    """How many terms of row ``number`` of ``terms`` the passage has, with a quarter more on both sides.
-
-    ``place`` is room for a number of each term, zeros before and after.
-    """
-    base = max(0, int(window[0]) - 1)
-    near = own[base * move:(int(window[-1]) + 5) * move]
-    place[near] = np.arange(1, len(near) + 1)  # a repeated term has the number of one of its places
-    quarters = np.zeros((int(window[-1]) - base + 7, len(near) + 1), bool)  # the first one is before the text
-    quarters[np.arange(len(near)) // move + 1, place[near]] = True
-    at = place[terms]
-    place[near] = 0
-    n = len(quarters) - 5
-    passages = np.logical_or.reduce([quarters[k:k + n] for k in range(6)])
-    return passages[(window - base)[:, None], at[number]].sum(axis=1)
-
-
 def search(texts: list[str | None], space: Space, block: Block) -> list[list[tuple[int, float, float, float, int, int]]]:
     """Per text (item number, cosine, lcs share, answer share, first word, last word) of each match."""
-    words = [words_of(t) for t in texts]
+    words = hashes_of_words(texts)
     terms = [hashed(w) for w in words]
     best: list[dict[int, tuple]] = [{} for _ in texts]
     near: list = []

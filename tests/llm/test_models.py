@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from finlake.llm import decontaminate as D
+from finlake.llm import text as X
 from finlake.llm import langid, queries
 from finlake.llm import toxicity as T
 from finlake.llm.store import is_held_out
@@ -90,6 +91,51 @@ def test_sums_of_segments():
     assert numbers.tolist() == np.unique(into).tolist() and np.allclose(sums, want[numbers], atol=1e-4)
 
 
+def test_entries_in_the_order_of_terms():
+    r = np.random.default_rng(6)
+    for n_terms, n in ((200, 40), (1 << 17, 40), (1 << 14, 1 << 14)):
+        row = np.sort(r.integers(0, n, 3000))
+        rows = D.Rows(r.integers(0, n_terms, 3000), r.standard_normal(3000).astype(np.float32), row, n)
+        got = sorted(zip(*(x.tolist() for x in D.by_term(rows, n_terms))))
+        assert got == sorted(zip(rows.row.tolist(), rows.value.tolist(), rows.term.tolist()))
+        at, _, term = D.by_term(rows, n_terms)
+        assert (np.diff(term) >= 0).all() and (np.diff(at)[np.diff(term) == 0] >= 0).all()
+
+
+@pytest.mark.parametrize("together", [1, 40, 1 << 15])
+def test_words_of_many_texts_are_those_of_each(monkeypatch, together):
+    monkeypatch.setattr(X, "TOGETHER", together)
+    texts = [None, "", "One two", "\n", "two\nthree ", "\u0130stanbul \u039f\u0394\u039f\u03a3", "\u03a3", "x" * 70, "a\ud800b",
+             "  ", "end", "start", None]
+    got = X.hashes_of_words(texts)
+    assert [x.tolist() for x in got] == [D.words_of(t).tolist() for t in texts] and X.hashes_of_words([]) == []
+
+
+def test_passages_with_room_are_those_that_hold_enough_terms(monkeypatch):
+    r = np.random.default_rng(8)
+    pool = np.unique(r.integers(0, 2**63, 60).astype(np.uint64))
+    texts = [r.choice(pool, n) for n in (3, 30, 400, 0, 90)]
+    items = [D.Item(k, r.choice(pool, n), r.choice(pool, 2)) for k, n in enumerate((4, 5, 9, 12, 25, 40))]
+    block = D.make_block(items, D.Space(r.standard_normal((D.VOCAB + 1, 8)).astype(np.float32)))
+    terms = [D.hashed(w) for w in texts]
+    for size, (numbers, _) in block.vectors.items():
+        rows = [(t, w, j) for t, x in enumerate(texts) for w in range(-(-len(x) // (size // 4))) for j in numbers.tolist()
+                if r.random() < 0.7]
+        found = D.Close(size, *np.array(rows).T, r.random(len(rows)))
+        want = []
+        for t, w, j in rows:
+            near = set(terms[t][max(0, w - 1) * size // 4:(w + 5) * size // 4].tolist())
+            want.append(sum(x in near for x in D.hashed(items[j].words).tolist()) >= D.LEAST_LCS * len(items[j].words))
+        for rooms, looked in ((32, 1 << 16), (2, 7)):
+            monkeypatch.setattr(D, "ROOMS", rooms)
+            monkeypatch.setattr(D, "LOOKED", looked)
+            got = D.with_room(found, terms, block)
+            assert list(zip(*(x.tolist() for x in got[1:4]))) == [x for x, ok in zip(rows, want) if ok]
+            assert 0 < len(got.text) < len(rows)
+    none = D.with_room(D.Close(8, *[np.zeros(0, np.int64)] * 3, np.zeros(0)), terms, block)
+    assert len(none.text) == 0
+
+
 def paraphrase(text, r, share=0.2):
     return " ".join("changed" + str(r.randrange(999)) if r.random() < share else w for w in text.split())
 
