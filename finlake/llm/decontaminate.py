@@ -57,7 +57,7 @@ PASSAGE = 64
 #: passages multiplied at a time; rows of a sum taken together; terms whose sums a task adds; passages of a task of
 #: the fit, and the fewest tasks
 ROWS, SEGMENT, PART = 1 << 14, 32, 64
-TASK_ROWS, LEAST_TASKS = 1 << 17, 6
+TASK_ROWS, LEAST_TASKS = 1 << 18, 6
 #: least cosine of a passage and an item in the latent space
 LEAST_COSINE = 0.25
 #: longest common subsequence over item length, and the same for the answer
@@ -215,27 +215,34 @@ def spread_axes(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def summed_rows(table: np.ndarray, at: np.ndarray, values: np.ndarray, into: np.ndarray,
-                segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
+                fold: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Per number of ``into`` (ascending) the sum of ``values * table[at]``: the numbers, their sums.
 
-    Sums are taken over ``segment`` rows at a time, then added up.
+    Sums are taken over ``SEGMENT`` rows at a time, then added up; ``fold`` of them at once, where most numbers have so many.
     """
     first = np.flatnonzero(np.diff(into, prepend=-1))
     size = np.diff(np.append(first, len(into)))
-    segments = -(-size // segment)
+    segments = -(-size // (fold * SEGMENT))
     begin = np.cumsum(segments) - segments
     n, width = int(segments.sum()), table.shape[1]
-    place = np.repeat(begin * segment - first, size)
+    place = np.repeat(begin * (fold * SEGMENT) - first, size)
     place += np.arange(len(into))
-    ids, v = np.zeros(n * segment, np.intp), np.zeros(n * segment, np.float32)
+    ids, v = np.zeros(n * fold * SEGMENT, np.intp), np.zeros(n * fold * SEGMENT, np.float32)
     ids[place], v[place] = at, values
-    v = v.reshape(n, 1, segment)
-    step = max(1, GATHER // segment)
-    held, parts = np.empty((step * segment, width), np.float32), np.empty((n, 1, width), np.float32)
+    v = v.reshape(n, fold, 1, SEGMENT)
+    step = max(1, GATHER // (fold * SEGMENT))
+    held = np.empty((step * fold * SEGMENT, width), np.float32)
+    some, parts = np.empty((step, fold, 1, width), np.float32), np.empty((n, 1, width), np.float32)
     for k in range(0, n, step):
         m = min(step, n - k)
-        np.take(table, ids[k * segment:(k + m) * segment], axis=0, out=held[:m * segment], mode="clip")
-        np.matmul(v[k:k + m], held[:m * segment].reshape(m, segment, width), out=parts[k:k + m])
+        rows = held[:m * fold * SEGMENT]
+        np.take(table, ids[k * fold * SEGMENT:(k + m) * fold * SEGMENT], axis=0, out=rows, mode="clip")
+        sums = parts[k:k + m, None] if fold == 1 else some[:m]
+        np.matmul(v[k:k + m], rows.reshape(m, fold, SEGMENT, width), out=sums)
+        if fold > 1:
+            np.add(sums[:, 0], sums[:, 1], out=parts[k:k + m])
+        for j in range(2, fold):
+            parts[k:k + m] += sums[:, j]
     if n == len(first):
         return into[first], parts[:, 0]
     out = parts[begin, 0]
@@ -270,7 +277,7 @@ def add_product(rows: Rows, y: np.ndarray, out: np.ndarray) -> None:
     """Add A'(A y) to ``out``."""
     if not len(rows.term):
         return
-    at, z = summed_rows(y, rows.term, rows.value, rows.row, PASSAGE)
+    at, z = summed_rows(y, rows.term, rows.value, rows.row, PASSAGE // SEGMENT)
     if len(at) < rows.n:
         some, z = z, np.zeros((rows.n, y.shape[1]), np.float32)
         z[at] = some
@@ -512,9 +519,8 @@ def _close(sums: np.ndarray, starts: np.ndarray, batch: list[Piece], texts: list
            numbers: np.ndarray, vectors: np.ndarray) -> Iterator[Close]:
     """The close windows of one size; ``sums``: a row per quarter of a window, ``starts``: each piece's first."""
     move = size // 4
-    z = sums.copy()
-    for k in (1, 2, 3):
-        z[:-k] += sums[k:]
+    z, two = sums.copy(), sums[:-1] + sums[1:]
+    np.add(two[:-2], two[2:], out=z[:max(len(z) - 3, 0)])
     owner, first = np.full(len(sums), -1), np.zeros(len(sums), np.int64)
     for at, p in zip(starts.tolist(), batch):
         quarters = -(-(p.high - p.low) // move)

@@ -91,6 +91,17 @@ def test_sums_of_segments():
     assert numbers.tolist() == np.unique(into).tolist() and np.allclose(sums, want[numbers], atol=1e-4)
 
 
+@pytest.mark.parametrize("fold", [2, 3])
+def test_sums_of_folded_segments(fold):
+    r = np.random.default_rng(5)
+    table, into = r.standard_normal((50, 7)).astype(np.float32), np.sort(r.integers(0, 60, 1500) ** 2 // 60) * 2
+    at, values = r.integers(0, 50, 1500), r.standard_normal(1500).astype(np.float32)
+    (numbers, sums), (same, plain) = (D.summed_rows(table, at, values, into, f) for f in (fold, 1))
+    assert numbers.tolist() == same.tolist() and np.allclose(sums, plain, atol=1e-4)
+    few = np.bincount(into)[numbers] <= 2 * D.SEGMENT  # two parts are added in one order
+    assert few.any() and not few.all() and (fold > 2 or (sums[few] == plain[few]).all())
+
+
 def test_entries_in_the_order_of_terms():
     r = np.random.default_rng(6)
     for n_terms, n in ((200, 40), (1 << 17, 40), (1 << 14, 1 << 14)):
@@ -106,7 +117,7 @@ def test_entries_in_the_order_of_terms():
 def test_words_of_many_texts_are_those_of_each(monkeypatch, together):
     monkeypatch.setattr(X, "TOGETHER", together)
     texts = [None, "", "One two", "\n", "two\nthree ", "\u0130stanbul \u039f\u0394\u039f\u03a3", "\u03a3", "x" * 70, "a\ud800b",
-             "  ", "end", "start", None]
+             "  ", "end", "start", "caf\xe9 \xb5m \xc4\xd6\xdc\xdf \xd7 x\xb2", None]
     got = X.hashes_of_words(texts)
     assert [x.tolist() for x in got] == [D.words_of(t).tolist() for t in texts] and X.hashes_of_words([]) == []
 
